@@ -1,41 +1,25 @@
-"""Column expressions used by more than one operator."""
+"""SQL expressions used by more than one operator."""
 
-from pyspark.sql import functions as F
+import datetime
 
 
-def as_of_date(as_of):
+def day_literal(as_of):
     """The day recency is measured from: a date, ``yyyy-MM-dd`` text or today."""
-    return F.current_date() if as_of is None else F.lit(as_of).cast("date")
-
-
-def event_time():
-    return F.timestamp_seconds("timestamp")
-
-
-def event_day():
-    return F.to_date(event_time())
-
-
-def is_behavior(name):
-    return F.col("behavior_type") == name
+    if as_of is None:
+        return "current_date()"
+    day = as_of if isinstance(as_of, datetime.date) else datetime.date.fromisoformat(as_of)
+    return f"DATE '{day:%Y-%m-%d}'"
 
 
 def number(column):
     """Text or number as a double; text that is no number becomes null."""
-    return F.col(column).try_cast("double")
-
-
-def or_zero(column, type_name):
-    return F.coalesce(F.col(column), F.lit(0)).cast(type_name)
+    return f"try_cast({column} AS double)"
 
 
 def numeric_rows(df, columns, keep=()):
     """``columns`` as doubles, rows complete in all of them; ``keep`` rides along."""
-    cast = df.select(*keep, *[number(c).alias(c) for c in columns])
-    present = [F.col(c).isNotNull() & ~F.isnan(c) for c in columns]
-    for condition in present:
-        cast = cast.filter(condition)
-    return cast
+    cast = df.selectExpr(*keep, *[f"{number(c)} AS {c}" for c in columns])
+    return cast.filter(" AND ".join(f"{c} IS NOT NULL AND NOT isnan({c})" for c in columns))
 
 
 # Activity levels as (label, lowest day count, exists above max).
@@ -53,17 +37,16 @@ ACTIVITY_LEVELS = [
 
 def activity_level(days, largest):
     """Label of a day count, given the largest day count in the data."""
-    level = F.lit(None).cast("string")
-    for label, lowest, above in ACTIVITY_LEVELS:
-        level = F.when((days >= lowest) & (largest > above), label).otherwise(level)
-    return level
-
-
-def user_segment(days):
-    """Segment names by active days; anything else is the last."""
-    return (
-        F.when(days == 1, "单日用户")
-        .when(days.between(2, 4), "低频用户")
-        .when(days.between(5, 9), "中频用户")
-        .otherwise("高频用户")
-    )
+    cases = [
+        f"WHEN {days} >= {lowest} AND {largest} > {above} THEN '{label}'"
+        for label, lowest, above in reversed(ACTIVITY_LEVELS)
+    ]
+    return f"CASE {' '.join(cases)} END"
+
+
+# Segment names by active days; anything else is the last.
+USER_SEGMENT = """
+    CASE WHEN active_days = 1 THEN '单日用户'
+         WHEN active_days BETWEEN 2 AND 4 THEN '低频用户'
+         WHEN active_days BETWEEN 5 AND 9 THEN '中频用户'
+         ELSE '高频用户' END"""

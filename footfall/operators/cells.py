@@ -13,11 +13,10 @@ CELL_COLUMNS = ["row_key", "column", "value"]
 
 def encode_cells(rows, family=FAMILY):
     """One text cell per stored feature, without a shuffle."""
-    named = [F.struct(F.lit(f"{family}:{c}").alias("column"), F.col(c).cast("string").alias("value"))
-             for c in STORED_FEATURES]
-    return rows.select(
-        F.col("user_id").cast("string").alias("row_key"), F.explode(F.array(*named)).alias("cell")
-    ).select("row_key", "cell.*")
+    cells = ", ".join(
+        f"struct('{family}:{c}' AS column, string({c}) AS value)" for c in STORED_FEATURES
+    )
+    return rows.selectExpr("string(user_id) AS row_key", f"inline(array({cells}))")
 
 
 def merge_cells(stored, batch):
@@ -29,20 +28,21 @@ def merge_cells(stored, batch):
     merged = stored.withColumnRenamed("value", "old").join(
         batch.withColumnRenamed("value", "new"), key, "full_outer"
     )
-    return merged.select(*key, F.coalesce("new", "old").alias("value"))
+    return merged.selectExpr(*key, "coalesce(new, old) AS value")
 
 
 def _one_row_per_key(cells, columns, value):
-    qualifier = F.split_part(F.col("column"), F.lit(":"), F.lit(2))
-    return cells.groupBy("row_key").agg(
-        *[F.max(F.when(qualifier == c, value)).alias(c) for c in columns]
+    qualified = cells.selectExpr(
+        "row_key AS user_id", "split_part(column, ':', 2) AS qualifier", f"{value} AS value"
+    )
+    return qualified.groupBy("user_id").agg(
+        *[F.expr(f"max(if(qualifier = '{c}', value, NULL)) AS {c}") for c in columns]
     )
 
 
 def decode_cells(cells, columns=None):
     """One row per row key, all values text; a missing cell is null."""
-    wanted = list(STORED_FEATURES) if columns is None else list(columns)
-    return _one_row_per_key(cells, wanted, F.col("value")).withColumnRenamed("row_key", "user_id")
+    return _one_row_per_key(cells, STORED_FEATURES if columns is None else columns, "value")
 
 
 def decode_numbers(cells, columns):
@@ -52,7 +52,7 @@ def decode_numbers(cells, columns):
     fixed-width buffers. ``user_id`` is the row key and stays text.
     """
     wanted = [c for c in columns if c != "user_id"]
-    return _one_row_per_key(cells, wanted, number("value")).withColumnRenamed("row_key", "user_id")
+    return _one_row_per_key(cells, wanted, number("value"))
 
 
 def head_cells(cells, n=5):
@@ -62,4 +62,4 @@ def head_cells(cells, n=5):
 
 
 def cell_row_count(cells):
-    return cells.agg(F.count_distinct("row_key").alias("total_rows"))
+    return cells.selectExpr("count(DISTINCT row_key) AS total_rows")

@@ -7,7 +7,9 @@ from footfall.schema import BEHAVIORS, EVENT_KEY, RAW_COLUMNS
 
 def valid_lines(raw):
     """Complete lines with a known behaviour, copies still present."""
-    return raw.dropna(subset=RAW_COLUMNS).filter(F.col("behavior_type").isin(BEHAVIORS))
+    known = ", ".join(f"'{name}'" for name in BEHAVIORS)
+    complete = [f"{column} IS NOT NULL" for column in RAW_COLUMNS]
+    return raw.filter(" AND ".join([*complete, f"behavior_type IN ({known})"]))
 
 
 def clean_events(raw):
@@ -25,21 +27,21 @@ def clean_events(raw):
     return (
         valid_lines(raw)
         .groupBy(*EVENT_KEY)
-        .agg(F.min("category_id").alias("category_id"))
-        .filter(F.col("category_id").isNotNull())
-        .select(*RAW_COLUMNS, F.from_unixtime("timestamp").alias("datetime"))
+        .agg(F.expr("min(category_id) AS category_id"))
+        .filter("category_id IS NOT NULL")
+        .selectExpr(*RAW_COLUMNS, "from_unixtime(timestamp) AS datetime")
     )
 
 
 def validation_counts(cleaned):
     """Events, users, items and categories in a single pass."""
-    return cleaned.agg(
-        F.count("*").alias("total_records"),
-        F.count_distinct("user_id").alias("user_count"),
-        F.count_distinct("item_id").alias("item_count"),
-        F.count_distinct("category_id").alias("category_count"),
+    return cleaned.selectExpr(
+        "count(*) AS total_records",
+        "count(DISTINCT user_id) AS user_count",
+        "count(DISTINCT item_id) AS item_count",
+        "count(DISTINCT category_id) AS category_count",
     )
 
 
 def behavior_counts(cleaned):
-    return cleaned.groupBy("behavior_type").agg(F.count("*").alias("count"))
+    return cleaned.groupBy("behavior_type").agg(F.expr("count(*) AS count"))

@@ -4,12 +4,11 @@ cross-tabulations and cumulative shares.
 Values are counted per distinct value first, on the map side, and everything
 after that works on distinct values. A *series* column says which curve a value
 belongs to (a variable or an activity level); there are only a handful of series
-in a figure, so tables with one row per series are small.
+in a figure, so tables with one row per series are small enough to broadcast.
 """
 
 import math
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from footfall.functions.expressions import ACTIVITY_LEVELS, activity_level, numeric_rows
@@ -23,24 +22,30 @@ SLICES = 4096
 
 def as_series(df, columns):
     """(series, value) rows, one series per column, rows complete in all of them."""
-    rows = numeric_rows(df, columns)
-    pairs = [F.struct(F.lit(c).alias("series"), F.col(c).alias("value")) for c in columns]
-    return rows.select(F.explode(F.array(*pairs)).alias("pair")).select("pair.*")
+    pairs = ", ".join(f"struct('{c}' AS series, {c} AS value)" for c in columns)
+    return numeric_rows(df, columns).selectExpr(f"inline(array({pairs}))")
 
 
-def by_activity_level(df, column, keep=()):
-    """(series, value) rows with the activity level of the user as the series."""
-    rows = numeric_rows(df, ["active_days", column], keep)
-    largest = rows.agg(F.max("active_days").alias("n")).scalar()
-    return rows.select(
-        *keep,
-        activity_level(F.col("active_days"), largest).alias("series"),
-        F.col(column).alias("value"),
-    ).filter(F.col("series").isNotNull())
+def by_activity_level(rows, largest):
+    """Rows of (active_days, value, ...) with the activity level as their series."""
+    return (
+        rows.select("*", largest.alias("largest"))
+        .withColumn("series", F.expr(activity_level("active_days", "largest")))
+        .filter("series IS NOT NULL")
+        .drop("active_days", "largest")
+    )
+
+
+def _days_and_values(users, column, keep=()):
+    return numeric_rows(users, ["active_days", column], keep).withColumnRenamed(column, "value")
+
+
+def _largest_days(rows):
+    return rows.agg(F.expr("max(active_days) AS n")).scalar()
 
 
 def value_counts(rows):
-    return rows.groupBy("series", "value").agg(F.count("*").alias("n"))
+    return rows.groupBy("series", "value").agg(F.expr("count(*) AS n"))
 
 
 def running_totals(counts):
@@ -52,27 +57,31 @@ def running_totals(counts):
     SLICES rows per series.
     """
     extent = counts.groupBy("series").agg(
-        F.min("value").alias("low"), F.max("value").alias("high"), F.sum("n").alias("total")
+        F.expr("min(value) AS low"), F.expr("max(value) AS high"), F.expr("sum(n) AS total")
     )
-    share = F.try_divide(F.col("value") - F.col("low"), F.col("high") - F.col("low"))
-    slice_of = F.coalesce(F.least(F.floor(share * SLICES), F.lit(SLICES - 1)), F.lit(0))
-    sliced = counts.join(F.broadcast(extent), "series").select(
-        "series", "value", "n", "total", slice_of.alias("slice")
+    sliced = counts.join(F.broadcast(extent), "series").selectExpr(
+        "series",
+        "value",
+        "n",
+        "total",
+        f"coalesce(least(floor(try_divide(value - low, high - low) * {SLICES}), {SLICES - 1}), 0)"
+        " AS slice",
     )
-    in_order = Window.partitionBy("series").orderBy("slice")
     earlier = (
         sliced.groupBy("series", "slice")
-        .agg(F.sum("n").alias("rows"))
-        .select("series", "slice", (F.sum("rows").over(in_order) - F.col("rows")).alias("earlier"))
-    )
-    within = Window.partitionBy("series", "slice").orderBy("value")
-    return (
-        sliced.withColumn("within", F.sum("n").over(within))
-        .join(F.broadcast(earlier), ["series", "slice"])
-        .select(
-            "series", "value", "n", (F.col("earlier") + F.col("within")).alias("until"), "total"
+        .agg(F.expr("sum(n) AS rows"))
+        .selectExpr(
+            "series",
+            "slice",
+            "sum(rows) OVER (PARTITION BY series ORDER BY slice) - rows AS earlier",
         )
     )
+    within = sliced.selectExpr(
+        "*", "sum(n) OVER (PARTITION BY series, slice ORDER BY value) AS within"
+    )
+    return within.join(F.broadcast(earlier), ["series", "slice"]).selectExpr(
+        "series", "value", "n", "earlier + within AS until", "total"
+    )
 
 
 # --- activity levels ----------------------------------------------------------
@@ -84,37 +93,30 @@ def activity_levels(users):
     A single aggregate counts users between consecutive level bounds. The
     highest level that exists takes all counts from its bound upwards.
     """
-    days = F.col("active_days")
-    bounds = [lowest for _, lowest, _ in ACTIVITY_LEVELS] + [None]
-    between = [
-        F.count_if(days >= low if high is None else (days >= low) & (days < high)).alias(f"c{i}")
-        for i, (low, high) in enumerate(zip(bounds, bounds[1:]))
-    ]
-    counted = numeric_rows(users, ["active_days"]).agg(F.max(days).alias("largest"), *between)
+    between, levels = [], []
     last = len(ACTIVITY_LEVELS) - 1
-    levels = []
-    for i, (label, _, above) in enumerate(ACTIVITY_LEVELS):
-        own, upwards = F.col(f"c{i}"), sum(F.col(f"c{j}") for j in range(i, last + 1))
-        extends = i == last or F.col("largest") <= ACTIVITY_LEVELS[i + 1][2]
-        users_here = own if i == last else F.when(extends, upwards).otherwise(own)
+    for i, (label, lowest, above) in enumerate(ACTIVITY_LEVELS):
+        upper = "" if i == last else f" AND active_days < {ACTIVITY_LEVELS[i + 1][1]}"
+        between.append(f"count_if(active_days >= {lowest}{upper}) AS c{i}")
+        upwards = " + ".join(f"c{j}" for j in range(i, last + 1))
+        here = f"c{i}" if i == last else (
+            f"if(largest > {ACTIVITY_LEVELS[i + 1][2]}, c{i}, {upwards})"
+        )
         levels.append(
-            F.struct(
-                F.lit(i).alias("position"),
-                F.lit(label).alias("level"),
-                users_here.alias("user_count"),
-                (F.col("largest") > above).alias("exists"),
-            )
+            f"struct({i} AS position, '{label}' AS level, {here} AS user_count,"
+            f" largest > {above} AS present)"
         )
-    total = sum(F.col(f"c{i}") for i in range(last + 1))
+    total = " + ".join(f"c{i}" for i in range(last + 1))
     return (
-        counted.select(total.alias("total"), F.explode(F.array(*levels)).alias("entry"))
-        .select("total", "entry.*")
-        .filter("exists")
-        .select(
+        numeric_rows(users, ["active_days"])
+        .selectExpr("max(active_days) AS largest", *between)
+        .selectExpr(f"{total} AS total", f"inline(array({', '.join(levels)}))")
+        .filter("present")
+        .selectExpr(
             "position",
             "level",
             "user_count",
-            F.try_divide(F.col("user_count") * 100.0, F.col("total")).alias("percentage"),
+            "try_divide(user_count * 100D, total) AS percentage",
         )
     )
 
@@ -126,16 +128,15 @@ def integer_histogram(df, column):
     """One bin per whole number from 0 to the largest value, empty bins included."""
     counts = (
         numeric_rows(df, [column])
-        .filter(F.col(column) >= 0)
-        .groupBy(F.floor(column).alias("bin"))
-        .agg(F.count("*").alias("count"))
-    )
-    bins = counts.agg(F.max("bin").alias("largest")).select(
-        F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("largest"))).alias("bin")
+        .filter(f"{column} >= 0")
+        .selectExpr(f"floor({column}) AS bin")
+        .groupBy("bin")
+        .agg(F.expr("count(*) AS count"))
     )
-    return bins.join(counts, "bin", "left").select(
-        "bin", F.coalesce("count", F.lit(0)).alias("count")
+    bins = counts.selectExpr("max(bin) AS largest").selectExpr(
+        "explode(sequence(0L, largest)) AS bin"
     )
+    return bins.join(counts, "bin", "left").selectExpr("bin", "coalesce(count, 0) AS count")
 
 
 def equal_width_histogram(df, column, bins):
@@ -146,40 +147,39 @@ def equal_width_histogram(df, column, bins):
     edge is moved to the bin whose edges enclose it.
     """
     counts = value_counts(as_series(df, [column]))
-    extent = counts.groupBy("series").agg(F.min("value").alias("low"), F.max("value").alias("high"))
-    flat = F.col("low") == F.col("high")
-    extent = extent.select(
-        "series",
-        F.when(flat, F.col("low") - 0.5).otherwise(F.col("low")).alias("low"),
-        F.when(flat, F.col("high") + 0.5).otherwise(F.col("high")).alias("high"),
-    ).withColumn("width", (F.col("high") - F.col("low")) / bins)
-
-    def edge(bin_number):
-        return F.when(bin_number == bins, F.col("high")).otherwise(
-            F.col("low") + bin_number * F.col("width")
+    extent = (
+        counts.groupBy("series")
+        .agg(F.expr("min(value) AS least"), F.expr("max(value) AS most"))
+        .selectExpr(
+            "series",
+            "if(least = most, least - 0.5D, least) AS low",
+            "if(least = most, most + 0.5D, most) AS high",
         )
-
-    position = (F.col("value") - F.col("low")) / (F.col("high") - F.col("low")) * bins
-    guess = F.least(F.floor(position), F.lit(bins - 1))
-    placed = (
-        F.when(F.col("value") < edge(guess), guess - 1)
-        .when((F.col("value") >= edge(guess + 1)) & (guess < bins - 1), guess + 1)
-        .otherwise(guess)
+        .selectExpr("*", f"(high - low) / {bins} AS width")
     )
+
+    def edge(number):
+        return f"if({number} = {bins}, high, low + {number} * width)"
+
     filled = (
         counts.join(F.broadcast(extent), "series")
-        .groupBy(placed.alias("bin"))
-        .agg(F.sum("n").alias("count"))
+        .selectExpr(
+            "*", f"least(floor((value - low) / (high - low) * {bins}), {bins - 1}) AS guess"
+        )
+        .selectExpr(
+            "n",
+            f"""CASE WHEN value < {edge('guess')} THEN guess - 1
+                     WHEN value >= {edge('(guess + 1)')} AND guess < {bins - 1} THEN guess + 1
+                     ELSE guess END AS bin""",
+        )
+        .groupBy("bin")
+        .agg(F.expr("sum(n) AS count"))
     )
-    spine = extent.select(
-        "low", "high", "width", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin")
-    ).select(
-        F.col("bin").cast("bigint").alias("bin"),
-        edge(F.col("bin")).alias("bin_low"),
-        edge(F.col("bin") + 1).alias("bin_high"),
+    spine = extent.selectExpr("*", f"explode(sequence(0L, {bins - 1}L)) AS bin").selectExpr(
+        "bin", f"{edge('bin')} AS bin_low", f"{edge('(bin + 1)')} AS bin_high"
     )
-    return spine.join(filled, "bin", "left").select(
-        "bin", "bin_low", "bin_high", F.coalesce("count", F.lit(0)).alias("count")
+    return spine.join(filled, "bin", "left").selectExpr(
+        "bin", "bin_low", "bin_high", "coalesce(count, 0) AS count"
     )
 
 
@@ -197,40 +197,45 @@ def density(rows, points=200, cut=0.0):
     sums are combined on the map side: ``points`` rows per series and task are
     shuffled.
     """
-    counts = value_counts(rows)
-    deviations = rows.groupBy("series").agg(
-        F.count("*").alias("rows"),
-        F.stddev_samp("value").alias("deviation"),
-        F.min("value").alias("low"),
-        F.max("value").alias("high"),
-    )
-    bandwidth = F.col("deviation") * F.pow(F.col("rows").cast("double"), F.lit(-0.2))
     grid = (
-        deviations.filter(F.col("deviation") > 0)
-        .withColumn("bandwidth", bandwidth)
-        .select(
+        rows.groupBy("series")
+        .agg(
+            F.expr("count(*) AS rows"),
+            F.expr("stddev_samp(value) * power(count(*), -0.2D) AS bandwidth"),
+            F.expr("min(value) AS low"),
+            F.expr("max(value) AS high"),
+        )
+        .filter("bandwidth > 0")
+        .selectExpr(
             "series",
             "rows",
             "bandwidth",
-            (F.col("low") - cut * F.col("bandwidth")).alias("start"),
-            (F.col("high") + cut * F.col("bandwidth")).alias("stop"),
+            f"low - {cut}D * bandwidth AS start",
+            f"high + {cut}D * bandwidth AS stop",
         )
-        .withColumn("step", (F.col("stop") - F.col("start")) / (points - 1))
+        .selectExpr("*", f"(stop - start) / {points - 1} AS step")
     )
-    kernel_input = counts.join(F.broadcast(grid), "series").select(
-        "*", F.explode(F.sequence(F.lit(0), F.lit(points - 1))).alias("point")
+    kernels = (
+        value_counts(rows)
+        .join(F.broadcast(grid), "series")
+        .selectExpr("*", f"explode(sequence(0, {points - 1})) AS point")
+        .selectExpr(
+            "series",
+            "point",
+            "n",
+            "start + point * step AS x",
+            "(start + point * step - value) / bandwidth AS u",
+            f"rows * bandwidth * {math.sqrt(2 * math.pi)}D AS scale",
+        )
     )
-    x = F.col("start") + F.col("point") * F.col("step")
-    u = (x - F.col("value")) / F.col("bandwidth")
-    scale = F.col("rows") * F.col("bandwidth") * math.sqrt(2 * math.pi)
     return (
-        kernel_input.groupBy("series", "point")
+        kernels.groupBy("series", "point")
         .agg(
-            F.max(x).alias("x"),
-            F.sum(F.col("n") * F.exp(u * u * -0.5)).alias("kernels"),
-            F.max(scale).alias("scale"),
+            F.expr("max(x) AS x"),
+            F.expr("sum(n * exp(u * u * -0.5D)) AS kernels"),
+            F.expr("max(scale) AS scale"),
         )
-        .select("series", "point", "x", (F.col("kernels") / F.col("scale")).alias("density"))
+        .selectExpr("series", "point", "x", "kernels / scale AS density")
     )
 
 
@@ -239,98 +244,103 @@ def density(rows, points=200, cut=0.0):
 
 def _box_fences(totals):
     """Quartiles and fences per series, interpolated between exact ranks."""
-
-    def at_rank(rank):
-        hit = (F.col("until") - F.col("n") <= rank) & (rank < F.col("until"))
-        return F.max(F.when(hit, F.col("value")))
-
-    names = {"q1": 0.25, "median": 0.5, "q3": 0.75}
-    measures = []
-    for name, share in names.items():
-        position = (F.col("total") - 1) * share
-        measures += [
-            at_rank(F.floor(position)).alias(f"{name}_below"),
-            at_rank(F.ceil(position)).alias(f"{name}_above"),
-            F.max(position - F.floor(position)).alias(f"{name}_part"),
-        ]
-    ranked = totals.groupBy("series").agg(F.max("total").alias("count"), *measures)
-    interpolated = ranked.select(
-        "series",
-        "count",
-        *[
-            (
-                F.col(f"{name}_below")
-                + (F.col(f"{name}_above") - F.col(f"{name}_below")) * F.col(f"{name}_part")
-            ).alias(name)
-            for name in names
-        ],
+    measures, interpolated = [], []
+    for name, share in (("q1", 0.25), ("median", 0.5), ("q3", 0.75)):
+        position = f"((total - 1) * {share}D)"
+        for side, rank in (("below", f"floor{position}"), ("above", f"ceil{position}")):
+            measures.append(
+                F.expr(
+                    f"max(if(until - n <= {rank} AND {rank} < until, value, NULL))"
+                    f" AS {name}_{side}"
+                )
+            )
+        measures.append(F.expr(f"max({position} - floor{position}) AS {name}_part"))
+        interpolated.append(
+            f"{name}_below + ({name}_above - {name}_below) * {name}_part AS {name}"
+        )
+    return (
+        totals.groupBy("series")
+        .agg(F.expr("max(total) AS count"), *measures)
+        .selectExpr("series", "count", *interpolated)
+        .selectExpr(
+            "*", "q1 - (q3 - q1) * 1.5D AS fence_low", "q3 + (q3 - q1) * 1.5D AS fence_high"
+        )
     )
-    reach = (F.col("q3") - F.col("q1")) * 1.5
-    return interpolated.withColumns({"fence_low": F.col("q1") - reach, "fence_high": F.col("q3") + reach})
 
 
 def box_stats(users, column):
     """Box figures of ``column`` per activity level, empty levels included.
 
     Whiskers end at the furthest values within 1.5 quartile ranges of the box.
+    Everything is computed from the distinct (active days, value) pairs.
     """
-    counts = value_counts(by_activity_level(users, column))
+    pairs = (
+        _days_and_values(users, column)
+        .groupBy("active_days", "value")
+        .agg(F.expr("count(*) AS pairs"))
+    )
+    largest = _largest_days(pairs)
+    counts = (
+        by_activity_level(pairs, largest)
+        .groupBy("series", "value")
+        .agg(F.expr("sum(pairs) AS n"))
+    )
     fences = _box_fences(running_totals(counts))
-    value = F.col("value")
-    inside = value.between(F.col("fence_low"), F.col("fence_high"))
-    whiskers = (
+    inside = "value BETWEEN fence_low AND fence_high"
+    boxes = (
         counts.join(F.broadcast(fences), "series")
         .groupBy("series")
         .agg(
-            F.min(F.when(inside, value)).alias("lowest"),
-            F.max(F.when(inside, value)).alias("highest"),
-            F.sum(F.when(inside, 0).otherwise(F.col("n"))).alias("outliers"),
+            F.expr("max(count) AS count"),
+            F.expr("max(q1) AS q1"),
+            F.expr("max(median) AS median"),
+            F.expr("max(q3) AS q3"),
+            F.expr(f"min(if({inside}, value, NULL)) AS lowest"),
+            F.expr(f"max(if({inside}, value, NULL)) AS highest"),
+            F.expr(f"sum(if({inside}, 0, n)) AS outliers"),
         )
+        .withColumnRenamed("series", "level")
+    )
+    levels = ", ".join(
+        f"struct({i} AS position, '{label}' AS level, {above} AS above)"
+        for i, (label, _, above) in enumerate(ACTIVITY_LEVELS)
+    )
+    spine = (
+        pairs.agg(F.expr("max(active_days) AS largest"))
+        .selectExpr("largest", f"inline(array({levels}))")
+        .filter("largest > above")
     )
-    boxes = fences.join(whiskers, "series").select(
-        F.col("series").alias("level"),
-        "count",
+    return spine.join(boxes, "level", "left").selectExpr(
+        "position",
+        "level",
+        "coalesce(count, 0) AS count",
         "q1",
         "median",
         "q3",
-        F.least(F.coalesce("lowest", "q1"), "q1").alias("whisker_low"),
-        F.greatest(F.coalesce("highest", "q3"), "q3").alias("whisker_high"),
-        "outliers",
+        "if(q1 IS NULL, NULL, least(lowest, q1)) AS whisker_low",
+        "if(q3 IS NULL, NULL, greatest(highest, q3)) AS whisker_high",
+        "coalesce(outliers, 0) AS outliers",
     )
-    return (
-        activity_levels(users.filter(_is_number(column)))
-        .select("position", "level")
-        .join(boxes, "level", "left")
-        .select(
-            "position",
-            "level",
-            F.coalesce("count", F.lit(0)).alias("count"),
-            "q1",
-            "median",
-            "q3",
-            "whisker_low",
-            "whisker_high",
-            F.coalesce("outliers", F.lit(0)).alias("outliers"),
-        )
-    )
-
-
-def _is_number(column):
-    as_double = F.col(column).try_cast("double")
-    return as_double.isNotNull() & ~F.isnan(as_double)
 
 
 def box_outliers(users, column):
     """Users whose value lies outside the fences of their activity level."""
-    rows = by_activity_level(users, column, keep=["user_id"])
-    fences = _box_fences(running_totals(value_counts(rows)))
+    rows = _days_and_values(users, column, keep=["user_id"])
+    leveled = by_activity_level(rows, _largest_days(rows))
+    fences = _box_fences(running_totals(value_counts(leveled)))
     return (
-        rows.join(F.broadcast(fences.select("series", "fence_low", "fence_high")), "series")
-        .filter(~F.col("value").between(F.col("fence_low"), F.col("fence_high")))
-        .select("user_id", F.col("series").alias("level"), "value")
+        leveled.join(F.broadcast(fences.select("series", "fence_low", "fence_high")), "series")
+        .filter("value NOT BETWEEN fence_low AND fence_high")
+        .selectExpr("user_id", "series AS level", "value")
     )
 
 
+def violin_densities(users, column):
+    """Density of ``column`` per activity level, drawn two bandwidths past the data."""
+    rows = _days_and_values(users, column)
+    return density(by_activity_level(rows, _largest_days(rows)), points=100, cut=2.0)
+
+
 # --- tables -------------------------------------------------------------------
 
 
@@ -343,21 +353,23 @@ def crosstab(df, row, column):
     counts need at least k * k / 2 events, so the list is a few megabytes even
     for trillions of events.
     """
-    counts = numeric_rows(df, [row, column]).groupBy(row, column).agg(F.count("*").alias("count"))
-    listed = counts.agg(F.collect_set(column).alias("listed")).scalar()
-    full = counts.select(row).distinct().select(row, F.explode(listed).alias(column))
-    return full.join(counts, [row, column], "left").select(
-        row, column, F.coalesce("count", F.lit(0)).alias("count")
+    counts = numeric_rows(df, [row, column]).groupBy(row, column).agg(F.expr("count(*) AS count"))
+    listed = counts.agg(F.expr(f"collect_set({column}) AS listed")).scalar()
+    full = (
+        counts.groupBy(row)
+        .agg(F.expr("count(*) AS pairs"))
+        .select(row, F.explode(listed).alias(column))
+    )
+    return full.join(counts, [row, column], "left").selectExpr(
+        row, column, "coalesce(count, 0) AS count"
     )
 
 
 def cumulative_shares(df, column):
     """Share of rows at or below each distinct value."""
     totals = running_totals(value_counts(as_series(df, [column])))
-    return totals.select("value", "n", (F.col("until") / F.col("total")).alias("share"))
+    return totals.selectExpr("value", "n", "until / total AS share")
 
 
 def scatter(df, x, y):
     return numeric_rows(df, [x, y])
-
-

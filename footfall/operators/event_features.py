@@ -9,10 +9,8 @@ precede it - is a row of a small table joined back on (user, stretch). Users of
 ordinary size have a single stretch, numbered 0.
 """
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from footfall.functions.expressions import event_time, is_behavior
 from footfall.operators.user_features import user_features
 from footfall.schema import EVENT_FEATURES, EVENT_ORDER, RAW_COLUMNS, TRAILING_EVENTS
 
@@ -37,45 +35,46 @@ def long_histories(events, long_history=LONG_HISTORY):
     hence safe to broadcast. ``events`` may contain copies: the result decides
     only where histories are cut, not what is counted.
     """
-    total = events.agg(F.count("*").alias("n")).scalar()
-    limit = F.greatest(F.lit(long_history), F.ceil(total / MAX_LONG_USERS))
+    total = events.selectExpr("count(*) AS n").scalar()
     return (
         events.groupBy("user_id")
         .agg(
-            F.count("*").alias("n"),
-            F.min("timestamp").alias("from_time"),
-            F.max("timestamp").alias("to_time"),
-            F.min("item_id").alias("from_item"),
-            F.max("item_id").alias("to_item"),
+            F.expr("count(*) AS n"),
+            F.expr("min(timestamp) AS from_time"),
+            F.expr("max(timestamp) AS to_time"),
+            F.expr("min(item_id) AS from_item"),
+            F.expr("max(item_id) AS to_item"),
         )
-        .filter(F.col("n") > limit)
-        .select(
+        .select("*", total.alias("total"))
+        .selectExpr("*", f"greatest({long_history}, ceil(total / {MAX_LONG_USERS})) AS most")
+        .filter("n > most")
+        .selectExpr(
             "user_id",
             "from_time",
             "from_item",
-            (F.col("to_time") - F.col("from_time") + 1).alias("seconds"),
-            (F.col("to_item") - F.col("from_item") + 1).alias("items"),
-            F.least(F.lit(MAX_STRETCHES), F.ceil(F.col("n") * CUTS_PER_LIMIT / limit))
-            .cast("int")
-            .alias("stretches"),
+            "to_time - from_time + 1 AS seconds",
+            "to_item - from_item + 1 AS items",
+            f"cast(least({MAX_STRETCHES}, ceil(n * {CUTS_PER_LIMIT} / most)) AS int) AS stretches",
         )
     )
 
 
-def _stretch():
-    """Stretch of an event: never decreases along EVENT_ORDER.
-
-    The item adds a fraction of a second, so even one crowded second can be cut.
-    """
-    second = F.col("timestamp") - F.col("from_time")
-    within = (F.col("item_id") - F.col("from_item")) / F.col("items")
-    share = (second + within) / F.col("seconds")
-    cut = F.floor(share * F.col("stretches")).cast("int")
-    return F.coalesce(F.least(F.greatest(cut, F.lit(0)), F.col("stretches") - 1), F.lit(0))
+# Stretch of an event: never decreases along EVENT_ORDER. The item adds a
+# fraction of a second, so even one crowded second can be cut.
+STRETCH = """
+    coalesce(
+        least(
+            greatest(
+                cast(floor((timestamp - from_time + (item_id - from_item) / items)
+                           / seconds * stretches) AS int),
+                0),
+            stretches - 1),
+        0)"""
 
 
 def _with_stretch(events, histories, how):
-    return events.join(F.broadcast(histories), "user_id", how).withColumn("stretch", _stretch())
+    joined = events.join(F.broadcast(histories), "user_id", how)
+    return joined.selectExpr(*events.columns, f"{STRETCH} AS stretch")
 
 
 def _carried(events, histories):
@@ -86,18 +85,19 @@ def _carried(events, histories):
     summary only so that this branch reads the same columns as the main one and
     shares its shuffle.
     """
-    last = F.max(F.struct(*EVENT_ORDER, "category_id"))
     pieces = (
         _with_stretch(events, histories, "inner")
         .groupBy("user_id", "stretch")
-        .agg(F.count("*").alias("n"), last.alias("last"))
+        .agg(
+            F.expr("count(*) AS n"),
+            F.expr(f"max(struct({', '.join(EVENT_ORDER)}, category_id)) AS last"),
+        )
     )
-    along = Window.partitionBy("user_id").orderBy("stretch")
-    return pieces.select(
+    return pieces.selectExpr(
         "user_id",
         "stretch",
-        F.sum("n").over(along.rowsBetween(Window.unboundedPreceding, -1)).alias("before"),
-        F.lag("last").over(along).alias("previous"),
+        "sum(n) OVER (PARTITION BY user_id ORDER BY stretch) - n AS before",
+        "lag(last) OVER (PARTITION BY user_id ORDER BY stretch) AS previous",
     )
 
 
@@ -108,37 +108,34 @@ def _trailing(events, histories):
     the same as its position capped at the frame length, and a two-row frame is
     the current row plus the one before: one sort and no sliding frames.
     """
-    order = Window.partitionBy("user_id", "stretch").orderBy(*EVENT_ORDER)
-    placed = _with_stretch(events, histories, "left").select(
+    order = f"(PARTITION BY user_id, stretch ORDER BY {', '.join(EVENT_ORDER)})"
+    placed = _with_stretch(events, histories, "left").selectExpr(
+        "*",
+        f"row_number() OVER {order} AS place",
+        f"lag(timestamp) OVER {order} AS time_before",
+        f"lag(behavior_type) OVER {order} AS behavior_before",
+    )
+    carried = F.broadcast(_carried(events, histories))
+    joined = placed.join(carried, ["user_id", "stretch"], "left").selectExpr(
         *events.columns,
         "stretch",
-        F.row_number().over(order).alias("position"),
-        F.lag("timestamp").over(order).alias("earlier_time"),
-        F.lag("behavior_type").over(order).alias("earlier_behavior"),
+        "place + coalesce(before, 0) AS position",
+        "coalesce(time_before, previous.timestamp) AS earlier_time",
+        "coalesce(behavior_before, previous.behavior_type) AS earlier_behavior",
     )
-    joined = placed.join(F.broadcast(_carried(events, histories)), ["user_id", "stretch"], "left")
-
-    position = F.col("position") + F.coalesce(F.col("before"), F.lit(0))
-    earlier_time = F.coalesce("earlier_time", "previous.timestamp")
-    earlier_behavior = F.coalesce("earlier_behavior", "previous.behavior_type")
-
-    def of_last_two(name):
-        current = F.when(is_behavior(name), 1).otherwise(0)
-        earlier = F.when(earlier_behavior == name, 1).otherwise(0)
-        return (current + earlier).cast("bigint")
-
-    gap = F.col("timestamp") - earlier_time
-    return joined.select(
+    return joined.selectExpr(
         *events.columns,
         "stretch",
         *[
-            F.least(position, F.lit(length)).cast("bigint").alias(name)
+            f"least(position, {length}) AS {name}"
             for name, length in TRAILING_EVENTS.items()
         ],
-        of_last_two("pv").alias("item_pv_count_1d"),
-        of_last_two("cart").alias("item_cart_count_1d"),
-        of_last_two("buy").alias("item_buy_count_1d"),
-        gap.alias("time_since_last_behavior"),
+        *[
+            f"bigint(if(behavior_type = '{name}', 1, 0) + if(earlier_behavior = '{name}', 1, 0))"
+            f" AS item_{name}_count_1d"
+            for name in ("pv", "cart", "buy")
+        ],
+        "timestamp - earlier_time AS time_since_last_behavior",
     )
 
 
@@ -160,25 +157,19 @@ def event_features(events, as_of=None, sizing=None, long_history=LONG_HISTORY):
     are not shuffled again and no user's events meet in one task.
     """
     histories = long_histories(events if sizing is None else sizing, long_history)
-    events = events.withColumn("timestamp_ts", event_time())
-    per_stretch = (
-        user_features(events, as_of)
-        .join(F.broadcast(histories), "user_id", "left")
-        .withColumn(
-            "stretch",
-            F.explode(F.sequence(F.lit(0), F.coalesce(F.col("stretches"), F.lit(1)) - 1)),
-        )
-        .drop(*[c for c in histories.columns if c != "user_id"])
+    users = user_features(events, as_of)
+    per_stretch = users.join(F.broadcast(histories), "user_id", "left").selectExpr(
+        *users.columns, "explode(sequence(0, coalesce(stretches, 1) - 1)) AS stretch"
     )
     return (
         _trailing(events, histories)
         .join(per_stretch, ["user_id", "stretch"])
-        .withColumns(
-            {
-                "hour": F.hour("timestamp_ts"),
-                "day_of_week": F.dayofweek("timestamp_ts"),
-                "behavior_interval": F.col("time_since_last_behavior"),
-            }
+        .selectExpr(
+            "*",
+            "timestamp_seconds(timestamp) AS timestamp_ts",
+            "hour(timestamp_seconds(timestamp)) AS hour",
+            "dayofweek(timestamp_seconds(timestamp)) AS day_of_week",
+            "time_since_last_behavior AS behavior_interval",
         )
         .select(*RAW_COLUMNS, "datetime", *EVENT_FEATURES)
     )

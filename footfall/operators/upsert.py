@@ -1,7 +1,5 @@
 """Keyed upsert into the user table."""
 
-from pyspark.sql import functions as F
-
 from footfall.schema import STORED_FEATURES
 
 
@@ -10,22 +8,17 @@ def upsert_users(stored, batch, loaded_at=None):
 
     Users in the batch are inserted or replaced, others stay as they are, and
     ``created_at`` keeps the time a user was first loaded. Loading the same
-    batch again changes nothing. ``stored`` is None for the first load.
+    batch again changes nothing. ``stored`` is None for the first load;
+    ``loaded_at`` is timestamp text, the present unless given.
 
     Both sides have one row per user, so the join keys cannot be skewed.
     """
-    now = F.current_timestamp() if loaded_at is None else F.lit(loaded_at).cast("timestamp")
+    now = "current_timestamp()" if loaded_at is None else f"timestamp '{loaded_at}'"
     if stored is None:
-        return batch.select("user_id", *STORED_FEATURES, now.alias("created_at"))
-    old, new = stored.alias("old"), batch.alias("new")
-    in_batch = F.col("new.user_id").isNotNull()
-    return old.join(new, F.col("old.user_id") == F.col("new.user_id"), "full_outer").select(
-        F.coalesce("new.user_id", "old.user_id").alias("user_id"),
-        *[
-            F.when(in_batch, F.col(f"new.{c}")).otherwise(F.col(f"old.{c}")).alias(c)
-            for c in STORED_FEATURES
-        ],
-        F.when(F.col("old.user_id").isNull(), now)
-        .otherwise(F.col("old.created_at"))
-        .alias("created_at"),
+        return batch.selectExpr("user_id", *STORED_FEATURES, f"{now} AS created_at")
+    merged = stored.alias("old").join(batch.alias("new"), "user_id", "full_outer")
+    return merged.selectExpr(
+        "user_id",
+        *[f"coalesce(new.{c}, old.{c}) AS {c}" for c in STORED_FEATURES],
+        f"coalesce(old.created_at, {now}) AS created_at",
     )

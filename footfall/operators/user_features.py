@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from footfall.functions.expressions import as_of_date, event_day, is_behavior, or_zero
+from footfall.functions.expressions import day_literal
 from footfall.schema import STORED_FEATURES
 
 
@@ -14,41 +14,35 @@ def user_features(events, as_of=None):
     active user spread over many tasks before they meet.
 
     The mean gap between events is (last - first) / (events - 1): the gaps of
-    consecutive events add up to that span.
+    consecutive events add up to that span. A user bought recently if the last
+    purchase is recent, dates after ``as_of`` included.
     """
-    today = as_of_date(as_of)
-    recent_buy = is_behavior("buy") & (F.datediff(today, event_day()) <= 7)
+    today = day_literal(as_of)
     totals = events.groupBy("user_id").agg(
-        F.count_distinct(event_day()).alias("active_days"),
-        F.count_distinct("item_id").alias("item_category_count"),
-        F.count("behavior_type").alias("events"),
-        F.count_if(is_behavior("pv")).alias("pv"),
-        F.count_if(is_behavior("cart")).alias("cart"),
-        F.count_if(is_behavior("buy")).alias("buy"),
-        F.count_if(is_behavior("fav")).alias("fav"),
-        F.min("timestamp").alias("first"),
-        F.max("timestamp").alias("last"),
-        F.max(F.when(recent_buy, 1).otherwise(0)).alias("recent_7d_buy"),
+        F.expr("count(DISTINCT to_date(timestamp_seconds(timestamp))) AS active_days"),
+        F.expr("count(DISTINCT item_id) AS item_category_count"),
+        F.expr("count(behavior_type) AS events"),
+        F.expr("count_if(behavior_type = 'pv') AS pv"),
+        F.expr("count_if(behavior_type = 'cart') AS cart"),
+        F.expr("count_if(behavior_type = 'buy') AS buy"),
+        F.expr("count_if(behavior_type = 'fav') AS fav"),
+        F.expr("min(timestamp) AS first"),
+        F.expr("max(timestamp) AS last"),
+        F.expr("max(CASE WHEN behavior_type = 'buy' THEN timestamp END) AS last_buy"),
     )
-    last = F.timestamp_seconds("last")
-    ratios = [
-        F.try_divide(F.col(name), F.col("events")).alias(f"{name}_ratio")
-        for name in ("pv", "cart", "buy", "fav")
-    ]
-    return totals.select(
+    return totals.selectExpr(
         "user_id",
         "item_category_count",
         "active_days",
-        last.alias("last_behavior_time"),
-        F.datediff(today, F.to_date(last)).alias("days_since_last_behavior"),
-        *ratios,
-        F.when(F.col("cart") > 0, F.col("buy") / F.col("cart"))
-        .otherwise(F.lit(0.0))
-        .alias("cart2buy_rate"),
-        F.try_divide(F.col("last") - F.col("first"), F.col("events") - 1).alias(
-            "avg_behavior_interval"
-        ),
-        "recent_7d_buy",
+        "timestamp_seconds(last) AS last_behavior_time",
+        f"datediff({today}, to_date(timestamp_seconds(last))) AS days_since_last_behavior",
+        "try_divide(pv, events) AS pv_ratio",
+        "try_divide(cart, events) AS cart_ratio",
+        "try_divide(buy, events) AS buy_ratio",
+        "try_divide(fav, events) AS fav_ratio",
+        "coalesce(try_divide(buy, cart), 0D) AS cart2buy_rate",
+        "try_divide(last - first, events - 1) AS avg_behavior_interval",
+        f"if(datediff({today}, to_date(timestamp_seconds(last_buy))) <= 7, 1, 0) AS recent_7d_buy",
     )
 
 
@@ -58,11 +52,13 @@ def users_of_event_features(features):
     Every stored feature is constant within its user, so any aggregate that
     skips nulls returns it; ``max`` combines on the map side.
     """
-    return features.groupBy("user_id").agg(*[F.max(c).alias(c) for c in STORED_FEATURES])
+    return features.groupBy("user_id").agg({c: "max" for c in STORED_FEATURES}).selectExpr(
+        "user_id", *[f"`max({c})` AS {c}" for c in STORED_FEATURES]
+    )
 
 
 def stored_rows(users):
     """The columns and types of the user table, nulls stored as 0."""
-    return users.select(
-        "user_id", *[or_zero(c, t).alias(c) for c, t in STORED_FEATURES.items()]
+    return users.selectExpr(
+        "user_id", *[f"cast(coalesce({c}, 0) AS {t}) AS {c}" for c, t in STORED_FEATURES.items()]
     )

@@ -21,13 +21,15 @@ from footfall.operators.cells import decode_cells
 from footfall.schema import STORED_FEATURES
 
 
-def _within(df, value_of, bounds):
-    for column, low, high in bounds:
+def _bounds(value_of, days, ratio):
+    """Conditions of the inclusive ranges that are given."""
+    conditions = []
+    for column, (low, high) in (("active_days", days), ("buy_ratio", ratio)):
         if low is not None:
-            df = df.filter(value_of(column) >= low)
+            conditions.append(f"{value_of(column)} >= {float(low)!r}D")
         if high is not None:
-            df = df.filter(value_of(column) <= high)
-    return df
+            conditions.append(f"{value_of(column)} <= {float(high)!r}D")
+    return conditions
 
 
 def query_table(
@@ -47,14 +49,9 @@ def query_table(
     """Filter, sort, limit, project. Filters and columns reach the source."""
     if user_id is not None:
         users = users.filter(F.col("user_id") == F.lit(user_id).try_cast("bigint"))
-    users = _within(
-        users,
-        F.col,
-        [
-            ("active_days", min_active_days, max_active_days),
-            ("buy_ratio", min_buy_ratio, max_buy_ratio),
-        ],
-    )
+    days, ratio = (min_active_days, max_active_days), (min_buy_ratio, max_buy_ratio)
+    for condition in _bounds(str, days, ratio):
+        users = users.filter(condition)
     rows = limit if limit is not None else top_n
     if order_by:
         key = F.col(order_by)
@@ -91,19 +88,19 @@ def query_cells(
     if user_id is not None:
         return decode_cells(cells.filter(F.col("row_key") == str(user_id)), shown)
 
-    bounds = [
-        ("active_days", min_active_days, max_active_days),
-        ("buy_ratio", min_buy_ratio, max_buy_ratio),
-    ]
-    used = {c for c, low, high in bounds if low is not None or high is not None} | {order_by}
+    days, ratio = (min_active_days, max_active_days), (min_buy_ratio, max_buy_ratio)
+    used = {order_by}
+    used |= {"active_days"} if days != (None, None) else set()
+    used |= {"buy_ratio"} if ratio != (None, None) else set()
     rows = decode_cells(cells, [c for c in STORED_FEATURES if c in shown or c in used])
 
     def value_of(column):
-        return F.coalesce(number(column), F.lit(0.0)) if column in rows.columns else F.lit(0.0)
+        return f"coalesce({number(column)}, 0D)" if column in rows.columns else "0D"
 
-    rows = _within(rows, value_of, bounds)
+    for condition in _bounds(value_of, days, ratio):
+        rows = rows.filter(condition)
     if order_by:
-        key = value_of(order_by)
+        key = F.expr(value_of(order_by))
         rows = rows.orderBy(key.desc() if desc else key.asc(), "user_id")
     else:
         rows = rows.orderBy("user_id")
@@ -131,18 +128,14 @@ def high_intent_users(users, min_buy_ratio, **options):
 
 def top_active_users(users, n=10):
     """The ``n`` users with the most active days, as drawn in the bar chart."""
-    days = number("active_days")
-    ranked = users.select("user_id", days.alias("active_days")).filter(
-        F.col("active_days").isNotNull()
+    ranked = users.selectExpr("user_id", f"{number('active_days')} AS active_days")
+    return (
+        ranked.filter("active_days IS NOT NULL").orderBy(F.desc("active_days"), "user_id").limit(n)
     )
-    return ranked.orderBy(F.desc("active_days"), "user_id").limit(n)
 
 
 def verify_table(users, n=5):
     """Row count of the table beside its ``n`` most active users."""
-    total = users.agg(F.count("*").alias("n")).scalar()
-    return (
-        users.orderBy(F.desc("active_days"), "user_id")
-        .limit(n)
-        .select(total.alias("total_rows"), "*")
-    )
+    total = users.selectExpr("count(*) AS n").scalar()
+    top = users.orderBy(F.desc("active_days"), "user_id").limit(n)
+    return top.select(total.alias("total_rows"), "*")

@@ -16,14 +16,9 @@ def buy_ratio_density(users):
     return d.density(d.as_series(users, ["buy_ratio"]))
 
 
-def buy_ratio_violins(users):
-    """Densities per activity level, drawn two bandwidths past the data."""
-    return d.density(d.by_activity_level(users, "buy_ratio"), points=100, cut=2)
-
-
 def pair_densities(users):
     """Diagonal of the pair matrix, drawn three bandwidths past the data."""
-    return d.density(d.as_series(users, PAIR_COLUMNS), cut=3)
+    return d.density(d.as_series(users, PAIR_COLUMNS), cut=3.0)
 
 
 def figure_tables(users, top_n=10):
@@ -38,7 +33,7 @@ def figure_tables(users, top_n=10):
         "active_days_vs_buy_ratio_box": d.box_stats(users, "buy_ratio"),
         "active_days_vs_buy_ratio_outliers": d.box_outliers(users, "buy_ratio"),
         "active_days_vs_category": d.scatter(users, "active_days", "item_category_count"),
-        "active_days_vs_buy_ratio_violin": buy_ratio_violins(users),
+        "active_days_vs_buy_ratio_violin": d.violin_densities(users, "buy_ratio"),
         "active_days_vs_category_heatmap": d.crosstab(users, "active_days", "item_category_count"),
         "buy_ratio_ecdf": d.cumulative_shares(users, "buy_ratio"),
         "pair_rows": numeric_rows(users, PAIR_COLUMNS),

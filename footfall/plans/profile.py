@@ -1,60 +1,56 @@
 """Profile of a feature table: schema, description, sample and its quartiles."""
 
-from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType, StringType
 
 from footfall.schema import EVENT_ORDER
 
 
-def _stacked(aggregated, entries):
-    """One row per struct column of a one-row aggregate."""
-    return aggregated.select(F.explode(F.array(*[F.col(e) for e in entries])).alias("entry")).select(
-        "entry.*"
-    )
+def _numeric(df):
+    return [f.name for f in df.schema.fields if isinstance(f.dataType, NumericType)]
+
+
+def _texts(df):
+    return [f.name for f in df.schema.fields if isinstance(f.dataType, StringType)]
+
+
+def _one_row_each(df, structs):
+    """One row per struct of aggregates, from a single pass over ``df``."""
+    return df.selectExpr(f"array({', '.join(structs)}) AS entries").selectExpr("inline(entries)")
 
 
 def describe(df):
     """Count, mean, deviation and extremes of numeric and text columns.
 
-    One aggregate over one pass, whatever the number of columns. Extremes of
-    text columns are in their own two columns, so numbers stay numbers.
+    Extremes of text columns are in their own two columns, so numbers stay
+    numbers. Other types are left out.
     """
-    measures, described = [], []
-    for field in df.schema.fields:
-        numeric = isinstance(field.dataType, NumericType)
-        if not numeric and not isinstance(field.dataType, StringType):
-            continue
-        column = F.col(field.name)
-        value = column.cast("double") if numeric else F.lit(None).cast("double")
-        text = F.lit(None).cast("string") if numeric else column
-        described.append(field.name)
-        measures.append(
-            F.struct(
-                F.lit(field.name).alias("column_name"),
-                F.count(column).alias("count"),
-                F.avg(value).alias("mean"),
-                F.stddev_samp(value).alias("stddev"),
-                F.min(value).alias("min"),
-                F.max(value).alias("max"),
-                F.min(text).alias("min_text"),
-                F.max(text).alias("max_text"),
-            ).alias(field.name)
-        )
-    return _stacked(df.agg(*measures), described)
+    numbers = [
+        f"""struct('{c}' AS column_name, count(`{c}`) AS count, avg(`{c}`) AS mean,
+                   stddev_samp(`{c}`) AS stddev, double(min(`{c}`)) AS min,
+                   double(max(`{c}`)) AS max, string(NULL) AS min_text,
+                   string(NULL) AS max_text)"""
+        for c in _numeric(df)
+    ]
+    texts = [
+        f"""struct('{c}' AS column_name, count(`{c}`) AS count, double(NULL) AS mean,
+                   double(NULL) AS stddev, double(NULL) AS min, double(NULL) AS max,
+                   min(`{c}`) AS min_text, max(`{c}`) AS max_text)"""
+        for c in _texts(df)
+    ]
+    return _one_row_each(df, numbers + texts)
 
 
 def schema_rows(df):
     """Position, name and type of each column with its number of values."""
-    entries = [
-        F.struct(
-            F.lit(position).alias("position"),
-            F.lit(field.name).alias("column_name"),
-            F.lit(field.dataType.simpleString()).alias("data_type"),
-            F.count(field.name).alias("values"),
-        ).alias(field.name)
-        for position, field in enumerate(df.schema.fields, 1)
-    ]
-    return _stacked(df.agg(*entries), df.columns)
+    return _one_row_each(
+        df,
+        [
+            f"""struct({position} AS position, '{field.name}' AS column_name,
+                       '{field.dataType.simpleString()}' AS data_type,
+                       count(`{field.name}`) AS values)"""
+            for position, field in enumerate(df.schema.fields, 1)
+        ],
+    )
 
 
 def sample(features, n=1000):
@@ -66,22 +62,14 @@ def sample(features, n=1000):
 def quartiles(sampled):
     """Count, mean, deviation, extremes and interpolated quartiles per numeric
     column. Exact percentiles hold all values, hence for samples only."""
-    numeric = [f.name for f in sampled.schema.fields if isinstance(f.dataType, NumericType)]
-    measures = []
-    for name in numeric:
-        value = F.col(name).cast("double")
-        measures.append(
-            F.struct(
-                F.lit(name).alias("column_name"),
-                F.count(name).alias("count"),
-                F.avg(value).alias("mean"),
-                F.stddev_samp(value).alias("std"),
-                F.min(value).alias("min"),
-                *[
-                    F.percentile(value, F.lit(share)).alias(label)
-                    for label, share in (("p25", 0.25), ("p50", 0.5), ("p75", 0.75))
-                ],
-                F.max(value).alias("max"),
-            ).alias(name)
-        )
-    return _stacked(sampled.agg(*measures), numeric)
+    return _one_row_each(
+        sampled,
+        [
+            f"""struct('{c}' AS column_name, count(`{c}`) AS count, avg(`{c}`) AS mean,
+                       stddev_samp(`{c}`) AS std, double(min(`{c}`)) AS min,
+                       double(percentile(`{c}`, 0.25)) AS p25,
+                       double(percentile(`{c}`, 0.5)) AS p50,
+                       double(percentile(`{c}`, 0.75)) AS p75, double(max(`{c}`)) AS max)"""
+            for c in _numeric(sampled)
+        ],
+    )

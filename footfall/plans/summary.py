@@ -1,31 +1,27 @@
 """Overview figures and segments of the user table."""
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from footfall.functions.expressions import user_segment
-
+from footfall.functions.expressions import USER_SEGMENT
 
 
 def activity_summary(users):
-    days = F.col("active_days")
-    return users.agg(
-        F.count("*").alias("total_users"),
-        F.min(days).alias("min_active_days"),
-        F.max(days).alias("max_active_days"),
-        F.avg(days).alias("avg_active_days"),
-        F.count_if(days == 1).alias("single_day_users"),
-        F.count_if(days >= 5).alias("high_active_users"),
+    return users.selectExpr(
+        "count(*) AS total_users",
+        "min(active_days) AS min_active_days",
+        "max(active_days) AS max_active_days",
+        "avg(active_days) AS avg_active_days",
+        "count_if(active_days = 1) AS single_day_users",
+        "count_if(active_days >= 5) AS high_active_users",
     )
 
 
 def purchase_summary(users):
-    ratio = F.col("buy_ratio")
-    return users.agg(
-        F.count_if(ratio > 0).alias("buyers"),
-        F.count_if(ratio == 0).alias("non_buyers"),
-        F.avg(ratio).alias("avg_buy_ratio"),
-        F.max(ratio).alias("max_buy_ratio"),
+    return users.selectExpr(
+        "count_if(buy_ratio > 0) AS buyers",
+        "count_if(buy_ratio = 0) AS non_buyers",
+        "avg(buy_ratio) AS avg_buy_ratio",
+        "max(buy_ratio) AS max_buy_ratio",
     )
 
 
@@ -35,12 +31,10 @@ def user_segments(users):
     The total is a window over the grouped rows, of which there are at most
     four, so users are read once.
     """
-    counts = users.groupBy(user_segment(F.col("active_days")).alias("user_segment")).agg(
-        F.count("*").alias("user_count")
+    return (
+        users.selectExpr(f"{USER_SEGMENT} AS user_segment")
+        .groupBy("user_segment")
+        .agg(F.expr("count(*) AS user_count"))
+        .selectExpr("*", "round(user_count * 100D / sum(user_count) OVER (), 2) AS percentage")
+        .orderBy(F.desc("user_count"), "user_segment")
     )
-    total = F.sum("user_count").over(Window.partitionBy())
-    return counts.select(
-        "user_segment",
-        "user_count",
-        F.round(F.col("user_count") * 100.0 / total, 2).alias("percentage"),
-    ).orderBy(F.desc("user_count"), "user_segment")

@@ -57,5 +57,5 @@ def land(lines, folder, checkpoint, trigger=None, max_lines_per_file=None):
 
 def as_lines(raw):
     """Raw log rows as the text lines a producer would send; nulls are empty."""
-    fields = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in raw.columns]
-    return raw.select(F.concat_ws(",", *fields).alias("value"))
+    fields = ", ".join(f"coalesce(string(`{c}`), '')" for c in raw.columns)
+    return raw.selectExpr(f"concat_ws(',', {fields}) AS value")

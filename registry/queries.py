@@ -4,8 +4,6 @@ Doubles are rounded and times shown as text, so that results can be compared
 with another engine value by value.
 """
 
-from pyspark.sql import functions as F
-
 from footfall.functions.expressions import numeric_rows
 from footfall.operators import distributions as d
 from footfall.operators.cells import decode_cells, decode_numbers, encode_cells, head_cells, merge_cells
@@ -28,15 +26,10 @@ LOADS_SPLIT_AT = 1704153600  # 2024-01-02 00:00:00
 
 
 def comparable(df, digits=6):
-    columns = []
-    for field in df.schema.fields:
-        column, kind = F.col(field.name), field.dataType.typeName()
-        if kind == "double":
-            column = F.round(column, digits)
-        elif kind == "timestamp":
-            column = F.date_format(column, "yyyy-MM-dd HH:mm:ss")
-        columns.append(column.alias(field.name))
-    return df.select(*columns)
+    shown = {"double": f"round(`{{0}}`, {digits})", "timestamp": "date_format(`{0}`, 'yyyy-MM-dd HH:mm:ss')"}
+    return df.selectExpr(
+        *[f"{shown.get(kind, '`{0}`').format(name)} AS `{name}`" for name, kind in df.dtypes]
+    )
 
 
 def cleaned(spark, folder):
@@ -70,31 +63,34 @@ PV_COUNTS = ["pv_count_1d", "pv_count_7d", "pv_count_30d"]
 BEHAVIOR_COUNTS = ["item_pv_count_1d", "item_cart_count_1d", "item_buy_count_1d"]
 
 
+def _two_loads(events):
+    first = user_features(events.filter(f"timestamp < {LOADS_SPLIT_AT}"), "2024-01-30")
+    second = user_features(events.filter(f"timestamp >= {LOADS_SPLIT_AT}"), AS_OF)
+    return stored_rows(first), stored_rows(second)
+
+
 def feature_upsert(spark, folder):
     events = cleaned(spark, folder)
-    early = F.col("timestamp") < LOADS_SPLIT_AT
-    first = stored_rows(user_features(events.filter(early), "2024-01-30"))
-    second = stored_rows(user_features(events.filter(~early), AS_OF))
+    first, second = _two_loads(events)
     table = upsert_users(None, first, "2024-01-30 00:00:00")
     return upsert_users(table, second, "2024-01-31 00:00:00")
 
 
 def cells_merge(spark, folder):
     events = cleaned(spark, folder)
-    early = F.col("timestamp") < LOADS_SPLIT_AT
-    first = encode_cells(stored_rows(user_features(events.filter(early), "2024-01-30")))
-    second = encode_cells(stored_rows(user_features(events.filter(~early), AS_OF)))
-    merged = merge_cells(merge_cells(None, first), second)
-    return _cells_as_numbers(merged)
+    first, second = _two_loads(events)
+    table = merge_cells(None, encode_cells(first))
+    return _cells_as_numbers(merge_cells(table, encode_cells(second)))
 
 
 def _cells_as_numbers(rows):
-    return rows.select("row_key", "column", F.col("value").try_cast("double").alias("value"))
+    return rows.selectExpr("row_key", "column", "try_cast(value AS double) AS value")
 
 
 def _typed(decoded):
-    return decoded.select(
-        "user_id", *[F.col(c).try_cast(t).alias(c) for c, t in STORED_FEATURES.items() if c in decoded.columns]
+    kinds = {c: t for c, t in STORED_FEATURES.items() if c in decoded.columns}
+    return decoded.selectExpr(
+        "user_id", *[f"try_cast({c} AS {t}) AS {c}" for c, t in kinds.items()]
     )
 
 
@@ -221,7 +217,7 @@ QUERIES = {
     "box_outliers": lambda s, f: comparable(d.box_outliers(stored(s, f), "buy_ratio")),
     "kde_active_days": lambda s, f: comparable(figures.active_days_density(stored(s, f))),
     "kde_buy_ratio": lambda s, f: comparable(figures.buy_ratio_density(stored(s, f))),
-    "kde_by_group": lambda s, f: comparable(figures.buy_ratio_violins(stored(s, f))),
+    "kde_by_group": lambda s, f: comparable(d.violin_densities(stored(s, f), "buy_ratio")),
     "kde_pair_features": lambda s, f: comparable(figures.pair_densities(stored(s, f))),
     # stream
     "ingest_buckets": ingest_buckets,

@@ -1,0 +1,204 @@
+import random
+
+import numpy as np
+import pandas as pd
+import pytest
+
+from footfall.operators import distributions as d
+from footfall.plans import figures, profile
+from tests.conftest import rows
+
+
+def frame(spark, values, kind="double", name="v"):
+    return spark.createDataFrame([(v,) for v in values], f"{name} {kind}")
+
+
+@pytest.mark.parametrize(
+    "days, expected",
+    [
+        ([0, 1, 6, 7], [("0d", 1), ("1-7d", 3)]),
+        ([0, 1, 6, 7, 8], [("0d", 1), ("1-7d", 2), ("8-30d", 2)]),
+        ([0, 1], [("0d", 2)]),
+        ([1, 2], [("0d", 0), ("1-7d", 2)]),
+        ([400], [("0d", 0), ("1-7d", 0), ("8-30d", 0), ("31-90d", 0), ("91-365d", 0), (">365d", 1)]),
+        (
+            [0, 1, 7, 30, 90, 365, 366],
+            [("0d", 1), ("1-7d", 1), ("8-30d", 1), ("31-90d", 1), ("91-365d", 1), (">365d", 2)],
+        ),
+        ([], []),
+    ],
+)
+def test_activity_levels(spark, days, expected):
+    got = d.activity_levels(frame(spark, days, "int", "active_days")).orderBy("position")
+    assert rows(got, "level", "user_count") == expected
+    shares = [r.percentage for r in got.collect()]
+    assert not days or sum(shares) == pytest.approx(100)
+
+
+def test_level_of_a_user_agrees_with_level_counts(spark):
+    days = [random.Random(1).randrange(400) for _ in range(200)]
+    users = spark.createDataFrame([(v, 0.5) for v in days], "active_days int, buy_ratio double")
+    pairs = users.withColumnRenamed("buy_ratio", "value")
+    leveled = d.by_activity_level(pairs, pairs.selectExpr("max(active_days)").scalar())
+    counted = dict(rows(leveled.groupBy("series").count()))
+    assert counted == {l: n for l, n in rows(d.activity_levels(users), "level", "user_count") if n}
+
+
+def test_integer_histogram(spark):
+    got = d.integer_histogram(frame(spark, [0, 3, 3, None, 5], "int"), "v").orderBy("bin")
+    assert rows(got) == [(0, 1), (1, 0), (2, 0), (3, 2), (4, 0), (5, 1)]
+    assert rows(d.integer_histogram(frame(spark, [], "int"), "v")) == []
+
+
+def test_equal_width_histogram_edges(spark):
+    got = d.equal_width_histogram(frame(spark, [0.0, 0.5, 1.0]), "v", 2).orderBy("bin")
+    assert rows(got, "count") == [(1,), (2,)]
+    flat = d.equal_width_histogram(frame(spark, [2.0, 2.0]), "v", 4).orderBy("bin")
+    assert rows(flat, "bin_low", "count") == [(1.5, 0), (1.75, 0), (2.0, 2), (2.25, 0)]
+    assert rows(d.equal_width_histogram(frame(spark, []), "v", 4)) == []
+
+
+@pytest.mark.parametrize("bins", [7, 20, 50])
+def test_equal_width_histogram_equals_numpy(spark, bins):
+    rng = random.Random(bins)
+    values = [rng.randrange(1, 40) / rng.randrange(1, 40) for _ in range(500)]
+    got = d.equal_width_histogram(frame(spark, values), "v", bins).orderBy("bin")
+    assert [n for (n,) in rows(got, "count")] == list(np.histogram(values, bins)[0])
+
+
+def test_text_is_read_as_numbers_and_the_rest_left_out(spark):
+    got = d.cumulative_shares(frame(spark, ["1", "1", "2", "4", "x", None, "NaN"], "string"), "v")
+    assert sorted(rows(got)) == [(1.0, 2, 0.5), (2.0, 1, 0.75), (4.0, 1, 1.0)]
+
+
+@pytest.mark.parametrize("slices", [1, 3, 4096])
+def test_running_totals_over_slices(spark, monkeypatch, slices):
+    monkeypatch.setattr(d, "SLICES", slices)
+    rng = random.Random(slices)
+    values = [rng.choice([0.0, 1e9, rng.random(), rng.gauss(0, 5)]) for _ in range(400)]
+    got = dict(rows(d.cumulative_shares(frame(spark, values), "v"), "value", "share"))
+    assert got == {v: pytest.approx(sum(w <= v for w in values) / len(values)) for v in values}
+    assert got[max(values)] == 1.0
+
+
+def kernel_density(values, points, cut):
+    values = np.array(values, dtype=float)
+    h = values.std(ddof=1) * len(values) ** -0.2
+    grid = np.linspace(values.min() - cut * h, values.max() + cut * h, points)
+    u = (grid[:, None] - values[None, :]) / h
+    return grid, np.exp(-0.5 * u * u).sum(axis=1) / (len(values) * h * np.sqrt(2 * np.pi))
+
+
+@pytest.mark.parametrize("points, cut", [(200, 0.0), (100, 2.0)])
+def test_density(spark, points, cut):
+    rng = random.Random(points)
+    values = [round(rng.random(), 1) for _ in range(150)]
+    series = d.as_series(frame(spark, values), ["v"])
+    got = d.density(series, points, cut).orderBy("point").toPandas()
+    grid, expected = kernel_density(values, points, cut)
+    assert np.allclose(got["x"], grid) and np.allclose(got["density"], expected)
+
+
+def test_density_needs_two_distinct_values(spark):
+    for values in ([], [1.0], [1.0, 1.0]):
+        assert rows(d.density(d.as_series(frame(spark, values), ["v"]))) == []
+
+
+def users(spark, pairs):
+    named = [(i, days, ratio) for i, (days, ratio) in enumerate(pairs)]
+    return spark.createDataFrame(named, "user_id bigint, active_days int, buy_ratio double")
+
+
+def test_box_of_hand_fixture(spark):
+    given = users(spark, [(1, v) for v in (1.0, 2.0, 3.0, 4.0, 100.0)])
+    assert rows(d.box_stats(given, "buy_ratio").drop("position")) == [
+        ("0d", 5, 2.0, 3.0, 4.0, 1.0, 4.0, 1)
+    ]
+    assert rows(d.box_outliers(given, "buy_ratio")) == [(4, "0d", 100.0)]
+
+
+def test_quartiles_are_interpolated(spark):
+    box = d.box_stats(users(spark, [(1, v) for v in (1.0, 2.0, 3.0, 10.0)]), "buy_ratio")
+    assert rows(box, "q1", "median", "q3") == [(1.75, 2.5, 4.75)]
+
+
+def test_boxes_equal_pandas(spark):
+    rng = random.Random(3)
+    given = [(rng.choice([0, 3, 9, 12]), round(rng.gauss(0, 1), 2)) for _ in range(300)]
+    got = d.box_stats(users(spark, given), "buy_ratio").toPandas().set_index("level")
+    pdf = pd.DataFrame(given, columns=["days", "v"])
+    pdf["level"] = pd.cut(pdf.days, [0, 1, 7, 13], labels=["0d", "1-7d", "8-30d"], right=False)
+    for level, group in pdf.groupby("level", observed=True).v:
+        q1, median, q3 = group.quantile([0.25, 0.5, 0.75])
+        inside = group[group.between(q1 - 1.5 * (q3 - q1), q3 + 1.5 * (q3 - q1))]
+        expected = [len(group), q1, median, q3, inside.min(), inside.max(), len(group) - len(inside)]
+        assert list(got.loc[level].drop("position")) == pytest.approx(expected)
+
+
+def test_empty_levels_have_empty_boxes(spark):
+    got = d.box_stats(users(spark, [(20, 0.5), (20, 0.7)]), "buy_ratio").orderBy("position")
+    assert rows(got, "level", "count", "median") == [
+        ("0d", 0, None), ("1-7d", 0, None), ("8-30d", 2, pytest.approx(0.6)),
+    ]
+
+
+def test_crosstab(spark):
+    df = spark.createDataFrame([(1, 1), (1, 1), (2, 3), (2, None)], "a int, b int")
+    assert sorted(rows(d.crosstab(df, "a", "b"))) == [
+        (1.0, 1.0, 2), (1.0, 3.0, 0), (2.0, 1.0, 0), (2.0, 3.0, 1),
+    ]
+    assert rows(d.crosstab(df.filter("a > 5"), "a", "b")) == []
+
+
+def test_figure_tables_from_text_users(spark, cleaned):
+    from footfall.operators.cells import decode_cells, encode_cells
+    from footfall.operators.user_features import stored_rows, user_features
+
+    stored = stored_rows(user_features(cleaned, "2024-01-09"))
+    numbers = figures.figure_tables(stored)
+    texts = figures.figure_tables(decode_cells(encode_cells(stored)))
+
+    def rounded(table):
+        kept = table.drop("user_id")
+        return sorted(
+            (tuple(round(v, 9) if isinstance(v, float) else v for v in r) for r in rows(kept)),
+            key=str,
+        )
+
+    for name, table in numbers.items():
+        assert rounded(table) == rounded(texts[name]), name
+
+
+# --- profile -------------------------------------------------------------------
+
+
+def test_describe(spark):
+    df = spark.createDataFrame([(1, "b", 2.0), (3, "a", None)], "n int, s string, x double")
+    got = {r.column_name: tuple(r)[1:] for r in profile.describe(df).collect()}
+    assert got["n"] == (2, 2.0, pytest.approx(2**0.5), 1.0, 3.0, None, None)
+    assert got["s"] == (2, None, None, None, None, "a", "b")
+    assert got["x"] == (1, 2.0, None, 2.0, 2.0, None, None)
+
+
+def test_describe_agrees_with_spark(spark, cleaned):
+    built_in = {r["summary"]: r.asDict() for r in cleaned.describe().collect()}
+    for row in profile.describe(cleaned).collect():
+        assert int(built_in["count"][row.column_name]) == row["count"]
+        if row["mean"] is not None:
+            assert float(built_in["stddev"][row.column_name]) == pytest.approx(row["stddev"])
+
+
+def test_schema_rows(cleaned):
+    got = profile.schema_rows(cleaned).orderBy("position")
+    assert rows(got, "column_name", "data_type") == cleaned.dtypes
+    assert {r["values"] for r in got.collect()} == {6}
+
+
+def test_quartiles(spark):
+    got = profile.quartiles(frame(spark, [1, 2, 3, 10], "int")).collect()[0]
+    assert (got.p25, got.p50, got.p75, got["count"]) == (1.75, 2.5, 4.75, 4)
+
+
+def test_sample_is_stable(cleaned):
+    first = rows(profile.sample(cleaned, 4))
+    assert len(first) == 4 and first == rows(profile.sample(cleaned.repartition(7), 4))

@@ -19,13 +19,14 @@ from footfall.operators.user_features import (
 )
 from footfall.plans import feature_query, figures, profile, summary
 from footfall.schema import STORED_FEATURES
-from footfall.session import session
+from footfall.session import fit_shuffles, session
 from footfall.sources import behavior_log, user_table
 from footfall.streaming import ingest
 
 
 def clean(spark, options):
     """Raw log to cleaned log; counts are taken from what was written."""
+    fit_shuffles(spark, options.input)
     raw = behavior_log.read_raw_log(spark, options.input)
     behavior_log.write_stage(clean_events(raw), options.output)
     cleaned = behavior_log.read_stage(spark, options.output)
@@ -36,6 +37,7 @@ def clean(spark, options):
 def features(spark, options):
     """Cleaned log to event features and, if asked for, user features."""
     started = time.time()
+    fit_shuffles(spark, options.input)
     events = behavior_log.read_stage(spark, options.input)
     behavior_log.write_stage(event_features(events, options.as_of), options.output)
     if options.user_output:
@@ -45,6 +47,7 @@ def features(spark, options):
 
 def profile_features(spark, options):
     """Description, schema, sample, sample quartiles and sample histogram."""
+    fit_shuffles(spark, options.input)
     table = behavior_log.read_stage(spark, options.input)
     behavior_log.write_stage(profile.describe(table), f"{options.output}/description")
     behavior_log.write_stage(profile.schema_rows(table), f"{options.output}/schema")
@@ -64,6 +67,7 @@ def load(spark, options):
 
     The input may be event features (reduced to a row per user) or user features.
     """
+    fit_shuffles(spark, options.input)
     source = behavior_log.read_stage(spark, options.input)
     rows = stored_rows(users_of_event_features(source.select("user_id", *STORED_FEATURES)))
     if options.db == "cells":

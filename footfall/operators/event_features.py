@@ -35,17 +35,20 @@ def long_histories(events, long_history=LONG_HISTORY):
     hence safe to broadcast. ``events`` may contain copies: the result decides
     only where histories are cut, not what is counted.
     """
-    total = events.selectExpr("count(*) AS n").scalar()
-    return (
-        events.groupBy("user_id")
-        .agg(
-            F.expr("count(*) AS n"),
-            F.expr("min(timestamp) AS from_time"),
-            F.expr("max(timestamp) AS to_time"),
-            F.expr("min(item_id) AS from_item"),
-            F.expr("max(item_id) AS to_item"),
-        )
-        .select("*", total.alias("total"))
+    extents = events.groupBy("user_id").agg(
+        F.expr("count(*) AS n"),
+        F.expr("min(timestamp) AS from_time"),
+        F.expr("max(timestamp) AS to_time"),
+        F.expr("min(item_id) AS from_item"),
+        F.expr("max(item_id) AS to_item"),
+    )
+    # Only sum(n) is needed. Asking for the other columns as well keeps them from
+    # being pruned, so this subquery reads the shuffle made for the rows below.
+    whole = extents.selectExpr(
+        "struct(sum(n) AS n, min(from_time), max(to_time), min(from_item), max(to_item)) AS log"
+    ).scalar()
+    long_users = (
+        extents.select("*", whole["n"].alias("total"))
         .selectExpr("*", f"greatest({long_history}, ceil(total / {MAX_LONG_USERS})) AS most")
         .filter("n > most")
         .selectExpr(
@@ -57,6 +60,10 @@ def long_histories(events, long_history=LONG_HISTORY):
             f"cast(least({MAX_STRETCHES}, ceil(n * {CUTS_PER_LIMIT} / most)) AS int) AS stretches",
         )
     )
+    # The few rows left are gathered by a shuffle of their own: the pass over all
+    # users then belongs to an ordinary stage and not to the broadcast, which has
+    # a time limit.
+    return long_users.repartition(1)
 
 
 # Stretch of an event: never decreases along EVENT_ORDER. The item adds a

@@ -6,29 +6,57 @@ from footfall.functions.expressions import day_literal
 from footfall.schema import STORED_FEATURES
 
 
+def _daily_totals(events):
+    """Counts and extremes per user and calendar day."""
+    return (
+        events.selectExpr(
+            "user_id", "to_date(timestamp_seconds(timestamp)) AS day", "behavior_type", "timestamp"
+        )
+        .groupBy("user_id", "day")
+        .agg(
+            F.expr("count(behavior_type) AS events"),
+            F.expr("count_if(behavior_type = 'pv') AS pv"),
+            F.expr("count_if(behavior_type = 'cart') AS cart"),
+            F.expr("count_if(behavior_type = 'buy') AS buy"),
+            F.expr("count_if(behavior_type = 'fav') AS fav"),
+            F.expr("min(timestamp) AS first"),
+            F.expr("max(timestamp) AS last"),
+            F.expr("max(CASE WHEN behavior_type = 'buy' THEN timestamp END) AS last_buy"),
+        )
+    )
+
+
 def user_features(events, as_of=None):
-    """One row per user, from a single aggregate without windows.
+    """One row per user, from aggregates only.
 
-    Both distinct counts and the plain aggregates come from one Spark
-    aggregate. It is first grouped by (user, value), so the rows of a very
-    active user spread over many tasks before they meet.
+    Two distinct counts in one Spark aggregate would copy every event three
+    times. Days are counted from daily totals instead, which the other measures
+    are summed from, and items in an aggregate of their own. Both are grouped by
+    (user, value) before they are grouped by user, so the events of a very
+    active user are combined in many tasks; both end up partitioned by user, so
+    the join adds no shuffle. It is a left join on a unique key: Spark drops it
+    from queries that do not ask for the item count.
 
     The mean gap between events is (last - first) / (events - 1): the gaps of
     consecutive events add up to that span. A user bought recently if the last
     purchase is recent, dates after ``as_of`` included.
     """
     today = day_literal(as_of)
-    totals = events.groupBy("user_id").agg(
-        F.expr("count(DISTINCT to_date(timestamp_seconds(timestamp))) AS active_days"),
-        F.expr("count(DISTINCT item_id) AS item_category_count"),
-        F.expr("count(behavior_type) AS events"),
-        F.expr("count_if(behavior_type = 'pv') AS pv"),
-        F.expr("count_if(behavior_type = 'cart') AS cart"),
-        F.expr("count_if(behavior_type = 'buy') AS buy"),
-        F.expr("count_if(behavior_type = 'fav') AS fav"),
-        F.expr("min(timestamp) AS first"),
-        F.expr("max(timestamp) AS last"),
-        F.expr("max(CASE WHEN behavior_type = 'buy' THEN timestamp END) AS last_buy"),
+    items = events.groupBy("user_id").agg(
+        F.expr("count(DISTINCT item_id) AS item_category_count")
+    )
+    sums = [F.expr(f"sum({c}) AS {c}") for c in ("events", "pv", "cart", "buy", "fav")]
+    totals = (
+        _daily_totals(events)
+        .groupBy("user_id")
+        .agg(
+            F.expr("count(day) AS active_days"),
+            *sums,
+            F.expr("min(first) AS first"),
+            F.expr("max(last) AS last"),
+            F.expr("max(last_buy) AS last_buy"),
+        )
+        .join(items, "user_id", "left")
     )
     return totals.selectExpr(
         "user_id",

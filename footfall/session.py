@@ -13,6 +13,28 @@ def session(name="footfall", zone="UTC", **conf):
     return builder.getOrCreate()
 
 
+# Input bytes per shuffle partition, and the most partitions asked for.
+SHUFFLE_BYTES = 256 * 1024 * 1024
+MOST_PARTITIONS = 100_000
+
+
+def fit_shuffles(spark, path):
+    """Give the session enough shuffle partitions for the files under ``path``.
+
+    Adaptive execution merges partitions that turn out small but never adds any,
+    so the number has to suit the input from the start. A larger setting stays.
+    """
+    files = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = files.getFileSystem(spark._jsc.hadoopConfiguration())
+    size = sum(
+        system.getContentSummary(status.getPath()).getLength()
+        for status in system.globStatus(files) or []
+    )
+    current = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    wanted = min(MOST_PARTITIONS, -(-size // SHUFFLE_BYTES))
+    spark.conf.set("spark.sql.shuffle.partitions", max(current, wanted))
+
+
 def scratch_dir(spark, prefix):
     """A new folder every executor can see.
 

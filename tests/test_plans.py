@@ -25,6 +25,16 @@ def test_user_features_use_no_window(cleaned):
     assert "Window" not in plan(user_features(cleaned, "2024-01-09"))
 
 
+def test_item_counts_are_computed_only_when_asked_for(cleaned):
+    users = user_features(cleaned, "2024-01-09")
+    assert "Join" in plan(users)
+    assert "Join" not in plan(users.select("user_id", "active_days", "buy_ratio"))
+
+
+def test_user_features_do_not_multiply_events(cleaned):
+    assert "Expand" not in plan(user_features(cleaned, "2024-01-09"))
+
+
 def test_no_cross_joins_anywhere(spark, small):
     from registry.queries import QUERIES
 
@@ -59,3 +69,20 @@ def test_lookup_reaches_the_scan(spark, cleaned, tmp_path):
     assert "EqualTo(user_id,1)" in text
     schema = re.search(r"ReadSchema: struct<([^>]*)>", text).group(1)
     assert schema == "user_id:bigint,active_days:int,buy_ratio:double"
+
+
+def test_shuffle_partitions_follow_input_size(spark, tmp_path, monkeypatch):
+    from footfall import session
+
+    (tmp_path / "log.csv").write_text("1,2,3,pv,4\n" * 1000)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        session.fit_shuffles(spark, str(tmp_path))
+        assert spark.conf.get("spark.sql.shuffle.partitions") == before
+        monkeypatch.setattr(session, "SHUFFLE_BYTES", 1000)
+        session.fit_shuffles(spark, str(tmp_path / "*.csv"))
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "11"
+        session.fit_shuffles(spark, str(tmp_path / "none"))
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "11"
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)

@@ -1,5 +1,6 @@
 """Profile of a feature table: schema, description, sample and its quartiles."""
 
+from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType, StringType
 
 from footfall.schema import EVENT_ORDER
@@ -23,21 +24,32 @@ def describe(df):
 
     Extremes of text columns are in their own two columns, so numbers stay
     numbers. Other types are left out.
+
+    Numeric columns are stacked into (column, value) rows and combined on the map
+    side, which keeps the generated code small however many columns there are.
+    Extremes of text cannot be hash-aggregated by group, so the few text columns
+    are aggregated side by side.
     """
-    numbers = [
-        f"""struct('{c}' AS column_name, count(`{c}`) AS count, avg(`{c}`) AS mean,
-                   stddev_samp(`{c}`) AS stddev, double(min(`{c}`)) AS min,
-                   double(max(`{c}`)) AS max, string(NULL) AS min_text,
-                   string(NULL) AS max_text)"""
-        for c in _numeric(df)
-    ]
+    pairs = ", ".join(f"struct('{c}' AS column_name, double(`{c}`) AS value)" for c in _numeric(df))
+    numbers = (
+        df.selectExpr(f"inline(array({pairs}))")
+        .groupBy("column_name")
+        .agg(
+            F.expr("count(value) AS count"),
+            F.expr("avg(value) AS mean"),
+            F.expr("stddev_samp(value) AS stddev"),
+            F.expr("min(value) AS min"),
+            F.expr("max(value) AS max"),
+        )
+        .selectExpr("*", "string(NULL) AS min_text", "string(NULL) AS max_text")
+    )
     texts = [
         f"""struct('{c}' AS column_name, count(`{c}`) AS count, double(NULL) AS mean,
                    double(NULL) AS stddev, double(NULL) AS min, double(NULL) AS max,
                    min(`{c}`) AS min_text, max(`{c}`) AS max_text)"""
         for c in _texts(df)
     ]
-    return _one_row_each(df, numbers + texts)
+    return numbers.unionByName(_one_row_each(df, texts)) if texts else numbers
 
 
 def schema_rows(df):

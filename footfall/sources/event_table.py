@@ -16,19 +16,24 @@ def raw_log_from_events(events):
     """``events`` as raw log rows.
 
     * item: the number ``k`` inside ``props``; category: ``k`` in tens
+    * one user in ten never buys and one in ten never uses the cart: they view
     * a line with a value below 0.5 has no category
     * lines of items 0..4 arrive twice, and the second line of item 0 has lost
       its category
     * user ``u`` is active on ``1 + 7u mod 30`` calendar days: later days are
       folded back onto the first ones
     """
-    behavior = " ".join(f"WHEN '{kind}' THEN '{name}'" for kind, name in BEHAVIOR_OF.items())
+    behavior = " ".join(
+        f"WHEN event_type = '{kind}' THEN '{name}'" for kind, name in BEHAVIOR_OF.items()
+    )
     return (
         events.selectExpr(
             "user_id",
             "value",
             "cast(get_json_object(props, '$.k') AS bigint) AS item_id",
-            f"CASE event_type {behavior} ELSE event_type END AS behavior_type",
+            "CASE WHEN event_type = 'purchase' AND pmod(user_id, 10) = 0 THEN 'pv'"
+            " WHEN event_type = 'click' AND pmod(user_id, 10) = 5 THEN 'pv'"
+            f" {behavior} ELSE event_type END AS behavior_type",
             "unix_timestamp(ts) AS seconds",
         )
         .selectExpr(

@@ -8,8 +8,10 @@ LOG = """
 WITH lines AS (
   SELECT user_id, value,
          CAST(regexp_extract(props, '"k": *([0-9]+)', 1) AS BIGINT) AS item_id,
-         CASE event_type WHEN 'view' THEN 'pv' WHEN 'click' THEN 'cart'
-              WHEN 'signup' THEN 'fav' WHEN 'purchase' THEN 'buy'
+         CASE WHEN event_type = 'view' THEN 'pv'
+              WHEN event_type = 'click' THEN CASE user_id % 10 WHEN 5 THEN 'pv' ELSE 'cart' END
+              WHEN event_type = 'signup' THEN 'fav'
+              WHEN event_type = 'purchase' THEN CASE user_id % 10 WHEN 0 THEN 'pv' ELSE 'buy' END
               ELSE event_type END AS behavior_type,
          CAST(floor(epoch(ts)) AS BIGINT) AS seconds
   FROM events

@@ -170,34 +170,34 @@ def parse(arguments=None):
         return sub
 
     sub = add("clean", clean)
-    _path(sub, "--input", "RAW_INPUT")
-    _path(sub, "--output", "CLEANED_OUTPUT")
+    _path(sub, "--input", "HDFS_RAW_INPUT")
+    _path(sub, "--output", "HDFS_CLEANED_OUTPUT")
 
     sub = add("features", features)
-    _path(sub, "--input", "CLEANED_INPUT")
-    _path(sub, "--output", "FEATURE_OUTPUT")
+    _path(sub, "--input", "HDFS_CLEANED_INPUT")
+    _path(sub, "--output", "HDFS_FEATURE_OUTPUT")
     sub.add_argument("--user-output")
     sub.add_argument("--as-of", help="yyyy-MM-dd, today unless given")
 
     sub = add("profile", profile_features)
-    _path(sub, "--input", "FEATURE_INPUT")
+    _path(sub, "--input", "HDFS_FEATURE_INPUT")
     _path(sub, "--output", "PROFILE_OUTPUT")
     sub.add_argument("--sample-limit", type=int, default=1000)
 
     sub = add("load", load)
-    _path(sub, "--input", "FEATURE_INPUT")
+    _path(sub, "--input", "HDFS_FEATURE_INPUT")
     _store(sub)
-    sub.add_argument("--family", default=os.environ.get("COLUMN_FAMILY", "f"))
+    sub.add_argument("--family", default=os.environ.get("HBASE_COLUMN_FAMILY", "f"))
     sub.add_argument("--verify-limit", type=int, default=5)
 
     sub = add("query", query)
     _store(sub)
-    sub.add_argument("--user-id")
-    sub.add_argument("--top-n", type=int, default=10)
+    sub.add_argument("--user-id", "--user_id")
+    sub.add_argument("--top-n", "--topn", type=int, default=10)
     for bound in ("min", "max"):
-        sub.add_argument(f"--{bound}-active-days", type=float)
-        sub.add_argument(f"--{bound}-buy-ratio", type=float)
-    sub.add_argument("--order-by")
+        sub.add_argument(f"--{bound}-active-days", f"--{bound}_active_days", type=float)
+        sub.add_argument(f"--{bound}-buy-ratio", f"--{bound}_buy_ratio", type=float)
+    sub.add_argument("--order-by", "--order_by")
     sub.add_argument("--desc", action="store_true")
     sub.add_argument("--fields", help="comma-separated")
     sub.add_argument("--limit", type=int)
@@ -209,7 +209,7 @@ def parse(arguments=None):
     sub = add("figures", figure_data)
     _store(sub)
     _path(sub, "--output", "FIGURE_OUTPUT")
-    sub.add_argument("--top-n", type=int, default=10)
+    sub.add_argument("--top-n", "--topn", type=int, default=10)
 
     sub = add("land", land)
     _path(sub, "--servers", "KAFKA_SERVERS")

@@ -106,7 +106,7 @@ def test_jobs_from_raw_log_to_figures(spark, tmp_path, capsys):
     out = run("query", "--table", at("table"), "--order-by", "buy_ratio", "--desc", "--top-n", "1")
     assert re.search(r"\|3 +\|1 ", out)
     out = run(
-        "query", "--db", "cells", "--table", at("cells"), "--user-id", "2", "--fields", "pv_ratio"
+        "query", "--db", "cells", "--table", at("cells"), "--user_id", "2", "--fields", "pv_ratio"
     )
     assert re.search(r"\|2 +\|1\.0", out)
     run("query", "--table", at("table"), "--max-active-days", "1", "--output", at("found"))
@@ -120,10 +120,10 @@ def test_jobs_from_raw_log_to_figures(spark, tmp_path, capsys):
 
 
 def test_missing_paths_are_refused(monkeypatch):
-    monkeypatch.delenv("RAW_INPUT", raising=False)
+    monkeypatch.delenv("HDFS_RAW_INPUT", raising=False)
     with pytest.raises(SystemExit):
         jobs.parse(["clean", "--output", "x"])
-    monkeypatch.setenv("RAW_INPUT", "somewhere")
+    monkeypatch.setenv("HDFS_RAW_INPUT", "somewhere")
     assert jobs.parse(["clean", "--output", "x"]).input == "somewhere"
 
 

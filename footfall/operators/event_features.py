@@ -32,8 +32,7 @@ def long_histories(events, long_history=LONG_HISTORY):
     """Users to cut, with the origin and extent of their time lines.
 
     At most ``MAX_LONG_USERS`` rows of five numbers whatever the log holds,
-    hence safe to broadcast. ``events`` may contain copies: the result decides
-    only where histories are cut, not what is counted.
+    hence safe to broadcast.
     """
     extents = events.groupBy("user_id").agg(
         F.expr("count(*) AS n"),
@@ -66,34 +65,92 @@ def long_histories(events, long_history=LONG_HISTORY):
     return long_users.repartition(1)
 
 
-# Stretch of an event: never decreases along EVENT_ORDER. The item adds a
-# fraction of a second, so even one crowded second can be cut.
-STRETCH = """
-    coalesce(
-        least(
-            greatest(
-                cast(floor((timestamp - from_time + (item_id - from_item) / items)
-                           / seconds * stretches) AS int),
-                0),
-            stretches - 1),
-        0)"""
+# Place of an event on its user's time line, from 0 to 1. Never decreases along
+# EVENT_ORDER. The item adds a fraction of a second, so even one crowded second
+# can be cut.
+ALONG = "(timestamp - from_time + (item_id - from_item) / items) / seconds"
 
 
-def _with_stretch(events, histories, how):
-    joined = events.join(F.broadcast(histories), "user_id", how)
-    return joined.selectExpr(*events.columns, f"{STRETCH} AS stretch")
+# Rounds of evening out crowded times. Each round looks at most MAX_STRETCHES
+# times closer than the one before.
+ROUNDS = 2
 
 
-def _carried(events, histories):
+def _placed(events, histories, rounds, how):
+    """Events with ``share``: about which part of the user's events come earlier.
+
+    It starts as the place on the time line. A round counts the events in equal
+    spans of ``share``, its slots, and replaces it by the part of the user's
+    events before the slot plus the event's own part of the slot. No round
+    changes the order of two events. Null for users who are not cut.
+    """
+    placed = events.join(F.broadcast(histories), "user_id", how).selectExpr(
+        *events.columns, "stretches", f"{ALONG} AS share"
+    )
+    for crowding in rounds:
+        placed = (
+            _in_slots(placed)
+            .join(F.broadcast(crowding), ["user_id", "slot"], "left")
+            .selectExpr(
+                *events.columns,
+                "stretches",
+                "(before_slot + greatest(0D, least(share * stretches - slot, 1D)) * in_slot)"
+                " / in_all AS share",
+            )
+        )
+    return placed
+
+
+def _in_slots(placed, name="slot"):
+    slot = "least(greatest(cast(floor(share * stretches) AS int), 0), stretches - 1)"
+    return placed.selectExpr("*", f"{slot} AS {name}")
+
+
+def long_history_cuts(events, long_history=LONG_HISTORY):
+    """The users to cut, and per round the crowding of their slots.
+
+    A round has one row per user and slot, exact counts and therefore the same
+    wherever it is computed: at most MAX_LONG_USERS * (CUTS_PER_LIMIT + 1) rows,
+    and at most MAX_STRETCHES of one user. ``events`` may hold copies, but no
+    event may be missing from it.
+    """
+    histories, rounds = long_histories(events, long_history), []
+    for _ in range(ROUNDS):
+        counts = (
+            _in_slots(_placed(events, histories, rounds, "inner"))
+            .groupBy("user_id", "slot")
+            .agg(F.expr("count(*) AS in_slot"))
+        )
+        crowding = counts.selectExpr(
+            "*",
+            "sum(in_slot) OVER (PARTITION BY user_id ORDER BY slot) - in_slot AS before_slot",
+            "sum(in_slot) OVER (PARTITION BY user_id) AS in_all",
+        )
+        rounds = [*rounds, crowding]
+    return histories, rounds
+
+
+def _with_stretch(events, cuts, how):
+    """Events with the stretch they belong to; 0 for users who are not cut.
+
+    Stretches hold about the same number of events: a busy day among quiet years
+    is cut finely.
+    """
+    placed = _in_slots(_placed(events, *cuts, how), "cut")
+    return placed.selectExpr(*events.columns, "coalesce(cut, 0) AS stretch")
+
+
+def _carried(events, cuts):
     """Per (user, stretch): the preceding event and the number of events before.
 
-    Only users in ``histories`` appear, so there are at most
-    MAX_LONG_USERS * (CUTS_PER_LIMIT + 1) rows. ``category_id`` is part of the
+    As many rows as there are stretches of cut users, see
+    ``long_history_cuts``.
+    ``category_id`` is part of the
     summary only so that this branch reads the same columns as the main one and
     shares its shuffle.
     """
     pieces = (
-        _with_stretch(events, histories, "inner")
+        _with_stretch(events, cuts, "inner")
         .groupBy("user_id", "stretch")
         .agg(
             F.expr("count(*) AS n"),
@@ -108,7 +165,7 @@ def _carried(events, histories):
     )
 
 
-def _trailing(events, histories):
+def _trailing(events, cuts):
     """``events`` with stretch, trailing counts and the gap to the last event.
 
     Cleaned events always have a behaviour, so counting the rows of a frame is
@@ -116,13 +173,13 @@ def _trailing(events, histories):
     the current row plus the one before: one sort and no sliding frames.
     """
     order = f"(PARTITION BY user_id, stretch ORDER BY {', '.join(EVENT_ORDER)})"
-    placed = _with_stretch(events, histories, "left").selectExpr(
+    placed = _with_stretch(events, cuts, "left").selectExpr(
         "*",
         f"row_number() OVER {order} AS place",
         f"lag(timestamp) OVER {order} AS time_before",
         f"lag(behavior_type) OVER {order} AS behavior_before",
     )
-    carried = F.broadcast(_carried(events, histories))
+    carried = F.broadcast(_carried(events, cuts))
     joined = placed.join(carried, ["user_id", "stretch"], "left").selectExpr(
         *events.columns,
         "stretch",
@@ -152,8 +209,8 @@ def trailing_features(events, sizing=None, long_history=LONG_HISTORY):
     ``sizing``: rows to find long histories from, when something cheaper than
     ``events`` is at hand (a superset will do, such as lines with copies).
     """
-    histories = long_histories(events if sizing is None else sizing, long_history)
-    return _trailing(events, histories).drop("stretch")
+    cuts = long_history_cuts(events if sizing is None else sizing, long_history)
+    return _trailing(events, cuts).drop("stretch")
 
 
 def event_features(events, as_of=None, sizing=None, long_history=LONG_HISTORY):
@@ -163,13 +220,15 @@ def event_features(events, as_of=None, sizing=None, long_history=LONG_HISTORY):
     User features get one row per stretch and join on that pair, so the events
     are not shuffled again and no user's events meet in one task.
     """
-    histories = long_histories(events if sizing is None else sizing, long_history)
+    cuts = histories, _ = long_history_cuts(
+        events if sizing is None else sizing, long_history
+    )
     users = user_features(events, as_of)
     per_stretch = users.join(F.broadcast(histories), "user_id", "left").selectExpr(
         *users.columns, "explode(sequence(0, coalesce(stretches, 1) - 1)) AS stretch"
     )
     return (
-        _trailing(events, histories)
+        _trailing(events, cuts)
         .join(per_stretch, ["user_id", "stretch"])
         .selectExpr(
             "*",

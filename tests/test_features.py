@@ -171,6 +171,24 @@ def test_sizing_may_hold_copies(spark):
     assert plain.exceptAll(sized).count() == sized.exceptAll(plain).count() == 0
 
 
+def test_stretches_hold_similar_numbers_of_events(spark):
+    """A busy day after three quiet years."""
+    from footfall.operators import event_features as module
+
+    rng = random.Random(7)
+    quiet = {(1, rng.randrange(99), 1, "pv", B + rng.randrange(10**8)) for _ in range(50)}
+    busy = {
+        (1, rng.randrange(99), 1, "pv", B + 10**8 + rng.randrange(86400)) for _ in range(4000)
+    }
+    cleaned = log(spark, sorted(quiet | busy))
+    cuts = module.long_history_cuts(cleaned, 200)
+    pieces = module._with_stretch(cleaned, cuts, "left").groupBy("stretch").count()
+    assert max(n for _, n in rows(pieces)) < 200
+    got = trailing_features(cleaned, long_history=200)
+    key = lambda row: tuple(str(v) for v in row)
+    assert sorted(rows(got, *COLUMNS), key=key) == sorted(brute_force(quiet | busy), key=key)
+
+
 def test_only_long_histories_are_cut(spark):
     found = long_histories(log(spark, histories("even")), 100).collect()
     assert [r.user_id for r in found] == [1]

@@ -71,9 +71,9 @@ def long_histories(events, long_history=LONG_HISTORY):
 ALONG = "(timestamp - from_time + (item_id - from_item) / items) / seconds"
 
 
-# Rounds of evening out crowded times. Each round looks at most MAX_STRETCHES
-# times closer than the one before.
-ROUNDS = 2
+# Rounds of evening out crowded times. Each is one more pass over the events of cut
+# users and looks closer by a factor of the user's number of stretches.
+ROUNDS = 1
 
 
 def _placed(events, histories, rounds, how):

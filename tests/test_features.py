@@ -171,10 +171,11 @@ def test_sizing_may_hold_copies(spark):
     assert plain.exceptAll(sized).count() == sized.exceptAll(plain).count() == 0
 
 
-def test_stretches_hold_similar_numbers_of_events(spark):
+def test_stretches_hold_similar_numbers_of_events(spark, monkeypatch):
     """A busy day after three quiet years."""
     from footfall.operators import event_features as module
 
+    monkeypatch.setattr(module, "ROUNDS", 2)
     rng = random.Random(7)
     quiet = {(1, rng.randrange(99), 1, "pv", B + rng.randrange(10**8)) for _ in range(50)}
     busy = {

@@ -47,10 +47,11 @@ def let(value, body):
 
 def small_batches(spark, rows=2000, size=16 << 20):
     """Bound the Arrow batches a Python worker holds, unless they are smaller already."""
+    as_bytes = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes
     for key, most in (
         ("spark.sql.execution.arrow.maxRecordsPerBatch", rows),
         ("spark.sql.execution.arrow.maxBytesPerBatch", size),
     ):
-        current = int(spark.conf.get(key, "0"))
+        current = as_bytes(spark.conf.get(key))
         if current <= 0 or current > most:
-            spark.conf.set(key, most)
+            spark.conf.set(key, str(most))

@@ -1,9 +1,56 @@
 """The dealt operators as queries over whole tables, with the columns their contracts name."""
 
-from . import divergence
+import public_tokenizers
+from pyspark.sql import functions as F
+
+from ..session import scratch_dir
+from . import byte_pieces, direct_codes, divergence, secrets, simhash
 from .common import table
 
 
+def secret_scan(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    found = secrets.find(docs)
+    base = F.filter("spans", lambda s: s["order"] < len(secrets.BASE))
+
+    def number(field, value):
+        return F.size(F.filter("spans", lambda s: s[field] == F.lit(value))).cast("long")
+
+    counts = [number("order", k).alias(f"n_{kind}") for k, kind in enumerate(secrets.KINDS)]
+    by_status = [number("status", status).alias(f"n_{status}") for status in ("live", "copied")]
+    return found.select(
+        "doc_id",
+        *counts[: len(secrets.BASE)],
+        F.sha2(secrets.notation(base), 256).alias("base_sha256"),
+        secrets.notation("spans").alias("spans"),
+        *counts[len(secrets.BASE) :],
+        *by_status,
+    )
+
+
+def byte_bpe(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    coder = (public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+    tokens = byte_pieces.encode(docs, *coder).select("doc_id", "ids")
+    return byte_pieces.decode(tokens, *coder).select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2("raw", 256).alias("decoded_sha256"),
+    )
+
+
+def token_files(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    path = scratch_dir(spark, "token-files")
+    direct_codes.write(docs, path, public_tokenizers.path("word_bpe_49k.json"))
+    return direct_codes.read(spark, path)
+
+
+def near_duplicates(spark, sf_dir):
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def quality_rules(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
     judged = divergence.judge(docs)
@@ -25,5 +72,9 @@ def quality_rules(spark, sf_dir):
 
 
 QUERIES = {
+    "op1_secret_scan": secret_scan,
+    "op3_byte_bpe": byte_bpe,
+    "op7_token_files": token_files,
+    "op9_simhash": near_duplicates,
     "op10_quality_rules": quality_rules,
 }

@@ -4,7 +4,7 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from ..session import scratch_dir
-from . import byte_pieces, direct_codes, divergence, secrets, simhash
+from . import byte_pieces, direct_codes, divergence, permutations, secrets, simhash
 from .common import table
 
 
@@ -71,9 +71,14 @@ def quality_rules(spark, sf_dir):
     )
 
 
+def nearest_vectors(spark, sf_dir):
+    return permutations.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 QUERIES = {
     "op1_secret_scan": secret_scan,
     "op3_byte_bpe": byte_bpe,
+    "op5_permutation_index": nearest_vectors,
     "op7_token_files": token_files,
     "op9_simhash": near_duplicates,
     "op10_quality_rules": quality_rules,

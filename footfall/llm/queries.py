@@ -4,8 +4,19 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from ..session import scratch_dir
-from . import byte_pieces, direct_codes, divergence, permutations, secrets, simhash
-from .common import table
+from . import (
+    byte_pieces,
+    direct_codes,
+    divergence,
+    hyperlang,
+    packing,
+    permutations,
+    rule_ensemble,
+    secrets,
+    simhash,
+    word_lengths,
+)
+from .common import checkpoint, remainder, table
 
 
 def secret_scan(spark, sf_dir):
@@ -28,6 +39,14 @@ def secret_scan(spark, sf_dir):
     )
 
 
+def language_id(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
+    held_out = remainder(F.col("doc_id"), 4) == 2
+    langs, prototypes = hyperlang.learn(docs.where(F.coalesce(~held_out, F.lit(False))))
+    found = hyperlang.identify(docs, langs, prototypes)
+    return found.select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "lang_pred", "score")
+
+
 def byte_bpe(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     coder = (public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
@@ -71,15 +90,43 @@ def quality_rules(spark, sf_dir):
     )
 
 
+def quality_classifier(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = remainder(F.col("doc_id"), 5) == 0
+    model = rule_ensemble.learn(docs, table(spark, sf_dir, "labels"), ~held_out)
+    scored = rule_ensemble.classify(docs, model)
+    return scored.select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "score", "predicted")
+
+
+def piece_counts(spark, docs):
+    """Token counts of documents, read more than once by packing."""
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    return checkpoint(word_lengths.word_lengths(docs, path))
+
+
+def packed(spark, sf_dir):
+    counts = piece_counts(spark, table(spark, sf_dir, "documents"))
+    return packing.pack(counts.select("doc_id", "n_tokens"), "n_tokens")
+
+
+def word_piece_lengths(spark, sf_dir):
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    return word_lengths.word_lengths(table(spark, sf_dir, "documents"), path)
+
+
 def nearest_vectors(spark, sf_dir):
     return permutations.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
 
 
 QUERIES = {
     "op1_secret_scan": secret_scan,
+    "op2_language_id": language_id,
     "op3_byte_bpe": byte_bpe,
+    "op4_rule_ensemble": quality_classifier,
     "op5_permutation_index": nearest_vectors,
+    "op6_length_buckets": packed,
     "op7_token_files": token_files,
+    "op8_word_lengths": word_piece_lengths,
     "op9_simhash": near_duplicates,
     "op10_quality_rules": quality_rules,
 }

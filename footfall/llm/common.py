@@ -40,6 +40,16 @@ def remainder(column, modulus):
     return F.pmod(F.crc32(column.cast("string").cast("binary")), F.lit(modulus))
 
 
+def keep(df, condition):
+    """Rows where a measured condition holds, decided after the measuring.
+
+    A plain filter would be moved below the projections that build its columns, and would
+    then compute them again for every use of them.
+    """
+    marked = df.withColumn("_after", F.monotonically_increasing_id())
+    return marked.where(condition & (F.col("_after") >= 0)).drop("_after")
+
+
 def let(value, body):
     """Evaluate ``value`` once and use it many times inside ``body``."""
     return F.transform(F.array(value), body)[0]

@@ -31,18 +31,40 @@ def merge_cells(stored, batch):
     return merged.selectExpr(*key, "coalesce(new, old) AS value")
 
 
-def _one_row_per_key(cells, columns, value):
-    qualified = cells.selectExpr(
+def _qualified(cells, value):
+    return cells.selectExpr(
         "row_key AS user_id", "split_part(column, ':', 2) AS qualifier", f"{value} AS value"
     )
-    return qualified.groupBy("user_id").agg(
-        *[F.expr(f"max(if(qualifier = '{c}', value, NULL)) AS {c}") for c in columns]
-    )
 
 
 def decode_cells(cells, columns=None):
-    """One row per row key, all values text; a missing cell is null."""
-    return _one_row_per_key(cells, STORED_FEATURES if columns is None else columns, "value")
+    """One row per row key, all values text; a missing cell is null.
+
+    Text cannot be kept in the fixed-width buffers of a hash aggregate, so the
+    cells of a key are collected, which needs no sort; a key has as many cells as
+    qualifiers. Without any column wanted, the row keys.
+    """
+    wanted = list(STORED_FEATURES) if columns is None else [c for c in columns if c != "user_id"]
+    if not wanted:
+        return cells.selectExpr("row_key AS user_id").distinct()
+    names = ", ".join(f"'{c}'" for c in wanted)
+    own = _qualified(cells, "value").selectExpr(
+        "user_id", f"if(qualifier IN ({names}), struct(qualifier, value), NULL) AS cell"
+    )
+    return (
+        own.groupBy("user_id")
+        .agg(F.expr("map_from_entries(collect_set(cell)) AS own"))
+        .selectExpr("user_id", *[f"own['{c}'] AS {c}" for c in wanted])
+    )
+
+
+def decode_all(cells):
+    """One row per row key with a map of every qualifier it has to its text."""
+    return (
+        _qualified(cells, "value")
+        .groupBy("user_id")
+        .agg(F.expr("map_from_entries(collect_set(struct(qualifier, value))) AS cells"))
+    )
 
 
 def decode_numbers(cells, columns):
@@ -52,7 +74,11 @@ def decode_numbers(cells, columns):
     fixed-width buffers. ``user_id`` is the row key and stays text.
     """
     wanted = [c for c in columns if c != "user_id"]
-    return _one_row_per_key(cells, wanted, number("value"))
+    if not wanted:
+        return cells.selectExpr("row_key AS user_id").distinct()
+    return _qualified(cells, number("value")).groupBy("user_id").agg(
+        *[F.expr(f"max(if(qualifier = '{c}', value, NULL)) AS {c}") for c in wanted]
+    )
 
 
 def head_cells(cells, n=5):

@@ -13,8 +13,13 @@ from pyspark.sql import functions as F
 
 from footfall.functions.expressions import ACTIVITY_LEVELS, activity_level, numeric_rows
 
-# Slices a value range is divided into for distributed running totals.
-SLICES = 4096
+# Slices the distinct values of a series are divided into for running totals: BLOCKS
+# blocks of BLOCKS slices. Their cuts are quantiles of this accuracy.
+BLOCKS = 32
+CUT_ACCURACY = 10_000
+
+# Bandwidths at which a Gaussian kernel has become exactly 0: exp(-39 ** 2 / 2).
+REACH = 39
 
 
 # --- series -----------------------------------------------------------------
@@ -48,25 +53,42 @@ def value_counts(rows):
     return rows.groupBy("series", "value").agg(F.expr("count(*) AS n"))
 
 
+def in_slices(counts):
+    """``counts`` with the slice of each value and the total of its series."""
+    slices = BLOCKS * BLOCKS
+    shares = ", ".join(f"{i / slices}D" for i in range(1, slices))
+    cuts = counts.groupBy("series").agg(
+        F.expr(f"percentile_approx(value, array({shares}), {CUT_ACCURACY}) AS cuts"),
+        F.expr("sum(n) AS total"),
+    )
+    below = "(a, c) -> a + if(c < value, 1, 0)"
+    blocks = cuts.selectExpr(
+        "*", f"transform(sequence({BLOCKS}, {slices - 1}, {BLOCKS}), i -> cuts[i - 1]) AS starts"
+    )
+    return (
+        counts.join(F.broadcast(blocks), "series")
+        .selectExpr("*", f"aggregate(starts, 0, {below}) * {BLOCKS} AS block")
+        .selectExpr(
+            "series",
+            "value",
+            "n",
+            "total",
+            f"block + aggregate(slice(cuts, block + 1, {BLOCKS - 1}), 0, {below}) AS slice",
+        )
+    )
+
+
 def running_totals(counts):
     """``counts`` with ``until`` (rows up to and including the value) and ``total``.
 
     A running total over all values would need them sorted in one task. Here the
-    range of each series is divided into SLICES slices; totals run inside each
-    slice, and the rows in the slices before it are added from a table of at most
-    SLICES rows per series.
+    values of a series are divided into slices at approximate quantiles of the
+    *distinct* values, so slices are alike in size whatever the range holds: a
+    stray extreme is one more value and no more. Totals run inside each slice,
+    and the rows in the slices before it are added from a table of at most
+    ``BLOCKS * BLOCKS`` rows per series. Totals are exact whatever the cuts.
     """
-    extent = counts.groupBy("series").agg(
-        F.expr("min(value) AS low"), F.expr("max(value) AS high"), F.expr("sum(n) AS total")
-    )
-    sliced = counts.join(F.broadcast(extent), "series").selectExpr(
-        "series",
-        "value",
-        "n",
-        "total",
-        f"coalesce(least(floor(try_divide(value - low, high - low) * {SLICES}), {SLICES - 1}), 0)"
-        " AS slice",
-    )
+    sliced = in_slices(counts)
     earlier = (
         sliced.groupBy("series", "slice")
         .agg(F.expr("sum(n) AS rows"))
@@ -139,14 +161,21 @@ def integer_histogram(df, column):
     return bins.join(counts, "bin", "left").selectExpr("bin", "coalesce(count, 0) AS count")
 
 
-def equal_width_histogram(df, column, bins):
+def equal_width_histogram(df, column, bins, weight=None):
     """``bins`` bins from the smallest to the largest value, the last one closed.
 
     A constant column gets a range of width 1 around its value. Bin edges are
     ``low + bin * width``; a value that arithmetic puts on the wrong side of an
-    edge is moved to the bin whose edges enclose it.
+    edge is moved to the bin whose edges enclose it. A row counts ``weight`` times if
+    that column is named.
     """
-    counts = value_counts(as_series(df, [column]))
+    if weight is None:
+        counts = value_counts(as_series(df, [column]))
+    else:
+        weighted = numeric_rows(df, [column], keep=[weight])
+        counts = weighted.groupBy(
+            F.lit(column).alias("series"), F.col(column).alias("value")
+        ).agg(F.sum(weight).alias("n"))
     extent = (
         counts.groupBy("series")
         .agg(F.expr("min(value) AS least"), F.expr("max(value) AS most"))
@@ -193,8 +222,8 @@ def density(rows, points=200, cut=0.0):
     bandwidths below the smallest to as many above the largest value. A series
     with fewer than two distinct values has no density.
 
-    Each distinct value adds its weighted kernel to every grid point, and the
-    sums are combined on the map side: ``points`` rows per series and task are
+    Each distinct value adds its weighted kernel to the grid points it reaches, and
+    the sums are combined on the map side: ``points`` rows per series and task are
     shuffled.
     """
     grid = (
@@ -215,34 +244,33 @@ def density(rows, points=200, cut=0.0):
         )
         .selectExpr("*", f"(stop - start) / {points - 1} AS step")
     )
+    # Beyond REACH bandwidths the kernel is 0 in double precision.
+    low = f"greatest(0, ceil((value - {REACH} * bandwidth - start) / step))"
+    high = f"least({points - 1}, floor((value + {REACH} * bandwidth - start) / step))"
     kernels = (
         value_counts(rows)
         .join(F.broadcast(grid), "series")
-        .selectExpr("*", f"explode(sequence(0, {points - 1})) AS point")
+        .selectExpr("*", f"int({low}) AS first", f"int({high}) AS last")
+        .selectExpr("*", "explode(if(first <= last, sequence(first, last), array())) AS point")
         .selectExpr(
-            "series",
-            "point",
-            "n",
-            "start + point * step AS x",
-            "(start + point * step - value) / bandwidth AS u",
-            f"rows * bandwidth * {math.sqrt(2 * math.pi)}D AS scale",
+            "series", "point", "n", "(start + point * step - value) / bandwidth AS u"
         )
+        .groupBy("series", "point")
+        .agg(F.expr("sum(n * exp(u * u * -0.5D)) AS kernels"))
     )
-    return (
-        kernels.groupBy("series", "point")
-        .agg(
-            F.expr("max(x) AS x"),
-            F.expr("sum(n * exp(u * u * -0.5D)) AS kernels"),
-            F.expr("max(scale) AS scale"),
-        )
-        .selectExpr("series", "point", "x", "kernels / scale AS density")
+    spine = grid.selectExpr("*", f"explode(sequence(0, {points - 1})) AS point")
+    return spine.join(kernels, ["series", "point"], "left").selectExpr(
+        "series",
+        "point",
+        "start + point * step AS x",
+        f"coalesce(kernels, 0D) / (rows * bandwidth * {math.sqrt(2 * math.pi)}D) AS density",
     )
 
 
 # --- box statistics -----------------------------------------------------------
 
 
-def _box_fences(totals):
+def quartiles_of(totals):
     """Quartiles and fences per series, interpolated between exact ranks."""
     measures, interpolated = [], []
     for name, share in (("q1", 0.25), ("median", 0.5), ("q3", 0.75)):
@@ -285,7 +313,7 @@ def box_stats(users, column):
         .groupBy("series", "value")
         .agg(F.expr("sum(pairs) AS n"))
     )
-    fences = _box_fences(running_totals(counts))
+    fences = quartiles_of(running_totals(counts))
     inside = "value BETWEEN fence_low AND fence_high"
     boxes = (
         counts.join(F.broadcast(fences), "series")
@@ -327,7 +355,7 @@ def box_outliers(users, column):
     """Users whose value lies outside the fences of their activity level."""
     rows = _days_and_values(users, column, keep=["user_id"])
     leveled = by_activity_level(rows, _largest_days(rows))
-    fences = _box_fences(running_totals(value_counts(leveled)))
+    fences = quartiles_of(running_totals(value_counts(leveled)))
     return (
         leveled.join(F.broadcast(fences.select("series", "fence_low", "fence_high")), "series")
         .filter("value NOT BETWEEN fence_low AND fence_high")
@@ -345,23 +373,17 @@ def violin_densities(users, column):
 
 
 def crosstab(df, row, column):
-    """Frequencies of every pair of observed values, unobserved pairs as 0.
+    """Frequencies of the pairs of values that occur; every other pair has none."""
+    return numeric_rows(df, [row, column]).groupBy(row, column).agg(F.expr("count(*) AS count"))
 
-    The list of observed ``column`` values is attached to each observed ``row``
-    value, so the table costs its own size. Both are counts per user: there are
-    as many different day counts as the log has days, and k different item
-    counts need at least k * k / 2 events, so the list is a few megabytes even
-    for trillions of events.
-    """
-    counts = numeric_rows(df, [row, column]).groupBy(row, column).agg(F.expr("count(*) AS count"))
-    listed = counts.agg(F.expr(f"collect_set({column}) AS listed")).scalar()
-    full = (
-        counts.groupBy(row)
-        .agg(F.expr("count(*) AS pairs"))
-        .select(row, F.explode(listed).alias(column))
-    )
-    return full.join(counts, [row, column], "left").selectExpr(
-        row, column, "coalesce(count, 0) AS count"
+
+def crosstab_axis(df, column, other):
+    """The values on one axis of ``crosstab(df, column, other)``, with their totals."""
+    return (
+        numeric_rows(df, [column, other])
+        .groupBy(column)
+        .agg(F.expr("count(*) AS count"))
+        .withColumnRenamed(column, "value")
     )
 
 

@@ -1,197 +1,111 @@
 """Event-grain features: trailing counts, gaps, and user features per event.
 
 A single user may hold a large share of the log, so a window over "all events of
-a user" is not something one task can be asked to sort. Long histories are cut
-into *stretches*: consecutive pieces of the user's time line, found by arithmetic
-on (timestamp, item_id). Windows run per (user, stretch), and what a stretch
-needs from the ones before it - the event just before it and how many events
-precede it - is a row of a small table joined back on (user, stretch). Users of
-ordinary size have a single stretch, numbered 0.
+a user" is not something one task can be asked to sort. Windows run over *pieces*
+of a user's history instead: calendar days, and for a day that is crowded, each
+second of it. Pieces are what the clock says, so no stray timestamp changes how
+the others are cut. What a piece needs from those before it - the last event and
+how many there are, up to the longest frame - comes from one row per piece.
 """
 
 from pyspark.sql import functions as F
 
-from footfall.operators.user_features import user_features
+from footfall.operators.user_features import daily_totals, user_features
 from footfall.schema import EVENT_FEATURES, EVENT_ORDER, RAW_COLUMNS, TRAILING_EVENTS
 
-# A user with more events than this is cut into stretches.
-LONG_HISTORY = 2_000_000
+# A user's day with more events than this is cut into seconds.
+CROWDED_DAY = 1_000_000
 
-# The limit above grows with the log so that at most this many users can exceed
-# it: each of them holds more than 1/MAX_LONG_USERS of all events.
-MAX_LONG_USERS = 50_000
+# The limit above grows with the log so that at most this many days can exceed
+# it: each of them holds more than 1/MOST_CROWDED of all events.
+MOST_CROWDED = 50_000
 
-# Stretches are cut finer than the limit, which leaves room for busy periods.
-CUTS_PER_LIMIT = 4
+PIECE = ["user_id", "day", "second"]
 
-# Stretches of one user, so that their summaries fit one window partition.
-MAX_STRETCHES = 65_536
 
+def crowded_days(events, crowded_day=CROWDED_DAY):
+    """(user_id, day) with more events than the limit; at most ``MOST_CROWDED``.
 
-def long_histories(events, long_history=LONG_HISTORY):
-    """Users to cut, with the origin and extent of their time lines.
-
-    At most ``MAX_LONG_USERS`` rows of five numbers whatever the log holds,
-    hence safe to broadcast.
+    The conditions on the other totals hold for every row. They keep all columns
+    referenced, so this reads the shuffle that user features make of the totals.
     """
-    extents = events.groupBy("user_id").agg(
-        F.expr("count(*) AS n"),
-        F.expr("min(timestamp) AS from_time"),
-        F.expr("max(timestamp) AS to_time"),
-        F.expr("min(item_id) AS from_item"),
-        F.expr("max(item_id) AS to_item"),
+    daily = daily_totals(events).filter(
+        "least(pv, cart, buy, fav) >= 0 AND first <= last AND coalesce(last_buy, last) <= last"
     )
-    # Only sum(n) is needed. Asking for the other columns as well keeps them from
-    # being pruned, so this subquery reads the shuffle made for the rows below.
-    whole = extents.selectExpr(
-        "struct(sum(n) AS n, min(from_time), max(to_time), min(from_item), max(to_item)) AS log"
-    ).scalar()
-    long_users = (
-        extents.select("*", whole["n"].alias("total"))
-        .selectExpr("*", f"greatest({long_history}, ceil(total / {MAX_LONG_USERS})) AS most")
-        .filter("n > most")
-        .selectExpr(
-            "user_id",
-            "from_time",
-            "from_item",
-            "to_time - from_time + 1 AS seconds",
-            "to_item - from_item + 1 AS items",
-            f"cast(least({MAX_STRETCHES}, ceil(n * {CUTS_PER_LIMIT} / most)) AS int) AS stretches",
-        )
+    total = daily.agg(F.expr("sum(events) AS n")).scalar()
+    return (
+        daily.select("*", total.alias("total"))
+        .filter(f"events > greatest({crowded_day}, ceil(total / {MOST_CROWDED}))")
+        .select("user_id", "day")
     )
-    # The few rows left are gathered by a shuffle of their own: the pass over all
-    # users then belongs to an ordinary stage and not to the broadcast, which has
-    # a time limit.
-    return long_users.repartition(1)
-
 
-# Place of an event on its user's time line, from 0 to 1. Never decreases along
-# EVENT_ORDER. The item adds a fraction of a second, so even one crowded second
-# can be cut.
-ALONG = "(timestamp - from_time + (item_id - from_item) / items) / seconds"
 
-
-# Rounds of evening out crowded times. Each is one more pass over the events of cut
-# users and looks closer by a factor of the user's number of stretches.
-ROUNDS = 1
-
-
-def _placed(events, histories, rounds, how):
-    """Events with ``share``: about which part of the user's events come earlier.
-
-    It starts as the place on the time line. A round counts the events in equal
-    spans of ``share``, its slots, and replaces it by the part of the user's
-    events before the slot plus the event's own part of the slot. No round
-    changes the order of two events. Null for users who are not cut.
-    """
-    placed = events.join(F.broadcast(histories), "user_id", how).selectExpr(
-        *events.columns, "stretches", f"{ALONG} AS share"
+def in_pieces(events, crowded_day=CROWDED_DAY):
+    """Events with the day and, on crowded days, the second of their piece (else 0)."""
+    crowded = crowded_days(events, crowded_day).withColumn("crowded", F.lit(True))
+    dated = events.selectExpr("*", "to_date(timestamp_seconds(timestamp)) AS day")
+    return dated.join(F.broadcast(crowded), ["user_id", "day"], "left").selectExpr(
+        *events.columns, "day", "if(crowded, timestamp, 0L) AS second"
     )
-    for crowding in rounds:
-        placed = (
-            _in_slots(placed)
-            .join(F.broadcast(crowding), ["user_id", "slot"], "left")
-            .selectExpr(
-                *events.columns,
-                "stretches",
-                "(before_slot + greatest(0D, least(share * stretches - slot, 1D)) * in_slot)"
-                " / in_all AS share",
-            )
-        )
-    return placed
-
-
-def _in_slots(placed, name="slot"):
-    slot = "least(greatest(cast(floor(share * stretches) AS int), 0), stretches - 1)"
-    return placed.selectExpr("*", f"{slot} AS {name}")
-
-
-def long_history_cuts(events, long_history=LONG_HISTORY):
-    """The users to cut, and per round the crowding of their slots.
 
-    A round has one row per user and slot, exact counts and therefore the same
-    wherever it is computed: at most MAX_LONG_USERS * (CUTS_PER_LIMIT + 1) rows,
-    and at most MAX_STRETCHES of one user. ``events`` may hold copies, but no
-    event may be missing from it.
-    """
-    histories, rounds = long_histories(events, long_history), []
-    for _ in range(ROUNDS):
-        counts = (
-            _in_slots(_placed(events, histories, rounds, "inner"))
-            .groupBy("user_id", "slot")
-            .agg(F.expr("count(*) AS in_slot"))
-        )
-        crowding = counts.selectExpr(
-            "*",
-            "sum(in_slot) OVER (PARTITION BY user_id ORDER BY slot) - in_slot AS before_slot",
-            "sum(in_slot) OVER (PARTITION BY user_id) AS in_all",
-        )
-        rounds = [*rounds, crowding]
-    return histories, rounds
 
-
-def _with_stretch(events, cuts, how):
-    """Events with the stretch they belong to; 0 for users who are not cut.
-
-    Stretches hold about the same number of events: a busy day among quiet years
-    is cut finely.
-    """
-    placed = _in_slots(_placed(events, *cuts, how), "cut")
-    return placed.selectExpr(*events.columns, "coalesce(cut, 0) AS stretch")
+def _windowed(events, crowded_day):
+    """Place in the piece and the neighbours there: one shuffle, one sort."""
+    order = f"(PARTITION BY {', '.join(PIECE)} ORDER BY {', '.join(EVENT_ORDER)})"
+    return in_pieces(events, crowded_day).selectExpr(
+        "*",
+        f"row_number() OVER {order} AS place",
+        f"lag(timestamp) OVER {order} AS time_before",
+        f"lag(behavior_type) OVER {order} AS behavior_before",
+        f"lead(timestamp) OVER {order} AS time_after",
+    )
 
 
-def _carried(events, cuts):
-    """Per (user, stretch): the preceding event and the number of events before.
+def _carried(windowed, columns):
+    """Per piece: the event before it and the events before it, as far as frames reach.
 
-    As many rows as there are stretches of cut users, see
-    ``long_history_cuts``.
-    ``category_id`` is part of the
-    summary only so that this branch reads the same columns as the main one and
-    shares its shuffle.
+    Built from the last event of each piece, which the windows mark; ``columns``
+    are all kept in it so that both uses of the windows share a shuffle. Every
+    piece has an event, so as many pieces as the longest frame has rows suffice.
+    One task orders the pieces of a user, never the events.
     """
-    pieces = (
-        _with_stretch(events, cuts, "inner")
-        .groupBy("user_id", "stretch")
-        .agg(
-            F.expr("count(*) AS n"),
-            F.expr(f"max(struct({', '.join(EVENT_ORDER)}, category_id)) AS last"),
-        )
+    longest = max(TRAILING_EVENTS.values())
+    last = windowed.filter("time_after IS NULL").selectExpr(
+        *PIECE, "place", f"struct({', '.join(columns)}) AS last"
     )
-    return pieces.selectExpr(
-        "user_id",
-        "stretch",
-        "sum(n) OVER (PARTITION BY user_id ORDER BY stretch) - n AS before",
-        "lag(last) OVER (PARTITION BY user_id ORDER BY stretch) AS previous",
+    order = "(PARTITION BY user_id ORDER BY day, second"
+    return last.selectExpr(
+        *PIECE,
+        f"sum(place) OVER {order} ROWS BETWEEN {longest} PRECEDING AND 1 PRECEDING) AS before",
+        f"lag(last) OVER {order}) AS previous",
     )
 
 
-def _trailing(events, cuts):
-    """``events`` with stretch, trailing counts and the gap to the last event.
+def _trailing(events, crowded_day, users=None):
+    """``events`` with trailing counts, the gap to the last event and, if given, user columns.
 
     Cleaned events always have a behaviour, so counting the rows of a frame is
     the same as its position capped at the frame length, and a two-row frame is
-    the current row plus the one before: one sort and no sliding frames.
+    the current row plus the one before. User columns travel with the pieces, so
+    events are shuffled once.
     """
-    order = f"(PARTITION BY user_id, stretch ORDER BY {', '.join(EVENT_ORDER)})"
-    placed = _with_stretch(events, cuts, "left").selectExpr(
-        "*",
-        f"row_number() OVER {order} AS place",
-        f"lag(timestamp) OVER {order} AS time_before",
-        f"lag(behavior_type) OVER {order} AS behavior_before",
-    )
-    carried = F.broadcast(_carried(events, cuts))
-    joined = placed.join(carried, ["user_id", "stretch"], "left").selectExpr(
+    windowed = _windowed(events, crowded_day)
+    carried = _carried(windowed, events.columns)
+    own = []
+    if users is not None:
+        own = [c for c in users.columns if c != "user_id"]
+        carried = carried.join(users, "user_id")
+    joined = windowed.join(carried, PIECE).selectExpr(
         *events.columns,
-        "stretch",
         "place + coalesce(before, 0) AS position",
         "coalesce(time_before, previous.timestamp) AS earlier_time",
         "coalesce(behavior_before, previous.behavior_type) AS earlier_behavior",
+        *own,
     )
     return joined.selectExpr(
         *events.columns,
-        "stretch",
         *[
-            f"least(position, {length}) AS {name}"
+            f"bigint(least(position, {length})) AS {name}"
             for name, length in TRAILING_EVENTS.items()
         ],
         *[
@@ -200,36 +114,23 @@ def _trailing(events, cuts):
             for name in ("pv", "cart", "buy")
         ],
         "timestamp - earlier_time AS time_since_last_behavior",
+        *own,
     )
 
 
-def trailing_features(events, sizing=None, long_history=LONG_HISTORY):
-    """Cleaned events with their trailing counts and gap.
-
-    ``sizing``: rows to find long histories from, when something cheaper than
-    ``events`` is at hand (a superset will do, such as lines with copies).
-    """
-    cuts = long_history_cuts(events if sizing is None else sizing, long_history)
-    return _trailing(events, cuts).drop("stretch")
+def trailing_features(events, crowded_day=CROWDED_DAY):
+    """Cleaned events with their trailing counts and gap."""
+    return _trailing(events, crowded_day)
 
 
-def event_features(events, as_of=None, sizing=None, long_history=LONG_HISTORY):
+def event_features(events, as_of=None, crowded_day=CROWDED_DAY):
     """Cleaned events with all features, user features repeated on each event.
 
-    The windows already leave events partitioned and sorted by (user, stretch).
-    User features get one row per stretch and join on that pair, so the events
-    are not shuffled again and no user's events meet in one task.
+    The log is scanned three times: for the daily totals, for the items of users,
+    and for the windows.
     """
-    cuts = histories, _ = long_history_cuts(
-        events if sizing is None else sizing, long_history
-    )
-    users = user_features(events, as_of)
-    per_stretch = users.join(F.broadcast(histories), "user_id", "left").selectExpr(
-        *users.columns, "explode(sequence(0, coalesce(stretches, 1) - 1)) AS stretch"
-    )
     return (
-        _trailing(events, cuts)
-        .join(per_stretch, ["user_id", "stretch"])
+        _trailing(events, crowded_day, user_features(events, as_of))
         .selectExpr(
             "*",
             "timestamp_seconds(timestamp) AS timestamp_ts",

@@ -6,12 +6,17 @@ from footfall.functions.expressions import day_literal
 from footfall.schema import STORED_FEATURES
 
 
-def _daily_totals(events):
-    """Counts and extremes per user and calendar day."""
+def daily_totals(events):
+    """Counts and extremes per user and calendar day.
+
+    The filter holds for every cleaned event. Joins on the keys would add it in
+    some uses only, which then could not share a shuffle.
+    """
     return (
         events.selectExpr(
             "user_id", "to_date(timestamp_seconds(timestamp)) AS day", "behavior_type", "timestamp"
         )
+        .filter("user_id IS NOT NULL AND day IS NOT NULL")
         .groupBy("user_id", "day")
         .agg(
             F.expr("count(behavior_type) AS events"),
@@ -26,7 +31,7 @@ def _daily_totals(events):
     )
 
 
-def user_features(events, as_of=None):
+def user_features(events, as_of=None, with_events=False):
     """One row per user, from aggregates only.
 
     Two distinct counts in one Spark aggregate would copy every event three
@@ -39,7 +44,8 @@ def user_features(events, as_of=None):
 
     The mean gap between events is (last - first) / (events - 1): the gaps of
     consecutive events add up to that span. A user bought recently if the last
-    purchase is recent, dates after ``as_of`` included.
+    purchase is recent, dates after ``as_of`` included. ``with_events`` adds the
+    number of events.
     """
     today = day_literal(as_of)
     items = events.groupBy("user_id").agg(
@@ -47,7 +53,7 @@ def user_features(events, as_of=None):
     )
     sums = [F.expr(f"sum({c}) AS {c}") for c in ("events", "pv", "cart", "buy", "fav")]
     totals = (
-        _daily_totals(events)
+        daily_totals(events)
         .groupBy("user_id")
         .agg(
             F.expr("count(day) AS active_days"),
@@ -71,6 +77,7 @@ def user_features(events, as_of=None):
         "coalesce(try_divide(buy, cart), 0D) AS cart2buy_rate",
         "try_divide(last - first, events - 1) AS avg_behavior_interval",
         f"if(datediff({today}, to_date(timestamp_seconds(last_buy))) <= 7, 1, 0) AS recent_7d_buy",
+        *(["events"] if with_events else []),
     )
 
 

@@ -8,7 +8,7 @@ The two forms answer the same options differently and both are kept:
 input              user table                      cell table
 ``user_id``        one more filter                 row key lookup, other options off
 ``offset``         only together with ``limit``    always
-``fields``         exactly these columns           these and ``user_id``
+``fields``         exactly these columns           these and ``user_id``; else all
 ties               by ``user_id``                  by row key, in both directions
 values             typed                           text
 =================  ==============================  ================================
@@ -17,7 +17,7 @@ values             typed                           text
 from pyspark.sql import functions as F
 
 from footfall.functions.expressions import number
-from footfall.operators.cells import decode_cells
+from footfall.operators.cells import decode_all, decode_cells, decode_numbers
 from footfall.schema import STORED_FEATURES
 
 
@@ -79,37 +79,47 @@ def query_cells(
     limit=None,
     offset=None,
 ):
-    """Decode, filter, sort, skip, limit, project.
+    """Filter, sort, skip and limit on numbers, then fetch the text that is shown.
 
-    In filters and the sort key a missing or unreadable value counts as 0. Only
-    the qualifiers a query refers to are decoded.
+    In filters and the sort key a missing or unreadable value counts as 0. With
+    ``fields``, the result has these qualifiers, unknown ones left out; without, a
+    column ``cells`` maps every qualifier a key has to its value.
     """
-    shown = [c for c in STORED_FEATURES if not fields or c in fields]
+    shown = [c for c in STORED_FEATURES if c in fields] if fields else None
+
+    def show(found):
+        return decode_all(found) if shown is None else decode_cells(found, shown)
+
     if user_id is not None:
-        return decode_cells(cells.filter(F.col("row_key") == str(user_id)), shown)
+        return show(cells.filter(F.col("row_key") == str(user_id)))
 
     days, ratio = (min_active_days, max_active_days), (min_buy_ratio, max_buy_ratio)
-    used = {order_by}
-    used |= {"active_days"} if days != (None, None) else set()
-    used |= {"buy_ratio"} if ratio != (None, None) else set()
-    rows = decode_cells(cells, [c for c in STORED_FEATURES if c in shown or c in used])
+    used = [c for c in STORED_FEATURES if c == order_by]
+    used += ["active_days"] if days != (None, None) else []
+    used += ["buy_ratio"] if ratio != (None, None) else []
+    rows = decode_numbers(cells, list(dict.fromkeys(used)))
 
     def value_of(column):
-        return f"coalesce({number(column)}, 0D)" if column in rows.columns else "0D"
+        return f"coalesce({column}, 0D)" if column in rows.columns else "0D"
 
     for condition in _bounds(value_of, days, ratio):
         rows = rows.filter(condition)
-    if order_by:
+    order = []
+    if order_by and order_by in rows.columns:
         key = F.expr(value_of(order_by))
-        rows = rows.orderBy(key.desc() if desc else key.asc(), "user_id")
-    else:
-        rows = rows.orderBy("user_id")
+        order = [key.desc() if desc else key.asc()]
+    rows = rows.orderBy(*order, "user_id")
     if offset is not None:
         rows = rows.offset(offset)
     wanted = limit if limit is not None else top_n
     if wanted is not None:
         rows = rows.limit(wanted)
-    return rows.select("user_id", *shown)
+    keys = rows.select("user_id", *[F.expr(value_of(order_by)).alias("_key") for _ in order])
+    if shown == []:
+        return keys.select("user_id")
+    own = cells.join(keys.selectExpr("user_id AS row_key"), "row_key", "left_semi")
+    order = [F.desc("_key") if desc else F.asc("_key")] if order else []
+    return show(own).join(keys, "user_id").orderBy(*order, "user_id").drop("_key")
 
 
 def low_conversion_users(users, min_active_days, max_buy_ratio, **options):

@@ -1,8 +1,9 @@
-"""Profile of a feature table: schema, description, sample and its quartiles."""
+"""Profile of a feature table: schema, description, quartiles and a sample."""
 
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType, StringType
 
+from footfall.operators.distributions import quartiles_of, running_totals, value_counts
 from footfall.schema import EVENT_ORDER
 
 
@@ -71,17 +72,21 @@ def sample(features, n=1000):
     return features.orderBy(*order).limit(n)
 
 
-def quartiles(sampled):
-    """Count, mean, deviation, extremes and interpolated quartiles per numeric
-    column. Exact percentiles hold all values, hence for samples only."""
-    return _one_row_each(
-        sampled,
-        [
-            f"""struct('{c}' AS column_name, count(`{c}`) AS count, avg(`{c}`) AS mean,
-                       stddev_samp(`{c}`) AS std, double(min(`{c}`)) AS min,
-                       double(percentile(`{c}`, 0.25)) AS p25,
-                       double(percentile(`{c}`, 0.5)) AS p50,
-                       double(percentile(`{c}`, 0.75)) AS p75, double(max(`{c}`)) AS max)"""
-            for c in _numeric(sampled)
-        ],
+def quartiles(df):
+    """Count, mean, deviation, extremes and interpolated quartiles per numeric column.
+
+    Quartiles come from the counts of distinct values and their running totals, so
+    no task holds a column.
+    """
+    columns = _numeric(df)
+    pairs = ", ".join(f"struct('{c}' AS series, double(`{c}`) AS value)" for c in columns)
+    counts = value_counts(df.selectExpr(f"inline(array({pairs}))").filter("value IS NOT NULL"))
+    plain = describe(df.select(*columns)).selectExpr(
+        "column_name", "count", "mean", "stddev AS std", "min", "max"
+    )
+    found = quartiles_of(running_totals(counts)).selectExpr(
+        "series AS column_name", "q1 AS p25", "median AS p50", "q3 AS p75"
+    )
+    return plain.join(found, "column_name", "left").select(
+        "column_name", "count", "mean", "std", "min", "p25", "p50", "p75", "max"
     )

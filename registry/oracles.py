@@ -184,9 +184,9 @@ def quartiles():
             f"SELECT '{column}' AS column_name, count({c}) AS count, round(avg({c}), 3) AS mean,"
             f" round(stddev_samp({c}), 3) AS std, round(min({c}), 3) AS min,"
             f" round(quantile_cont({c}, 0.25), 3) AS p25, round(quantile_cont({c}, 0.5), 3) AS p50,"
-            f" round(quantile_cont({c}, 0.75), 3) AS p75, round(max({c}), 3) AS max FROM sampled"
+            f" round(quantile_cont({c}, 0.75), 3) AS p75, round(max({c}), 3) AS max FROM featured"
         )
-    return SAMPLED + " UNION ALL ".join(parts)
+    return EVENT_FEATURES + " UNION ALL ".join(parts)
 
 
 def schema_rows():
@@ -209,18 +209,43 @@ LEVELS = """
   FROM stored s
 )"""
 
-BOXES = LEVELS + """
+
+
+def boxes(value):
+    return LEVELS + f"""
 , quarters AS (
-  SELECT level, count(*) AS count, quantile_cont(buy_ratio, 0.25) AS q1,
-    quantile_cont(buy_ratio, 0.5) AS median, quantile_cont(buy_ratio, 0.75) AS q3
+  SELECT level, count(*) AS count, quantile_cont({value}, 0.25) AS q1,
+    quantile_cont({value}, 0.5) AS median, quantile_cont({value}, 0.75) AS q3
   FROM leveled GROUP BY level
 ), fenced AS (
-  SELECT l.user_id, l.level, l.buy_ratio, q1, q3,
-    l.buy_ratio BETWEEN q1 - (q3 - q1) * 1.5 AND q3 + (q3 - q1) * 1.5 AS inside
+  SELECT l.user_id, l.level, l.{value} AS value, q1, q3,
+    l.{value} BETWEEN q1 - (q3 - q1) * 1.5 AND q3 + (q3 - q1) * 1.5 AS inside
   FROM leveled l JOIN quarters q ON l.level = q.level
 )"""
 
 
+def box_stats(value):
+    return STORED + boxes(value) + """
+        SELECT l.position, l.level, coalesce(q.count, 0) AS count, round(q.q1, 6) AS q1,
+          round(q.median, 6) AS median, round(q.q3, 6) AS q3,
+          round(least(w.low, q.q1), 6) AS whisker_low,
+          round(greatest(w.high, q.q3), 6) AS whisker_high,
+          coalesce(w.outliers, 0) AS outliers
+        FROM levels l LEFT JOIN quarters q ON l.level = q.level
+        LEFT JOIN (SELECT level, min(value) FILTER (inside) AS low,
+                     max(value) FILTER (inside) AS high,
+                     count(*) FILTER (NOT inside) AS outliers
+                   FROM fenced GROUP BY level) w ON l.level = w.level"""
+
+
+def cumulative(value):
+    return STORED + f"""
+        SELECT round({value}, 6) AS value, n, round(share, 6) AS share FROM (
+          SELECT {value}, count(*) AS n, max(c) AS share
+          FROM (SELECT {value}, cume_dist() OVER (ORDER BY {value}) AS c FROM stored)
+          GROUP BY {value})"""
+
+
 def histogram(source, column, bins):
     """Counts between the edges low + i * width, the last bin closed."""
     return f"""
@@ -316,6 +341,8 @@ ORACLES = {
         SELECT {KEY}, {PV_COUNTS}, {BEHAVIOR_COUNTS}, time_since_last_behavior FROM sequenced""",
     "event_features": EVENT_FEATURES
     + f"SELECT {shown([quoted(c) if c == 'timestamp' else c for c in FEATURED])} FROM featured",
+    "event_features_cut": EVENT_FEATURES
+    + f"SELECT {shown([quoted(c) if c == 'timestamp' else c for c in FEATURED])} FROM featured",
     "user_segments": STORED + f"""
         SELECT {SEGMENT} AS user_segment, count(*) AS user_count,
           CAST(round(count(*) * 100.0::DOUBLE / (SELECT count(*) FROM stored), 2) AS DOUBLE)
@@ -375,6 +402,15 @@ ORACLES = {
           {shown(['active_days', 'buy_ratio', 'recent_7d_buy'])}
         FROM (SELECT * FROM stored WHERE active_days >= 5 AND buy_ratio <= 0.35
               ORDER BY buy_ratio DESC, CAST(user_id AS VARCHAR) LIMIT 25 OFFSET 3)""",
+    "query_cells_keys": STORED + """
+        SELECT CAST(user_id AS VARCHAR) AS user_id FROM stored
+        ORDER BY CAST(user_id AS VARCHAR) LIMIT 30""",
+    "query_cells_all": STORED + """
+        SELECT CAST(user_id AS VARCHAR) AS row_key, unnest(
+          [{'q': 'active_days', 'v': CAST(active_days AS DOUBLE)},
+           {'q': 'buy_ratio', 'v': round(buy_ratio, 6)},
+           {'q': 'vip', 'v': 1.0::DOUBLE}], recursive := true)
+        FROM stored WHERE active_days >= 5 AND user_id % 2 = 0""",
     "query_cells_by_user": STORED + f"""
         SELECT CAST(user_id AS VARCHAR) AS user_id, {shown(STORED_COLUMNS)}
         FROM stored WHERE user_id = 7""",
@@ -383,7 +419,7 @@ ORACLES = {
     "feature_sample": SAMPLED
     + f"SELECT {shown([quoted(c) if c == 'timestamp' else c for c in FEATURED])} FROM sampled",
     "profile_quartiles": quartiles(),
-    "dist_buy_ratio_sample": SAMPLED + histogram("sampled", "buy_ratio", 50),
+    "dist_buy_ratio_sample": EVENT_FEATURES + histogram("featured", "buy_ratio", 50),
     "activity_levels": STORED + LEVELS + """
         SELECT l.position, l.level, count(u.user_id) AS user_count,
           round(count(u.user_id) * 100.0::DOUBLE / (SELECT count(*) FROM stored), 6) AS percentage
@@ -394,19 +430,15 @@ ORACLES = {
         LEFT JOIN stored s ON s.active_days = b.bin GROUP BY b.bin""",
     "dist_buy_ratio": STORED + histogram("stored", "buy_ratio", 20),
     "dist_buy_ratio_events": EVENT_FEATURES + histogram("featured", "buy_ratio", 50),
-    "ecdf_buy_ratio": STORED + """
-        SELECT round(buy_ratio, 6) AS value, n, round(share, 6) AS share FROM (
-          SELECT buy_ratio, count(*) AS n, max(c) AS share
-          FROM (SELECT buy_ratio, cume_dist() OVER (ORDER BY buy_ratio) AS c FROM stored)
-          GROUP BY buy_ratio)""",
+    "ecdf_interval": cumulative("avg_behavior_interval"),
+    "box_interval": box_stats("avg_behavior_interval"),
+    "ecdf_buy_ratio": cumulative("buy_ratio"),
     "crosstab_days_items": STORED + """
-        SELECT CAST(a.active_days AS DOUBLE) AS active_days,
-          CAST(b.item_category_count AS DOUBLE) AS item_category_count, count(s.user_id) AS count
-        FROM (SELECT DISTINCT active_days FROM stored) a
-        CROSS JOIN (SELECT DISTINCT item_category_count FROM stored) b
-        LEFT JOIN stored s ON s.active_days = a.active_days
-          AND s.item_category_count = b.item_category_count
-        GROUP BY 1, 2""",
+        SELECT CAST(active_days AS DOUBLE) AS active_days,
+          CAST(item_category_count AS DOUBLE) AS item_category_count, count(*) AS count
+        FROM stored GROUP BY 1, 2""",
+    "crosstab_axis_days": STORED + """
+        SELECT CAST(active_days AS DOUBLE) AS value, count(*) AS count FROM stored GROUP BY 1""",
     "scatter_days_items": STORED + """
         SELECT CAST(active_days AS DOUBLE) AS active_days,
           CAST(item_category_count AS DOUBLE) AS item_category_count FROM stored""",
@@ -415,19 +447,9 @@ ORACLES = {
           CAST(item_category_count AS DOUBLE) AS item_category_count,
           round(buy_ratio, 6) AS buy_ratio, round(cart2buy_rate, 6) AS cart2buy_rate
         FROM stored""",
-    "box_by_activity": STORED + BOXES + """
-        SELECT l.position, l.level, coalesce(q.count, 0) AS count, round(q.q1, 6) AS q1,
-          round(q.median, 6) AS median, round(q.q3, 6) AS q3,
-          round(least(w.low, q.q1), 6) AS whisker_low,
-          round(greatest(w.high, q.q3), 6) AS whisker_high,
-          coalesce(w.outliers, 0) AS outliers
-        FROM levels l LEFT JOIN quarters q ON l.level = q.level
-        LEFT JOIN (SELECT level, min(buy_ratio) FILTER (inside) AS low,
-                     max(buy_ratio) FILTER (inside) AS high,
-                     count(*) FILTER (NOT inside) AS outliers
-                   FROM fenced GROUP BY level) w ON l.level = w.level""",
-    "box_outliers": STORED + BOXES + """
-        SELECT user_id, level, round(buy_ratio, 6) AS value FROM fenced WHERE NOT inside""",
+    "box_by_activity": box_stats("buy_ratio"),
+    "box_outliers": STORED + boxes("buy_ratio") + """
+        SELECT user_id, level, round(value, 6) AS value FROM fenced WHERE NOT inside""",
     "kde_active_days": STORED + density(series("active_days")),
     "kde_buy_ratio": STORED + density(series("buy_ratio")),
     "kde_by_group": STORED + LEVELS + density(

@@ -7,7 +7,7 @@ with another engine value by value.
 from footfall.functions.expressions import numeric_rows
 from footfall.operators import distributions as d
 from footfall.operators.cells import decode_cells, decode_numbers, encode_cells, head_cells, merge_cells
-from footfall.operators.clean import behavior_counts, clean_events, valid_lines, validation_counts
+from footfall.operators.clean import behavior_counts, clean_events, validation_counts
 from footfall.operators.event_features import event_features, trailing_features
 from footfall.operators.upsert import upsert_users
 from footfall.operators.user_features import stored_rows, user_features, users_of_event_features
@@ -48,14 +48,14 @@ def cells(spark, folder):
     return encode_cells(stored(spark, folder))
 
 
-def featured(spark, folder):
+def featured(spark, folder, **options):
     raw = read_events(spark, folder)
-    return event_features(clean_events(raw), AS_OF, sizing=valid_lines(raw))
+    return event_features(clean_events(raw), AS_OF, **options)
 
 
 def trailing(spark, folder, *columns, **options):
     raw = read_events(spark, folder)
-    rows = trailing_features(clean_events(raw), sizing=valid_lines(raw), **options)
+    rows = trailing_features(clean_events(raw), **options)
     return rows.select(*EVENT_KEY, *columns)
 
 
@@ -113,6 +113,17 @@ def ingest_buckets(spark, folder):
     return read_raw_log(spark, f"{work}/lines")
 
 
+def _with_extra_cells(spark, folder):
+    """Cells of even users, one qualifier of which the engine does not know."""
+    known = cells(spark, folder).filter("column IN ('f:active_days', 'f:buy_ratio')")
+    even = known.filter("row_key % 2 = 0")
+    more = even.filter("column = 'f:active_days'").selectExpr("row_key", "'f:vip' AS column", "'1' AS value")
+    found = feature_query.query_cells(even.unionByName(more), min_active_days=5, top_n=None)
+    return found.selectExpr("user_id AS row_key", "explode(cells) AS (q, v)").selectExpr(
+        "row_key", "q", "double(v) AS v"
+    )
+
+
 QUERIES = {
     # cleaning
     "clean_events": cleaned,
@@ -128,9 +139,10 @@ QUERIES = {
     "trailing_behavior_counts": lambda s, f: trailing(s, f, *BEHAVIOR_COUNTS),
     "time_since_last": lambda s, f: trailing(s, f, "time_since_last_behavior"),
     "trailing_cut_histories": lambda s, f: trailing(
-        s, f, *PV_COUNTS, *BEHAVIOR_COUNTS, "time_since_last_behavior", long_history=20
+        s, f, *PV_COUNTS, *BEHAVIOR_COUNTS, "time_since_last_behavior", crowded_day=2
     ),
     "event_features": lambda s, f: comparable(featured(s, f)),
+    "event_features_cut": lambda s, f: comparable(featured(s, f, crowded_day=2)),
     # summary
     "user_segments": lambda s, f: summary.user_segments(stored(s, f)),
     "summary_activity": lambda s, f: comparable(summary.activity_summary(stored(s, f))),
@@ -188,27 +200,44 @@ QUERIES = {
         )
     ),
     "query_cells_by_user": lambda s, f: comparable(
-        _typed(feature_query.query_cells(cells(s, f), user_id="7", min_active_days=99))
+        _typed(
+            feature_query.query_cells(
+                cells(s, f), user_id="7", min_active_days=99, fields=list(STORED_FEATURES)
+            )
+        )
     ),
+    "query_cells_keys": lambda s, f: feature_query.query_cells(
+        cells(s, f), fields=["user_id", "nope"], top_n=None, limit=30
+    ),
+    "query_cells_all": lambda s, f: comparable(_with_extra_cells(s, f)),
     # profile
     "profile_describe": lambda s, f: comparable(profile.describe(featured(s, f)), 3),
     "profile_schema": lambda s, f: profile.schema_rows(featured(s, f)),
     "feature_sample": lambda s, f: comparable(_sampled(s, f)),
-    "profile_quartiles": lambda s, f: comparable(profile.quartiles(_sampled(s, f)), 3),
+    "profile_quartiles": lambda s, f: comparable(profile.quartiles(featured(s, f)), 3),
     "dist_buy_ratio_sample": lambda s, f: comparable(
-        d.equal_width_histogram(_sampled(s, f), "buy_ratio", 50)
+        d.equal_width_histogram(featured(s, f), "buy_ratio", 50)
     ),
     # distributions
     "activity_levels": lambda s, f: comparable(d.activity_levels(stored(s, f))),
     "dist_active_days": lambda s, f: d.integer_histogram(stored(s, f), "active_days"),
     "dist_buy_ratio": lambda s, f: comparable(d.equal_width_histogram(stored(s, f), "buy_ratio", 20)),
     "dist_buy_ratio_events": lambda s, f: comparable(
-        d.equal_width_histogram(featured(s, f), "buy_ratio", 50)
+        d.equal_width_histogram(
+            user_features(cleaned(s, f), AS_OF, with_events=True), "buy_ratio", 50, weight="events"
+        )
+    ),
+    "ecdf_interval": lambda s, f: comparable(
+        d.cumulative_shares(stored(s, f), "avg_behavior_interval")
     ),
+    "box_interval": lambda s, f: comparable(d.box_stats(stored(s, f), "avg_behavior_interval")),
     "ecdf_buy_ratio": lambda s, f: comparable(d.cumulative_shares(stored(s, f), "buy_ratio")),
     "crosstab_days_items": lambda s, f: comparable(
         d.crosstab(stored(s, f), "active_days", "item_category_count")
     ),
+    "crosstab_axis_days": lambda s, f: comparable(
+        d.crosstab_axis(stored(s, f), "active_days", "item_category_count")
+    ),
     "scatter_days_items": lambda s, f: comparable(
         d.scatter(stored(s, f), "active_days", "item_category_count")
     ),

@@ -5,7 +5,8 @@ import pytest
 from footfall.operators.clean import clean_events
 from footfall.operators.event_features import (
     event_features,
-    long_histories,
+    crowded_days,
+    in_pieces,
     trailing_features,
 )
 from footfall.operators.user_features import (
@@ -149,57 +150,53 @@ def histories(kind):
 
 
 @pytest.mark.parametrize("kind", ["even", "one second", "burst", "two ends", "huge gap"])
-@pytest.mark.parametrize("long_history", [5, 40, 10_000])
-def test_cut_histories_give_the_same_features(spark, kind, long_history):
+@pytest.mark.parametrize("crowded_day", [1, 40, 1_000_000])
+def test_cut_histories_give_the_same_features(spark, kind, crowded_day):
     lines = histories(kind)
-    got = trailing_features(log(spark, lines), long_history=long_history)
+    got = trailing_features(log(spark, lines), crowded_day=crowded_day)
     key = lambda row: tuple(str(v) for v in row)
     assert sorted(rows(got, *COLUMNS), key=key) == sorted(brute_force(lines), key=key)
 
 
 def test_cut_histories_keep_user_features_on_every_event(spark):
     cleaned = log(spark, histories("even"))
-    whole, cut = (event_features(cleaned, AS_OF, long_history=n) for n in (10_000, 10))
+    whole, cut = (event_features(cleaned, AS_OF, crowded_day=n) for n in (10_000, 10))
     assert cut.exceptAll(whole).count() == whole.exceptAll(cut).count() == 0
 
 
-def test_sizing_may_hold_copies(spark):
-    lines = histories("burst")
-    raw = spark.createDataFrame(lines + lines[:300], RAW_LOG)
-    plain = trailing_features(clean_events(raw), long_history=30)
-    sized = trailing_features(clean_events(raw), sizing=raw, long_history=30)
-    assert plain.exceptAll(sized).count() == sized.exceptAll(plain).count() == 0
+@pytest.mark.parametrize("stray", [None, 0, B * 1000])
+def test_stray_times_do_not_change_the_other_pieces(spark, stray):
+    """Nine days of one user; one event at time 0 or in milliseconds."""
+    from footfall.operators.event_features import CROWDED_DAY
 
+    lines = [(1, i % 97, 1, "pv", B + i * 9 * 86400 // 20_000) for i in range(20_000)]
+    lines += [] if stray is None else [(1, 5, 1, "pv", stray)]
+    cleaned = log(spark, lines)
+    for limit, most in ((CROWDED_DAY, 2300), (1000, 1)):
+        pieces = in_pieces(cleaned, limit).groupBy("day", "second").count()
+        assert max(rows(pieces, "count"))[0] <= most
 
-def test_stretches_hold_similar_numbers_of_events(spark, monkeypatch):
-    """A busy day after three quiet years."""
-    from footfall.operators import event_features as module
-
-    monkeypatch.setattr(module, "ROUNDS", 2)
-    rng = random.Random(7)
-    quiet = {(1, rng.randrange(99), 1, "pv", B + rng.randrange(10**8)) for _ in range(50)}
-    busy = {
-        (1, rng.randrange(99), 1, "pv", B + 10**8 + rng.randrange(86400)) for _ in range(4000)
-    }
-    cleaned = log(spark, sorted(quiet | busy))
-    cuts = module.long_history_cuts(cleaned, 200)
-    pieces = module._with_stretch(cleaned, cuts, "left").groupBy("stretch").count()
-    assert max(n for _, n in rows(pieces)) < 200
-    got = trailing_features(cleaned, long_history=200)
-    key = lambda row: tuple(str(v) for v in row)
-    assert sorted(rows(got, *COLUMNS), key=key) == sorted(brute_force(quiet | busy), key=key)
 
+def test_only_crowded_days_are_cut(spark):
+    lines = [(1, i, 1, "pv", B + i) for i in range(200)] + [(1, 1, 1, "pv", B + 86400)]
+    lines += [(2, i, 1, "pv", B + i) for i in range(100)]
+    assert [r.user_id for r in crowded_days(log(spark, lines), 100).collect()] == [1]
 
-def test_only_long_histories_are_cut(spark):
-    found = long_histories(log(spark, histories("even")), 100).collect()
-    assert [r.user_id for r in found] == [1]
-    assert found[0].stretches >= 20
 
-
-def test_number_of_long_histories_is_bounded(spark, monkeypatch):
+def test_number_of_crowded_days_is_bounded(spark, monkeypatch):
     from footfall.operators import event_features as module
 
-    monkeypatch.setattr(module, "MAX_LONG_USERS", 2)
+    monkeypatch.setattr(module, "MOST_CROWDED", 2)
     lines = [(u, i, 1, "pv", B + i) for u in range(10) for i in range(50)]
     lines += [(99, i, 1, "pv", B + i) for i in range(700)]
-    assert [r.user_id for r in long_histories(log(spark, lines), 10).collect()] == [99]
+    assert [r.user_id for r in crowded_days(log(spark, lines), 10).collect()] == [99]
+
+
+def test_features_scan_the_log_three_times(spark, tmp_path):
+    log(spark, histories("even")).write.parquet(str(tmp_path / "log"))
+    made = event_features(spark.read.parquet(str(tmp_path / "log")), AS_OF)
+    made.write.format("noop").mode("overwrite").save()
+    made.collect()
+    final = made._jdf.queryExecution().executedPlan().toString()
+    final = final[: final.index("Initial Plan")] if "Initial Plan" in final else final
+    assert final.count("FileScan") <= 3, final

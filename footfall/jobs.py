@@ -23,6 +23,10 @@ from footfall.session import fit_shuffles, session
 from footfall.sources import behavior_log, user_table
 from footfall.streaming import ingest
 
+# Rows a query shows unless told otherwise, and the most it ever shows.
+TOP_N = 10
+SHOWN = 1000
+
 
 def clean(spark, options):
     """Raw log to cleaned log; counts are taken from what was written."""
@@ -46,19 +50,18 @@ def features(spark, options):
 
 
 def profile_features(spark, options):
-    """Description, schema, sample, sample quartiles and sample histogram."""
+    """Description, schema, quartiles and histogram of the whole table, and a sample."""
     fit_shuffles(spark, options.input)
     table = behavior_log.read_stage(spark, options.input)
     behavior_log.write_stage(profile.describe(table), f"{options.output}/description")
     behavior_log.write_stage(profile.schema_rows(table), f"{options.output}/schema")
+    behavior_log.write_stage(profile.quartiles(table), f"{options.output}/quartiles")
+    behavior_log.write_stage(
+        equal_width_histogram(table, "buy_ratio", 50), f"{options.output}/buy_ratio"
+    )
     behavior_log.write_sample(
         profile.sample(table, options.sample_limit), f"{options.output}/sample"
     )
-    sampled = behavior_log.read_sample(spark, f"{options.output}/sample")
-    behavior_log.write_stage(profile.quartiles(sampled), f"{options.output}/sample_quartiles")
-    behavior_log.write_stage(
-        equal_width_histogram(sampled, "buy_ratio", 50), f"{options.output}/sample_buy_ratio"
-    )
     profile.sample(table, 10).show()
 
 
@@ -76,7 +79,9 @@ def load(spark, options):
         cell_row_count(cells).show()
         head_cells(cells, options.verify_limit).show(truncate=False)
         return
-    path = user_table.load_users(spark, rows, options.table)
+    # Users only the relational table knows stay in it: it is merged, then replaced.
+    stored = user_table.read_jdbc(spark, _jdbc(options)) if options.jdbc_url else None
+    path = user_table.load_users(spark, rows, options.table, stored=stored)
     users = spark.read.parquet(path)
     if options.jdbc_url:
         user_table.write_jdbc(users, _jdbc(options))
@@ -89,12 +94,23 @@ def _jdbc(options):
         options.jdbc_table,
         os.environ.get("JDBC_USER"),
         os.environ.get("JDBC_PASSWORD"),
+        **(
+            {
+                "partitionColumn": "user_id",
+                "lowerBound": options.jdbc_lower,
+                "upperBound": options.jdbc_upper,
+                "numPartitions": options.jdbc_partitions,
+            }
+            if options.jdbc_partitions
+            else {}
+        ),
     )
 
 
 def _users(spark, options, columns=None):
     if options.jdbc_url:
         return user_table.read_jdbc(spark, _jdbc(options), columns)
+    fit_shuffles(spark, user_table.current_version(spark, options.table) or options.table)
     return user_table.read_table(spark, options.table, columns)
 
 
@@ -107,15 +123,17 @@ def query(spark, options):
             "max_buy_ratio", "order_by", "desc", "limit", "offset",
         )
     }
+    if wanted["top_n"] is None and not options.output:
+        wanted["top_n"] = TOP_N
     wanted["fields"] = [f.strip() for f in options.fields.split(",")] if options.fields else None
     if options.db == "cells":
-        found = feature_query.query_cells(user_table.read_table(spark, options.table), **wanted)
+        found = feature_query.query_cells(_users(spark, options), **wanted)
     else:
         found = feature_query.query_table(_users(spark, options), **wanted)
     if options.output:
         behavior_log.write_stage(found, options.output)
     else:
-        found.show(options.limit or options.top_n or 20, truncate=False)
+        found.show(min(options.limit or wanted["top_n"] or SHOWN, SHOWN), truncate=False)
 
 
 def summarise(spark, options):
@@ -130,9 +148,12 @@ def figure_data(spark, options):
     """One table per figure."""
     columns = ["user_id", *figures.PAIR_COLUMNS]
     if options.db == "cells":
-        users = decode_numbers(user_table.read_table(spark, options.table), columns)
+        users = decode_numbers(_users(spark, options), columns)
     else:
         users = _users(spark, options, columns)
+    # Every figure reads this stage, whatever the table is stored as.
+    behavior_log.write_stage(users, f"{options.output}/users")
+    users = behavior_log.read_stage(spark, f"{options.output}/users")
     for name, table in figures.figure_tables(users, options.top_n).items():
         behavior_log.write_stage(table, f"{options.output}/{name}")
 
@@ -143,7 +164,7 @@ def land(spark, options):
         spark, options.servers, options.topic, options.group_id, options.max_per_trigger
     )
     ingest.land(
-        lines, options.output, options.checkpoint, max_lines_per_file=options.max_lines_per_file
+        lines, options.output, options.checkpoint, roll_bytes=options.roll_bytes
     ).awaitTermination()
 
 
@@ -157,6 +178,9 @@ def _store(parser):
     _path(parser, "--table", "USER_TABLE", required=False)
     parser.add_argument("--jdbc-url", default=os.environ.get("JDBC_URL"))
     parser.add_argument("--jdbc-table", default="user_features")
+    parser.add_argument("--jdbc-partitions", type=int, help="connections to read with")
+    parser.add_argument("--jdbc-lower", type=int, default=0, help="about the least user id")
+    parser.add_argument("--jdbc-upper", type=int, default=1 << 31, help="about the greatest")
 
 
 def parse(arguments=None):
@@ -193,7 +217,7 @@ def parse(arguments=None):
     sub = add("query", query)
     _store(sub)
     sub.add_argument("--user-id", "--user_id")
-    sub.add_argument("--top-n", "--topn", type=int, default=10)
+    sub.add_argument("--top-n", "--topn", type=int, help="10, or all rows with --output")
     for bound in ("min", "max"):
         sub.add_argument(f"--{bound}-active-days", f"--{bound}_active_days", type=float)
         sub.add_argument(f"--{bound}-buy-ratio", f"--{bound}_buy_ratio", type=float)
@@ -218,7 +242,7 @@ def parse(arguments=None):
     _path(sub, "--checkpoint", "LANDING_CHECKPOINT")
     sub.add_argument("--group-id")
     sub.add_argument("--max-per-trigger", type=int)
-    sub.add_argument("--max-lines-per-file", type=int)
+    sub.add_argument("--roll-bytes", type=int, default=ingest.ROLL_BYTES)
     return parser.parse_args(arguments)
 
 

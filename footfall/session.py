@@ -1,7 +1,5 @@
 """Session set-up and the shared scratch folder."""
 
-import tempfile
-
 from pyspark.sql import SparkSession
 
 
@@ -13,9 +11,8 @@ def session(name="footfall", zone="UTC", **conf):
     return builder.getOrCreate()
 
 
-# Input bytes per shuffle partition, and the most partitions asked for.
+# Input bytes per shuffle partition.
 SHUFFLE_BYTES = 256 * 1024 * 1024
-MOST_PARTITIONS = 100_000
 
 
 def fit_shuffles(spark, path):
@@ -31,20 +28,17 @@ def fit_shuffles(spark, path):
         for status in system.globStatus(files) or []
     )
     current = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    wanted = min(MOST_PARTITIONS, -(-size // SHUFFLE_BYTES))
+    wanted = -(-size // SHUFFLE_BYTES)
     spark.conf.set("spark.sql.shuffle.partitions", max(current, wanted))
 
 
-def scratch_dir(spark, prefix):
-    """A new folder every executor can see.
-
-    The cluster names its shared folder in ``spark.checkpoint.dir``. A local
-    folder is used only when the whole application runs in one process.
-    """
+def shared_folder(spark):
+    """The folder all executors share: ``spark.checkpoint.dir``, else one in the warehouse."""
     shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared:
-        unique = spark._jvm.java.util.UUID.randomUUID().toString()
-        return f"{shared.rstrip('/')}/{prefix}-{unique}"
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    return tempfile.mkdtemp(prefix=f"{prefix}-")
+    return (shared or f"{spark.conf.get('spark.sql.warehouse.dir')}/_scratch").rstrip("/")
+
+
+def scratch_dir(spark, prefix):
+    """A new folder every executor can see."""
+    unique = spark._jvm.java.util.UUID.randomUUID().toString()
+    return f"{shared_folder(spark)}/{prefix}-{unique}"

@@ -1,8 +1,9 @@
 """Stored user features: versioned Parquet snapshots, or a JDBC table.
 
-A load never overwrites what it reads. It writes the next version of the table
-beside the current one; a version counts once its job has committed, so readers
-see the table before or after a load and nothing in between.
+A load never overwrites what it reads. It writes to a folder of its own, claims the
+place after the version it was merged with, and renames the folder to the next version.
+Readers see the table before or after a load and nothing in between; of two loads that
+started from one version, the second to finish fails and has to be run again.
 """
 
 from footfall.operators.cells import encode_cells, merge_cells
@@ -46,27 +47,42 @@ def read_table(spark, folder, columns=None):
     return table.select(*columns) if columns else table
 
 
-def _publish(spark, df, folder, key):
-    """Write the next version, laid out by ``key`` so that lookups by key read
-    only the row groups whose range holds it."""
+def _publish(spark, df, folder, key, base):
+    """Write the version after ``base``, laid out by ``key`` so that lookups by key
+    read only the row groups whose range holds it."""
+    files, _ = _files(spark, folder)
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path
+    unique = spark._jvm.java.util.UUID.randomUUID().toString()
+    own = f"{folder}/_load-{unique}"
+    df.repartitionByRange(key).sortWithinPartitions(key).write.parquet(own)
+    # Creating a file that must not exist is atomic: one load for each base.
+    claim = f"{folder}/_claims/{base.rstrip('/').rsplit('/', 1)[1] if base else 'first'}"
+    if not files.createNewFile(hadoop(claim)):
+        raise RuntimeError(f"another load has replaced {base or 'the empty table'}; run it again")
     found, _ = _versions(spark, folder)
     path = f"{folder}/{VERSION.format(max(found, default=0) + 1)}"
-    df.repartitionByRange(key).sortWithinPartitions(key).write.parquet(path)
+    if not files.rename(hadoop(own), hadoop(path)):
+        raise RuntimeError(f"{own} could not be renamed to {path}")
     return path
 
 
-def load_users(spark, rows, folder, loaded_at=None):
-    """Upsert ``rows`` into the user table in ``folder``; returns the new path."""
+def load_users(spark, rows, folder, loaded_at=None, stored=None):
+    """Upsert ``rows`` into the user table in ``folder``; returns the new path.
+
+    ``stored``: the rows to merge with, if they are kept elsewhere (a relational table).
+    """
     path = current_version(spark, folder)
-    stored = spark.read.parquet(path) if path else None
-    return _publish(spark, upsert_users(stored, rows, loaded_at), folder, "user_id")
+    if stored is None and path:
+        stored = spark.read.parquet(path)
+    return _publish(spark, upsert_users(stored, rows, loaded_at), folder, "user_id", path)
 
 
 def load_cells(spark, rows, folder, family):
     """Put ``rows`` into the cell table in ``folder``; returns the new path."""
     path = current_version(spark, folder)
     stored = spark.read.parquet(path) if path else None
-    return _publish(spark, merge_cells(stored, encode_cells(rows, family)), folder, "row_key")
+    merged = merge_cells(stored, encode_cells(rows, family))
+    return _publish(spark, merged, folder, "row_key", path)
 
 
 def jdbc_options(url, table, user=None, password=None, **options):
@@ -93,7 +109,8 @@ def read_jdbc(spark, options, columns=None):
 def write_jdbc(users, options):
     """Replace the rows of the relational table, keeping its definition.
 
-    ``users`` should be a published version: a job must not read the table it
-    truncates.
+    ``users`` must be a published version that was merged with the table's rows: a
+    job must not read the table it truncates. If writing fails, the version still
+    has every row and can be written again.
     """
     users.write.format("jdbc").options(**options, truncate="true").mode("overwrite").save()

@@ -4,6 +4,11 @@ from pyspark.sql import functions as F
 
 BUCKETS = ["ingest_date", "ingest_hour"]
 
+# Fixed value: size at which a landed file is closed. The sink counts lines, so the
+# size is reached by way of the mean length of a line.
+ROLL_BYTES = 128 * 1024 * 1024
+LINE_BYTES = 64
+
 
 def kafka_lines(spark, servers, topic, group_id=None, max_per_trigger=None):
     """Text records of a Kafka topic, one ``value`` per record."""
@@ -34,12 +39,12 @@ def with_buckets(lines):
     )
 
 
-def land(lines, folder, checkpoint, trigger=None, max_lines_per_file=None):
+def land(lines, folder, checkpoint, trigger=None, roll_bytes=ROLL_BYTES, line_bytes=LINE_BYTES):
     """Start landing ``lines`` under ``folder/ingest_date=/ingest_hour=``.
 
     The checkpoint and the sink's own log make every line land exactly once,
     across restarts too. One file per task and bucket is written each trigger
-    (60 seconds unless told otherwise); ``max_lines_per_file`` splits larger ones.
+    (60 seconds unless told otherwise), or several if it would pass ``roll_bytes``.
     """
     writer = (
         with_buckets(lines)
@@ -50,9 +55,7 @@ def land(lines, folder, checkpoint, trigger=None, max_lines_per_file=None):
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or {"processingTime": "60 seconds"}))
     )
-    if max_lines_per_file:
-        writer = writer.option("maxRecordsPerFile", max_lines_per_file)
-    return writer.start()
+    return writer.option("maxRecordsPerFile", max(1, roll_bytes // line_bytes)).start()
 
 
 def as_lines(raw):

@@ -4,8 +4,9 @@ import pytest
 
 from footfall import jobs
 from footfall.plans.figures import figure_tables
+from footfall.schema import STORED_FEATURES
 from footfall.sources.behavior_log import read_raw_log, read_stage
-from footfall.sources.user_table import current_version, read_table
+from footfall.sources.user_table import current_version, load_cells, load_users, read_table
 from footfall.streaming import ingest
 from tests.conftest import H1, rows
 
@@ -26,7 +27,7 @@ def test_each_line_lands_once_across_a_restart(spark, tmp_path):
             str(landed),
             str(tmp_path / "checkpoint"),
             trigger=NOW,
-            max_lines_per_file=20,
+            roll_bytes=20 * ingest.LINE_BYTES,
         )
         query.awaitTermination()
     got = sorted(r.value for r in spark.read.text(str(landed)).collect())
@@ -94,7 +95,8 @@ def test_jobs_from_raw_log_to_figures(spark, tmp_path, capsys):
 
     run("profile", "--input", at("features"), "--output", at("profile"), "--sample-limit", "4")
     assert read_stage(spark, at("profile/description")).count() > 20
-    assert read_stage(spark, at("profile/sample_buy_ratio")).selectExpr("sum(count)").first()[0] == 4
+    assert read_stage(spark, at("profile/buy_ratio")).selectExpr("sum(count)").first()[0] == 6
+    assert read_stage(spark, at("profile/quartiles")).filter("p50 IS NOT NULL").count() > 10
 
     for source in ("features", "users"):
         run("load", "--input", at(source), "--table", at("table"))
@@ -119,6 +121,45 @@ def test_jobs_from_raw_log_to_figures(spark, tmp_path, capsys):
             read_stage(spark, at(f"figures_{db}/{name}"))
 
 
+def test_query_output_is_complete(spark, tmp_path):
+    stored = spark.range(40).selectExpr("id AS user_id", *[f"1 AS {c}" for c in STORED_FEATURES])
+    load_users(spark, stored, str(tmp_path / "t"), "2024-01-01 00:00:00")
+    load_cells(spark, stored, str(tmp_path / "c"), "f")
+    for db, name in (("table", "t"), ("cells", "c")):
+        found = str(tmp_path / f"found_{db}")
+        given = ["query", "--db", db, "--table", str(tmp_path / name), "--output", found]
+        options = jobs.parse(given)
+        options.run(spark, options)
+        assert read_stage(spark, found).count() == 40
+
+
+def test_jdbc_reads_in_parts():
+    options = jobs.parse(
+        ["load", "--input", "i", "--jdbc-url", "u", "--jdbc-partitions", "8", "--jdbc-upper", "99"]
+    )
+    given = jobs._jdbc(options)
+    assert given["partitionColumn"] == "user_id"
+    assert (given["lowerBound"], given["upperBound"], given["numPartitions"]) == ("0", "99", "8")
+
+
+def test_relational_rows_are_merged(spark, tmp_path, monkeypatch):
+    """No database runs here: reading and writing it are replaced."""
+    row = lambda ids: spark.createDataFrame([(i,) for i in ids], "user_id long").selectExpr(
+        "user_id", *[f"cast({1} AS {t}) AS {c}" for c, t in STORED_FEATURES.items()]
+    )
+    held = row([1, 2]).selectExpr("*", "timestamp '2020-01-01' AS created_at")
+    written = []
+    monkeypatch.setattr(jobs.user_table, "read_jdbc", lambda *a: held)
+    monkeypatch.setattr(jobs.user_table, "write_jdbc", lambda users, o: written.append(users))
+    row([2, 3]).write.parquet(str(tmp_path / "batch"))
+    options = jobs.parse(
+        ["load", "--input", str(tmp_path / "batch"), "--table", str(tmp_path / "t"), "--jdbc-url", "u"]
+    )
+    options.run(spark, options)
+    got = {r.user_id: r.created_at.year for r in written[0].collect()}
+    assert got.keys() == {1, 2, 3} and got[1] == got[2] == 2020 and got[3] > 2020
+
+
 def test_missing_paths_are_refused(monkeypatch):
     monkeypatch.delenv("HDFS_RAW_INPUT", raising=False)
     with pytest.raises(SystemExit):

@@ -133,6 +133,15 @@ def test_cell_table(spark, batch1, batch2, tmp_path):
     assert dict(rows(days)) == {"1": 1.0, "2": 20.0, "3": 30.0}
 
 
+def test_second_load_of_a_version_fails(spark, batch1, batch2, tmp_path):
+    folder = str(tmp_path / "users")
+    base = user_table.load_users(spark, batch1, folder, FIRST)
+    user_table.load_users(spark, batch2, folder, SECOND)
+    with pytest.raises(RuntimeError, match="run it again"):
+        user_table._publish(spark, batch2, folder, "user_id", base)
+    assert user_table.current_version(spark, folder).endswith("000002")
+
+
 def test_jdbc_options():
     options = user_table.jdbc_options("jdbc:db://host/x", "t", numPartitions=8)
     assert options == {

@@ -1,6 +1,7 @@
 """DuckDB SQL of the dealt operators that SQL can express."""
 
 from . import divergence as d
+from . import secrets as found
 
 # Words, their 5-word windows, references and distances as in divergence.py.
 QUALITY_RULES = f"""
@@ -77,6 +78,54 @@ SELECT doc_id, n_words::BIGINT AS n_words, (chars - c5[5])::BIGINT AS word_chars
 FROM classed LEFT JOIN word_js USING (r) LEFT JOIN class_js USING (r)
 """
 
+
+def _spans_of(order, kind):
+    """Matches of a kind; starts from the lengths of what lies between and before."""
+    pattern, group = found.PATTERNS[kind]
+    pattern = "'" + pattern.replace("'", "''") + "'"
+    return f"""
+  SELECT r, source, {order} AS k, '{kind}' AS kind, v[i] AS value, m[i] AS whole,
+    list_sum(list_transform(p[1:i], lambda x: length(x)))
+    + coalesce(list_sum(list_transform(m[1:i - 1], lambda x: length(x))), 0) AS first
+  FROM (SELECT r, source, regexp_extract_all(t, {pattern}, 0) AS m,
+          regexp_extract_all(t, {pattern}, {group}) AS v,
+          regexp_split_to_array(t, {pattern}) AS p
+        FROM docs WHERE regexp_matches(t, {pattern})), unnest(range(1, len(m) + 1)) AS s(i)"""
+
+
+SECRET_SCAN = f"""
+WITH docs AS (
+  SELECT row_number() OVER () AS r, doc_id, source, coalesce(text, '') AS t FROM documents
+), matched AS (
+  {" UNION ALL ".join(_spans_of(k, kind) for k, kind in enumerate(found.KINDS))}
+), spans AS (
+  SELECT *, first + length(whole) AS after FROM matched
+  WHERE (k > 0 OR length(value) >= {found.ASSIGN_LEAST})
+    AND (k < 3 OR (regexp_matches(value, '[a-z]') AND regexp_matches(value, '[A-Z]')
+                   AND regexp_matches(value, '[0-9]')))
+), candidates AS (
+  SELECT * FROM spans s WHERE k < 3 OR NOT EXISTS (
+    SELECT 1 FROM spans b WHERE b.r = s.r AND b.k < 3 AND b.first < s.after AND s.first < b.after)
+), owned AS (
+  SELECT value, count(DISTINCT coalesce('s' || source, '')) AS n_owners FROM candidates GROUP BY value
+), judged AS (
+  SELECT c.*, CASE WHEN n_owners >= {found.COPIED_OWNERS} THEN 'copied'
+    WHEN n_owners = 1 AND NOT regexp_matches(value, '{found.PLACEHOLDER}')
+      AND len(list_distinct(string_split(value, ''))) >= {found.DISTINCT_CHARACTERS} THEN 'live'
+    ELSE 'unclear' END AS status
+  FROM candidates c JOIN owned USING (value)
+), kept AS (
+  SELECT *, kind || ':' || first || ':' || after AS shown FROM judged WHERE k < 3 OR status = 'live'
+)
+SELECT doc_id, count(*) FILTER (k = 0) AS n_assign, count(*) FILTER (k = 1) AS n_access,
+  count(*) FILTER (k = 2) AS n_hex, count(*) FILTER (k = 3) AS n_opaque,
+  sha256(coalesce(string_agg(shown, ',' ORDER BY first, k) FILTER (k < 3), '')) AS base_sha256,
+  coalesce(string_agg(shown, ',' ORDER BY first, k), '') AS spans,
+  count(*) FILTER (status = 'live') AS n_live, count(*) FILTER (status = 'copied') AS n_copied
+FROM docs LEFT JOIN kept USING (r) GROUP BY r, doc_id
+"""
+
 ORACLES = {
+    "op1_secret_scan": SECRET_SCAN,
     "op10_quality_rules": QUALITY_RULES,
 }

@@ -172,10 +172,11 @@ def equal_width_histogram(df, column, bins, weight=None):
     if weight is None:
         counts = value_counts(as_series(df, [column]))
     else:
-        weighted = numeric_rows(df, [column], keep=[weight])
-        counts = weighted.groupBy(
-            F.lit(column).alias("series"), F.col(column).alias("value")
-        ).agg(F.sum(weight).alias("n"))
+        weighted = numeric_rows(df, [column], keep=[weight]).selectExpr(
+            f"inline(array(struct('{column}' AS series, {column} AS value))) AS (series, value)",
+            f"{weight} AS weight",
+        )
+        counts = weighted.groupBy("series", "value").agg(F.expr("sum(weight) AS n"))
     extent = (
         counts.groupBy("series")
         .agg(F.expr("min(value) AS least"), F.expr("max(value) AS most"))

@@ -1,9 +1,9 @@
 """What the operators share: tables, checkpoints, row identities, shuffle-safe settings."""
 
-import tempfile
-
 from pyspark.sql import functions as F
 
+from ..session import shared_folder
+
 # Words are runs of anything but these six characters.
 SPACES = "[\\x20\\x09-\\x0D]+"
 
@@ -15,18 +15,13 @@ def table(spark, sf_dir, name):
 def checkpoint(df):
     """Materialise ``df`` in the folder all executors share and cut its lineage.
 
-    The cluster names the folder in ``spark.checkpoint.dir``. Only a local session
-    without that setting (tests) gets a folder of its own.
+    The cluster names the folder in ``spark.checkpoint.dir``; where that is unset, as in
+    tests, it lies in the warehouse.
     """
     spark = df.sparkSession
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        if folder is None:
-            if not context.master.startswith("local"):
-                raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-            folder = tempfile.mkdtemp(prefix="checkpoint-")
-        context.setCheckpointDir(folder)
+        context.setCheckpointDir(shared_folder(spark))
     return df.checkpoint()
 
 
@@ -50,18 +45,27 @@ def keep(df, condition):
     return marked.where(condition & (F.col("_after") >= 0)).drop("_after")
 
 
+HOT_KEYS = 10_000
+
+
+def join_counted(rows, keyed, key, n, total):
+    """Inner join of ``rows`` with ``keyed``, which has a row per key and its number ``n`` of rows.
+
+    Keys that hold more than a ``HOT_KEYS``-th of all ``total`` rows are fewer than
+    ``HOT_KEYS``, so they are broadcast and their rows stay where they are.
+    """
+    hot = F.col(n) * HOT_KEYS > total
+    often = F.broadcast(keyed.where(hot))
+    rest = rows.join(F.broadcast(keyed.where(hot).select(key)), key, "left_anti")
+    return rows.join(often, key).unionByName(rest.join(keyed.where(~hot), key)).drop(n)
+
+
 def let(value, body):
     """Evaluate ``value`` once and use it many times inside ``body``."""
     return F.transform(F.array(value), body)[0]
 
 
-def small_batches(spark, rows=2000, size=16 << 20):
-    """Bound the Arrow batches a Python worker holds, unless they are smaller already."""
-    as_bytes = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes
-    for key, most in (
-        ("spark.sql.execution.arrow.maxRecordsPerBatch", rows),
-        ("spark.sql.execution.arrow.maxBytesPerBatch", size),
-    ):
-        current = as_bytes(spark.conf.get(key))
-        if current <= 0 or current > most:
-            spark.conf.set(key, str(most))
+def small_batches(spark):
+    """Bound the Arrow batches a Python worker holds: by size, which long texts need."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "20000")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(8 << 20))

@@ -8,26 +8,31 @@ import numpy as np
 class PartTable:
     """Maps parts to the bytes of their ids (32-bit, native order).
 
-    ``encode(parts)`` gives a list of id lists. Parts of a batch that are not in the table
-    are encoded together. The table is emptied when it would outgrow ``most`` parts, so a
-    task holds at most that many and those of one batch.
+    Parts of a batch that are in neither generation of the table are encoded together, to
+    id lists or their bytes. When the new generation would outgrow ``most`` parts it becomes
+    the old one, and parts that come again are taken over from there. So a task holds at
+    most twice that many and those of one batch.
     """
 
-    def __init__(self, encode, most=200_000):
-        self.encode, self.most, self.known = encode, most, {}
+    def __init__(self, encode, most=300_000):
+        self.encode, self.most, self.known, self.old = encode, most, {}, {}
 
-    def rows(self, split_texts):
-        """An id array for each list of parts."""
-        wanted = set().union(*split_texts)
-        new = wanted - self.known.keys()
+    def bytes(self, wanted):
+        """The table, which then has at least the wanted parts."""
+        new = [part for part in wanted if part not in self.known]
         if len(self.known) + len(new) > self.most:
-            self.known.clear()
-            new = wanted
+            self.old = self.known
+            self.known = {part: self.old[part] for part in wanted if part in self.old}
+        self.known.update((part, self.old[part]) for part in new if part in self.old)
+        new = [part for part in new if part not in self.known]
         if new:
-            new = list(new)
             for part, ids in zip(new, self.encode(new), strict=True):
-                self.known[part] = array("i", ids).tobytes()
-        get = self.known.__getitem__
+                self.known[part] = ids if isinstance(ids, bytes) else array("i", ids).tobytes()
+        return self.known
+
+    def rows(self, split_texts):
+        """An id array for each list of parts."""
+        get = self.bytes(set().union(*split_texts)).__getitem__
         return [np.frombuffer(b"".join(map(get, parts)), np.int32) for parts in split_texts]
 
 

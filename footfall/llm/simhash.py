@@ -160,7 +160,7 @@ def links(distinct, bits=4, crowd=CROWD):
     """
     if bits % 2:
         raise ValueError("an even number of bits")
-    small_batches(distinct.sparkSession, rows=50_000)
+    small_batches(distinct.sparkSession)
     posted = distinct.select(
         "fp",
         F.explode(

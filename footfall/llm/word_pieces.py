@@ -1,13 +1,25 @@
 """Token ids by a tokenizer file of the tokenizers library, part by part.
 
 Normalisation and pre-tokenisation of the vocabulary used here never reach across a
-space or a line feed, so a text is encoded as the ids of its parts between them.
+space or a line feed, so a text is encoded as the ids of its parts between them. Most
+parts are letters with at most one mark after them. Of these, each different lower-case
+run of letters is encoded once, many at a time, without the normalising that leaves
+lower-case Latin letters as they are.
 """
 
 import os
+import re
+from array import array
+
+import numpy as np
 
 from .pieces_table import PartTable
 
+# Letters whose lower case is one letter and which are composed already.
+PLAIN = re.compile("([A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u00FF]+)([.,]?)")
+MARKS = ".,"
+END = "</w>"
+
 
 class Words:
     """Encoder of one file; built once per Python worker and path."""
@@ -16,10 +28,22 @@ class Words:
 
     def __init__(self, path):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings are ordinary text
+        self.plain = Tokenizer(self.tokenizer.model)
+        self.plain.pre_tokenizer = pre_tokenizers.Sequence(
+            [
+                pre_tokenizers.WhitespaceSplit(),
+                pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False),
+            ]
+        )
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for token, i in vocabulary.items() if token.endswith(END)]] = True
+        self.marks = {m: self._whole([m])[0] for m in MARKS} | {"": []}
+        self.runs = PartTable(self._runs)
         self.parts = PartTable(self._parts)
 
     @classmethod
@@ -28,8 +52,26 @@ class Words:
             cls.made[path] = cls(path)
         return cls.made[path]
 
-    def _parts(self, parts):
+    def _whole(self, parts):
         return [x.ids for x in self.tokenizer.encode_batch_fast(parts, add_special_tokens=False)]
 
+    def _runs(self, runs):
+        """Ids of runs of lower-case letters; a run's last id is that of an ending piece."""
+        ids = self.plain.encode_batch_fast([" ".join(runs)], add_special_tokens=False)[0].ids
+        cuts = np.flatnonzero(self.ends[ids]) + 1
+        if len(cuts) != len(runs):
+            return self._whole(runs)
+        return [ids[a:b] for a, b in zip([0, *cuts[:-1].tolist()], cuts.tolist(), strict=True)]
+
+    def _parts(self, parts):
+        found = list(map(PLAIN.fullmatch, parts))
+        other = [p for p, m in zip(parts, found, strict=True) if m is None]
+        rest = iter(self._whole(other))
+        runs = self.runs.bytes({m[1].lower() for m in found if m})
+        marks = {m: array("i", ids).tobytes() for m, ids in self.marks.items()}
+        return [
+            runs[m[1].lower()] + marks[m[2]] if m else array("i", next(rest)).tobytes() for m in found
+        ]
+
     def encode(self, texts):
         return self.parts.rows([text.replace("\n", " ").split(" ") for text in texts])

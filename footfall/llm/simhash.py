@@ -25,7 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from .common import checkpoint, small_batches, whole_text
+from .common import checkpoint, join_counted, small_batches, whole_text
 from .links import components
 
 SEED = 42
@@ -205,14 +205,18 @@ def links(distinct, bits=4, crowd=CROWD):
 def near_duplicates(docs, bits=4, words=4, doc_id="doc_id", text="text", crowd=CROWD):
     """doc_id, fingerprint (16 hexadecimal digits) and component_id (least doc_id reachable)."""
     prints = checkpoint(fingerprints(docs, words, doc_id, text))
-    distinct = checkpoint(prints.groupBy("fp").agg(F.min("doc_id").alias("first")))
+    distinct = checkpoint(prints.groupBy("fp").agg(F.min("doc_id").alias("first"), F.count("*").alias("n")))
     roots = components(links(distinct, bits, crowd))  # node, root: all but the lone ones
-    linked = distinct.join(roots, distinct["fp"] == roots["node"]).select("fp", "root", "first")
-    least = linked.groupBy("root").agg(F.min("first").alias("least"))
-    # Fingerprints, and documents of one, may be very many for a key: joins that adaptive
-    # execution splits.
-    named = linked.join(least, "root").select("fp", "least")
-    all_named = distinct.join(named, "fp", "left").select("fp", F.coalesce("least", "first").alias("component_id"))
-    return prints.join(all_named, "fp").select(
+    linked = checkpoint(
+        distinct.join(roots, distinct["fp"] == roots["node"]).select("fp", "root", "first", "n")
+    )
+    # A component may hold very many fingerprints, and a fingerprint very many documents.
+    least = linked.groupBy("root").agg(F.min("first").alias("least"), F.count("*").alias("size"))
+    named = join_counted(linked.select("fp", "root"), least, "root", "size", linked.count())
+    named = named.select("fp", "least")
+    all_named = checkpoint(
+        distinct.join(named, "fp", "left").select("fp", F.coalesce("least", "first").alias("component_id"), "n")
+    )
+    return join_counted(prints, all_named, "fp", "n", prints.count()).select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )

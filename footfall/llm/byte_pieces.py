@@ -81,7 +81,7 @@ def serialise(ranks):
 
 
 class Coder:
-    """Encoder and decoder of one vocabulary; built once per Python worker and path."""
+    """Encoder of one vocabulary; built once per Python worker and path."""
 
     made = {}
 
@@ -91,10 +91,10 @@ class Coder:
 
         ranks = read_ranks(path)
         self.ranks = {token.decode("latin-1"): rank for token, rank in ranks.items()}
-        self.bytes = [token for token, _ in sorted(ranks.items(), key=lambda x: x[1])]
         self.split = regex.compile(pattern).findall
         self.table = {i: c for i, c in enumerate(byte_characters())}
         self.model = sentencepiece.SentencePieceProcessor(model_proto=serialise(ranks))
+        self.pretokens = PartTable(self._pretokens)
         self.parts = PartTable(self._parts)
 
     @classmethod
@@ -104,21 +104,33 @@ class Coder:
             cls.made[key] = cls(path, pattern)
         return cls.made[key]
 
+    def _pretokens(self, pretokens):
+        """Ids of pre-tokens: of a token itself, or from the model, all others at once."""
+        raw = [x.encode().decode("latin-1") for x in pretokens]
+        ids = [self.ranks.get(x) for x in raw]
+        rest = [x.translate(self.table) for x, i in zip(raw, ids, strict=True) if i is None]
+        found = iter(self.model.encode(rest, num_threads=1))
+        return [next(found) if i is None else [i] for i in ids]
+
     def _parts(self, parts):
-        """Ids of each part; different pre-tokens go through the model once and together."""
-        cut = [[x.encode().decode("latin-1") for x in self.split(part)] for part in parts]
-        new = [x for x in set().union(*cut) if x not in self.ranks]
-        ids = dict(zip(new, self.model.encode([x.translate(self.table) for x in new], num_threads=1), strict=True))
-        ids.update((x, [self.ranks[x]]) for row in cut for x in row if x in self.ranks)
-        return [[i for x in row for i in ids[x]] for row in cut]
+        cut = []
+        for part in parts:
+            plain = PLAIN.fullmatch(part)
+            cut.append(plain.groups("") if plain else self.split(part))
+        known = self.pretokens.bytes(set().union(*cut) - {""})
+        return [b"".join([known[x] for x in row if x]) for row in cut]
 
     def encode(self, texts):
         return self.parts.rows([part(text) for text in texts])
 
-    def decode(self, ids):
-        return b"".join(map(self.bytes.__getitem__, ids))
+
+def token_bytes(path):
+    """The bytes of each id, in order."""
+    return [token for token, _ in sorted(read_ranks(path).items(), key=lambda x: x[1])]
 
 
+# Two pre-tokens, or one, of any pattern of this family.
+PLAIN = re.compile("( ?[A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u00FF]+)([.,]?)")
 # A pattern of this family starts a pre-token at a space that stands before a visible
 # character, so texts may be cut there. White space after a space is left uncut.
 UNSURE = re.compile(r" (?:\s|\Z)")
@@ -160,7 +172,7 @@ def encode(docs, path, pattern, text="text", ids="ids"):
     return made.select("_row.*", F.col("_ids").alias(ids))
 
 
-def decode(tokens, path, pattern, ids="ids", raw="raw"):
+def decode(tokens, path, ids="ids", raw="raw"):
     """``tokens`` with the bytes of each array of ids."""
     small_batches(tokens.sparkSession)
     rest = [c for c in tokens.columns if c.lower() != raw.lower()]
@@ -170,9 +182,9 @@ def decode(tokens, path, pattern, ids="ids", raw="raw"):
     )
 
     def run(batches):
-        coder = Coder.of(path, pattern)
+        get = token_bytes(path).__getitem__
         for batch in batches:
-            found = [coder.decode(ids) for ids in batch.column(0).to_pylist()]
+            found = [b"".join(map(get, x.values.to_numpy().tolist())) for x in batch.column(0)]
             yield pa.record_batch([batch.column(1), pa.array(found, pa.binary())], ["_row", "_raw"])
 
     made = held.mapInArrow(

@@ -4,9 +4,9 @@ Pivots are a bounded sample of the vectors (``PIVOTS``, the first by a hash of t
 ``4 * PIVOTS`` looked at for different ones). A vector is represented by the order of the
 pivots by distance. It is posted in the inverted files of its ``POSTED`` nearest pivots;
 a query visits those of its ``PROBED`` nearest ones. Each file is kept in pieces; in a
-piece the vectors not met in an earlier file of the query are ranked by the footrule
-distance of the orders, and the best share of them (``RERANKED``, at least ``LEAST``) is
-measured on the original vectors in double precision.
+piece every vector not met in an earlier file of the query is measured on the original
+vectors in double precision. No share of them is cut by the orders: in a dense region
+the orders hardly differ, and the cut would lose true neighbours.
 
 A pivot's file can hold at most ``PIVOTS / POSTED`` times the mean, and is dealt out over
 several keys, so no vector, however often repeated, fills one task.
@@ -28,8 +28,6 @@ from .common import checkpoint, small_batches
 PIVOTS = 128
 POSTED = 12
 PROBED = 16
-RERANKED = 0.15
-LEAST = 64
 PIECE = 1024  # vectors in a piece of an inverted file
 QUERIES = 256  # queries compared with a piece at once
 POSTINGS_PER_KEY = 50_000  # mean; and at least so many keys of a pivot:
@@ -141,10 +139,6 @@ def _search(pivots, dimension, count):
                 ):
                     # Those of an earlier file of this query were met there.
                     new = np.flatnonzero(~posted[:, at < at[p]].any(axis=1) & (ids != q))
-                    best = max(LEAST, int(np.ceil(RERANKED * len(new))))
-                    if len(new) > best:
-                        footrule = np.abs(ranks[new] - at).sum(axis=1)
-                        new = new[np.lexsort((ids[new], footrule))[:best]]
                     apart = np.sqrt(((vectors[new] - own) ** 2).sum(axis=1))
                     first = np.lexsort((ids[new], apart))[:count]
                     out[0].append(np.full(len(first), q))

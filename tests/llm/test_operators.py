@@ -292,6 +292,24 @@ def test_nearest_vectors(spark):
     assert {r.query_id for r in got} == {i for i in good if i % 100 == 0}
 
 
+def test_every_vector_of_a_piece_is_measured():
+    import pyarrow as pa
+
+    rng = np.random.default_rng(4)
+    good = rng.normal(size=32) + 0.05 * rng.normal(size=(1000, 32))  # orders of far pivots hardly differ
+    pivots = rng.normal(size=(128, 32))
+    order = np.argsort(((good[:, None] - pivots) ** 2).sum(axis=2), axis=1)
+    ranks = np.argsort(order, axis=1).astype("<i2")
+    for q in range(0, 1000, 100):
+        one = {"pivot": int(order[q, 0]), "ids": np.arange(1000, dtype="<i8").tobytes()}
+        one |= {"vectors": good.tobytes(), "ranks": ranks.tobytes(), "q_ids": np.array([q], "<i8").tobytes()}
+        one |= {"q_vectors": good[q].tobytes(), "q_ranks": ranks[q].tobytes()}
+        got = list(permutations._search(128, 32, 10)([pa.RecordBatch.from_pylist([one])]))
+        apart = ((good - good[q]) ** 2).sum(axis=1)
+        apart[q] = np.inf
+        assert got[0].column(1).to_pylist() == np.argsort(apart, kind="stable")[:10].tolist()
+
+
 def test_few_vectors(spark):
     table = spark.createDataFrame([(0, [1.0, 0.0]), (5, [0.0, 1.0]), (6, [1.0, 1.0])], "vec_id long, embedding array<float>")
     got = permutations.nearest(table, F.col("vec_id") % 100 == 0).orderBy("rank").collect()

@@ -1,6 +1,7 @@
 """DuckDB SQL of the dealt operators that SQL can express."""
 
 from . import divergence as d
+from . import ranked_search as searched
 from . import secrets as found
 
 # Words, their 5-word windows, references and distances as in divergence.py.
@@ -125,7 +126,53 @@ SELECT doc_id, count(*) FILTER (k = 0) AS n_assign, count(*) FILTER (k = 1) AS n
 FROM docs LEFT JOIN kept USING (r) GROUP BY r, doc_id
 """
 
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+_TERM = "[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+"
+
+
+def _terms(text):
+    return f"regexp_extract_all(translate(coalesce({text}, ''), '{_UPPER}', '{_LOWER}'), '{_TERM}')"
+
+
+RANKED_SEARCH = f"""
+WITH docs AS (
+  SELECT doc_id, {_terms('text')} AS t FROM documents
+), sized AS (
+  SELECT row_number() OVER () AS r, doc_id, t, len(t) AS n FROM docs WHERE len(t) > 0
+), corpus AS (
+  SELECT count(*)::BIGINT AS big_n, sum(n)::BIGINT AS big_l FROM sized
+), postings AS (
+  SELECT r, doc_id, n, term, count(*) AS tf FROM (SELECT r, doc_id, n, unnest(t) AS term FROM sized)
+  GROUP BY r, doc_id, n, term
+), weights AS (
+  SELECT term, floor(1000 * ln((2 * big_n + 2) / (2 * count(*) + 1)))::BIGINT AS w
+  FROM postings, corpus GROUP BY term, big_n
+), wanted AS (
+  SELECT DISTINCT i, item_id, term
+  FROM (SELECT i, item_id, unnest(t) AS term
+        FROM (SELECT row_number() OVER () AS i, item_id, {_terms('text')} AS t FROM benchmark))
+), scored AS (
+  SELECT i, item_id, r, doc_id,
+    sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * big_n) // big_l))))::BIGINT AS score
+  FROM wanted JOIN weights USING (term) JOIN postings USING (term), corpus
+  GROUP BY i, item_id, r, doc_id
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id NULLS LAST) AS rank
+  FROM scored WHERE score > 0
+)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM ranked WHERE rank <= {searched.BEST}
+"""
+
+EXACT_COPIES = """
+SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
+  row_number() OVER (PARTITION BY coalesce(text, '') ORDER BY doc_id DESC NULLS LAST) = 1 AS kept,
+  sha256(coalesce(text, '')) AS text_sha256
+FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))
+"""
+
 ORACLES = {
     "op1_secret_scan": SECRET_SCAN,
     "op10_quality_rules": QUALITY_RULES,
+    "op11_ranked_search": RANKED_SEARCH,
+    "op13_block_names": EXACT_COPIES,
 }

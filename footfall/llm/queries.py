@@ -5,12 +5,15 @@ from pyspark.sql import functions as F
 
 from ..session import scratch_dir
 from . import (
+    block_names,
     byte_pieces,
     direct_codes,
     divergence,
     hyperlang,
     packing,
+    pair_counts,
     permutations,
+    ranked_search,
     rule_ensemble,
     secrets,
     simhash,
@@ -118,6 +121,19 @@ def nearest_vectors(spark, sf_dir):
     return permutations.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
 
 
+def ranked(spark, sf_dir):
+    return ranked_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def tokenizer_alignment(spark, sf_dir):
+    paths = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+    return pair_counts.align(table(spark, sf_dir, "documents"), *paths)
+
+
+def exact_copies(spark, sf_dir):
+    return block_names.exact_duplicates(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_secret_scan": secret_scan,
     "op2_language_id": language_id,
@@ -129,4 +145,7 @@ QUERIES = {
     "op8_word_lengths": word_piece_lengths,
     "op9_simhash": near_duplicates,
     "op10_quality_rules": quality_rules,
+    "op11_ranked_search": ranked,
+    "op12_pair_counts": tokenizer_alignment,
+    "op13_block_names": exact_copies,
 }

@@ -2,8 +2,9 @@
 
 A single user may hold a large share of the log, so a window over "all events of
 a user" is not something one task can be asked to sort. Windows run over *pieces*
-of a user's history instead: calendar days, and for a day that is crowded, each
-second of it. Pieces are what the clock says, so no stray timestamp changes how
+of a user's history instead: calendar days, for a day that is crowded, each second of
+it, and for a second that is crowded, ranges of items, which order the events of a
+second. Days and seconds are what the clock says, so no stray timestamp changes how
 the others are cut. What a piece needs from those before it - the last event and
 how many there are, up to the longest frame - comes from one row per piece.
 """
@@ -13,18 +14,24 @@ from pyspark.sql import functions as F
 from footfall.operators.user_features import daily_totals, user_features
 from footfall.schema import EVENT_FEATURES, EVENT_ORDER, RAW_COLUMNS, TRAILING_EVENTS
 
-# A user's day with more events than this is cut into seconds.
+# A user's day with more events than this is cut into seconds, a second with more into
+# ranges of items.
 CROWDED_DAY = 1_000_000
 
-# The limit above grows with the log so that at most this many days can exceed
-# it: each of them holds more than 1/MOST_CROWDED of all events.
+# The limit above grows with the log so that at most this many days, and as many
+# seconds, can exceed it: each of them holds more than 1/MOST_CROWDED of all events.
 MOST_CROWDED = 50_000
 
-PIECE = ["user_id", "day", "second"]
+# Items of a crowded second are cut at some of the SLICES - 1 quantiles of this accuracy,
+# found in blocks of BLOCK cuts. A second with more than SLICES times the limit, a fiftieth
+# of the log, has SLICES ranges of more than the limit.
+SLICES, BLOCK, CUT_ACCURACY = 1024, 32, 10_000
+
+PIECE = ["user_id", "day", "second", "part"]
 
 
 def crowded_days(events, crowded_day=CROWDED_DAY):
-    """(user_id, day) with more events than the limit; at most ``MOST_CROWDED``.
+    """(user_id, day, limit) with more events than the limit; at most ``MOST_CROWDED``.
 
     The conditions on the other totals hold for every row. They keep all columns
     referenced, so this reads the shuffle that user features make of the totals.
@@ -35,17 +42,65 @@ def crowded_days(events, crowded_day=CROWDED_DAY):
     total = daily.agg(F.expr("sum(events) AS n")).scalar()
     return (
         daily.select("*", total.alias("total"))
-        .filter(f"events > greatest({crowded_day}, ceil(total / {MOST_CROWDED}))")
-        .select("user_id", "day")
+        .selectExpr("*", f"greatest({crowded_day}, ceil(total / {MOST_CROWDED})) AS limit")
+        .filter("events > limit")
+        .select("user_id", "day", "limit")
+    )
+
+
+def _item_cuts(events):
+    """Per (user_id, second) with more events than its limit: items at which to cut it.
+
+    Of the cuts at all quantiles, as many stay as ranges of the limit's size need. A limit
+    exceeds a ``MOST_CROWDED``-th of the log, so all cuts together are no more than
+    twice ``MOST_CROWDED`` and may be broadcast. Without a crowded day nothing is read.
+    """
+    shares = ", ".join(f"{i / SLICES}D" for i in range(1, SLICES))
+    return (
+        events.groupBy("user_id", "second")
+        .agg(
+            F.expr(f"percentile_approx(item_id, array({shares}), {CUT_ACCURACY}) AS quantiles"),
+            F.expr("count(*) AS n"),
+            F.expr("max(limit) AS limit"),
+        )
+        .filter("n > limit")
+        .selectExpr("*", f"int(greatest(1, floor(limit * {SLICES} / n))) AS step")
+        .selectExpr(
+            "user_id",
+            "second",
+            "array_distinct(filter(quantiles, (c, i) -> (i + 1) % step = 0)) AS cuts",
+        )
+        .selectExpr("*", f"filter(cuts, (c, i) -> (i + 1) % {BLOCK} = 0) AS starts")
     )
 
 
 def in_pieces(events, crowded_day=CROWDED_DAY):
-    """Events with the day and, on crowded days, the second of their piece (else 0)."""
-    crowded = crowded_days(events, crowded_day).withColumn("crowded", F.lit(True))
+    """Events with the columns of ``PIECE``.
+
+    ``second`` is 0 but on crowded days. ``part`` is the number of cuts below the item in
+    crowded seconds, else 0.
+    """
+    crowded = F.broadcast(crowded_days(events, crowded_day))
     dated = events.selectExpr("*", "to_date(timestamp_seconds(timestamp)) AS day")
-    return dated.join(F.broadcast(crowded), ["user_id", "day"], "left").selectExpr(
-        *events.columns, "day", "if(crowded, timestamp, 0L) AS second"
+    cuts = _item_cuts(
+        dated.join(crowded, ["user_id", "day"]).selectExpr(
+            "user_id", "timestamp AS second", "item_id", "limit"
+        )
+    )
+    below = "(a, c) -> a + if(c < item_id, 1, 0)"
+    return (
+        dated.join(crowded, ["user_id", "day"], "left")
+        .selectExpr(*events.columns, "day", "if(limit IS NULL, 0L, timestamp) AS second")
+        .join(F.broadcast(cuts), ["user_id", "second"], "left")
+        .selectExpr(
+            *events.columns, "day", "second", "cuts", f"aggregate(starts, 0, {below}) * {BLOCK} AS block"
+        )
+        .selectExpr(
+            *events.columns,
+            "day",
+            "second",
+            f"coalesce(block + aggregate(slice(cuts, block + 1, {BLOCK - 1}), 0, {below}), 0) AS part",
+        )
     )
 
 
@@ -73,7 +128,7 @@ def _carried(windowed, columns):
     last = windowed.filter("time_after IS NULL").selectExpr(
         *PIECE, "place", f"struct({', '.join(columns)}) AS last"
     )
-    order = "(PARTITION BY user_id ORDER BY day, second"
+    order = f"(PARTITION BY user_id ORDER BY {', '.join(PIECE[1:])}"
     return last.selectExpr(
         *PIECE,
         f"sum(place) OVER {order} ROWS BETWEEN {longest} PRECEDING AND 1 PRECEDING) AS before",

@@ -6,6 +6,7 @@ from footfall.operators.clean import clean_events
 from footfall.operators.event_features import (
     event_features,
     crowded_days,
+    PIECE,
     in_pieces,
     trailing_features,
 )
@@ -177,6 +178,32 @@ def test_stray_times_do_not_change_the_other_pieces(spark, stray):
         assert max(rows(pieces, "count"))[0] <= most
 
 
+def test_a_crowded_second_is_cut_into_ranges_of_items(spark):
+    """One user with 100,000 events in one second beside others; no piece of twice the limit."""
+    kinds = ["pv", "cart", "buy", "fav"]
+    lines = [(1, i // 4 if i < 60_000 else i * i, 1, kinds[i % 4], B + 7) for i in range(100_000)]
+    lines += [(1, i, 1, "pv", B + 8 + i % 50) for i in range(300)]
+    lines += [(2, i, 1, "pv", B + i) for i in range(100)]
+    cleaned = log(spark, lines)
+    for limit in (1000, 4000):
+        pieces = in_pieces(cleaned, limit).groupBy(*PIECE).count()
+        sizes = {(r.user_id, r.second, r.part): r["count"] for r in pieces.collect()}
+        assert max(sizes.values()) < 2 * limit and sum(sizes.values()) == len(lines)
+        assert len([k for k in sizes if k[:2] == (1, B + 7)]) < 2 * 100_000 / limit
+        assert sizes[2, 0, 0] == 100
+    order = sorted(lines[:100_000], key=lambda x: (x[1], x[3]))
+    got = trailing_features(cleaned, 1000).filter(f"user_id = 1 AND timestamp = {B + 7}")
+    got = got.orderBy("item_id", "behavior_type").select(
+        "item_id", "behavior_type", "pv_count_30d", "item_pv_count_1d", "time_since_last_behavior"
+    )
+    expected, before = [], None
+    for i, (_, item, _, kind, _) in enumerate(order):
+        pv = (kind == "pv") + (before == "pv")
+        expected.append((item, kind, min(i + 1, 31), pv, None if before is None else 0))
+        before = kind
+    assert rows(got) == expected
+
+
 def test_only_crowded_days_are_cut(spark):
     lines = [(1, i, 1, "pv", B + i) for i in range(200)] + [(1, 1, 1, "pv", B + 86400)]
     lines += [(2, i, 1, "pv", B + i) for i in range(100)]

@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType, StringType
 
-from footfall.operators.distributions import quartiles_of, running_totals, value_counts
+from footfall.operators.distributions import quartile_counts, quartiles_of, running_totals
 from footfall.schema import EVENT_ORDER
 
 
@@ -75,16 +75,16 @@ def sample(features, n=1000):
 def quartiles(df):
     """Count, mean, deviation, extremes and interpolated quartiles per numeric column.
 
-    Quartiles come from the counts of distinct values and their running totals, so
-    no task holds a column.
+    Quartiles come from the counts of the values next to them and their running totals,
+    so no task holds a column and hardly any values are shuffled.
     """
     columns = _numeric(df)
     pairs = ", ".join(f"struct('{c}' AS series, double(`{c}`) AS value)" for c in columns)
-    counts = value_counts(df.selectExpr(f"inline(array({pairs}))").filter("value IS NOT NULL"))
+    counts, brackets = quartile_counts(df.selectExpr(f"inline(array({pairs}))").filter("value IS NOT NULL"))
     plain = describe(df.select(*columns)).selectExpr(
         "column_name", "count", "mean", "stddev AS std", "min", "max"
     )
-    found = quartiles_of(running_totals(counts)).selectExpr(
+    found = quartiles_of(running_totals(counts), brackets).selectExpr(
         "series AS column_name", "q1 AS p25", "median AS p50", "q3 AS p75"
     )
     return plain.join(found, "column_name", "left").select(

@@ -42,3 +42,11 @@ def scratch_dir(spark, prefix):
     """A new folder every executor can see."""
     unique = spark._jvm.java.util.UUID.randomUUID().toString()
     return f"{shared_folder(spark)}/{prefix}-{unique}"
+
+
+def checkpoint(df):
+    """Materialise ``df`` in the folder all executors share and cut its lineage."""
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(shared_folder(df.sparkSession))
+    return df.checkpoint()

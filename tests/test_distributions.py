@@ -214,3 +214,38 @@ def test_quartiles(spark):
 def test_sample_is_stable(cleaned):
     first = rows(profile.sample(cleaned, 4))
     assert len(first) == 4 and first == rows(profile.sample(cleaned.repartition(7), 4))
+
+
+def test_quartiles_count_only_values_near_them(spark):
+    n = 40_000
+    frame = spark.range(n, numPartitions=3).selectExpr(
+        "double(hash(id)) AS wide",
+        "if(id % 10 = 0, double(hash(id)), 5D) AS tied",
+        "if(id = 7, 1e300, exp(id / 5000D)) AS stray",
+        "if(id % 3 = 0, NULL, -id) AS gaps",
+    )
+    got = {r.column_name: (r.p25, r.p50, r.p75) for r in profile.quartiles(frame).collect()}
+    data = frame.toPandas()
+    for name in frame.columns:
+        assert got[name] == pytest.approx(tuple(data[name].quantile([0.25, 0.5, 0.75])), rel=1e-12), name
+    pairs = ", ".join(f"struct('{c}' AS series, double({c}) AS value)" for c in frame.columns)
+    counts, _ = d.quartile_counts(frame.selectExpr(f"inline(array({pairs}))").filter("value IS NOT NULL"))
+    assert dict(counts.groupBy("series").agg({"n": "sum"}).collect()) == {
+        "wide": n, "tied": n, "stray": n, "gaps": n - len(range(0, n, 3)),
+    }
+    assert max(r["count"] for r in counts.groupBy("series").count().collect()) < n * 0.03
+
+
+def test_densities_shuffle_cells_and_err_little(spark):
+
+    rng = np.random.default_rng(5)
+    data = {"a": rng.normal(3, 2, 3000), "b": np.concatenate([rng.random(2000), [40.0]]), "c": np.repeat([1.0, 2.0, 90.0], 50)}
+    frame = spark.createDataFrame([(s, float(v)) for s, values in data.items() for v in values], "series string, value double")
+    got = d.density(frame, points=150, cut=2.0).orderBy("series", "point").collect()
+    for name, values in data.items():
+        h = len(values) ** -0.2 * values.std(ddof=1)
+        x = np.linspace(values.min() - 2 * h, values.max() + 2 * h, 150)
+        exact = np.exp(-0.5 * ((x[:, None] - values) / h) ** 2).sum(axis=1) / (len(values) * h * np.sqrt(2 * np.pi))
+        found = np.array([r.density for r in got if r.series == name])
+        near = exact > 1e-250  # below, the arguments' own rounding shows
+        assert np.abs(found[near] / exact[near] - 1).max() < 1e-8 and np.abs(found - exact).max() < 1e-12 * exact.max()

@@ -31,54 +31,62 @@ def merge_cells(stored, batch):
     return merged.selectExpr(*key, "coalesce(new, old) AS value")
 
 
-def _qualified(cells, value):
-    return cells.selectExpr(
-        "row_key AS user_id", "split_part(column, ':', 2) AS qualifier", f"{value} AS value"
+def _latest(cells, condition, keep=()):
+    """Per row key, the cells with the condition as (qualifier, value), one of each qualifier.
+
+    Where families have the same qualifier, the one whose column comes last counts. Text
+    cannot be kept in the fixed-width buffers of a hash aggregate, so the cells of a key are
+    collected; a key has as many cells as columns. Keys without such a cell have none.
+    """
+    own = cells.selectExpr(
+        "row_key AS user_id", *keep, "split_part(column, ':', 2) AS qualifier", "column", "value"
     )
+    ordered = own.selectExpr(
+        "user_id", *keep, f"if({condition}, struct(qualifier, column, value), NULL) AS cell"
+    )
+    last = "i + 1 = size(found) OR found[least(i + 1, size(found) - 1)].qualifier <> c.qualifier"
+    return (
+        ordered.groupBy("user_id", *keep)
+        .agg(F.expr("sort_array(collect_set(cell)) AS found"))
+        .selectExpr("user_id", *keep, f"filter(found, (c, i) -> {last}) AS found")
+        .selectExpr("user_id", *keep, "transform(found, c -> struct(c.qualifier, c.value)) AS own")
+        .selectExpr("user_id", *keep, "map_from_entries(own) AS own")
+    )
+
+
+def _text(name):
+    """``name`` as an SQL literal."""
+    escaped = name.replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{escaped}'"
 
 
-def decode_cells(cells, columns=None):
+def decode_cells(cells, columns=None, keep=()):
     """One row per row key, all values text; a missing cell is null.
 
-    Text cannot be kept in the fixed-width buffers of a hash aggregate, so the
-    cells of a key are collected, which needs no sort; a key has as many cells as
-    qualifiers. Without any column wanted, the row keys.
+    ``columns`` are any qualifiers, the stored features unless given. Without any, the row
+    keys. ``keep`` names columns that are the same in all cells of a key.
     """
     wanted = list(STORED_FEATURES) if columns is None else [c for c in columns if c != "user_id"]
     if not wanted:
-        return cells.selectExpr("row_key AS user_id").distinct()
-    names = ", ".join(f"'{c}'" for c in wanted)
-    own = _qualified(cells, "value").selectExpr(
-        "user_id", f"if(qualifier IN ({names}), struct(qualifier, value), NULL) AS cell"
-    )
-    return (
-        own.groupBy("user_id")
-        .agg(F.expr("map_from_entries(collect_set(cell)) AS own"))
-        .selectExpr("user_id", *[f"own['{c}'] AS {c}" for c in wanted])
-    )
+        return cells.selectExpr("row_key AS user_id", *keep).distinct()
+    names = ", ".join(map(_text, wanted))
+    found = _latest(cells, f"qualifier IN ({names})", keep)
+    return found.select("user_id", *keep, *[F.col("own")[c].alias(c) for c in wanted])
 
 
-def decode_all(cells):
+def decode_all(cells, keep=()):
     """One row per row key with a map of every qualifier it has to its text."""
-    return (
-        _qualified(cells, "value")
-        .groupBy("user_id")
-        .agg(F.expr("map_from_entries(collect_set(struct(qualifier, value))) AS cells"))
-    )
+    return _latest(cells, "true", keep).withColumnRenamed("own", "cells")
 
 
 def decode_numbers(cells, columns):
     """``columns`` as doubles; a missing cell or text that is no number is null.
 
-    Values are converted before they are grouped, which keeps the aggregate on
-    fixed-width buffers. ``user_id`` is the row key and stays text.
+    ``user_id`` is the row key and stays text.
     """
     wanted = [c for c in columns if c != "user_id"]
-    if not wanted:
-        return cells.selectExpr("row_key AS user_id").distinct()
-    return _qualified(cells, number("value")).groupBy("user_id").agg(
-        *[F.expr(f"max(if(qualifier = '{c}', value, NULL)) AS {c}") for c in wanted]
-    )
+    found = decode_cells(cells, wanted)
+    return found.select("user_id", *[F.expr(number(f"`{c}`")).alias(c) for c in wanted])
 
 
 def head_cells(cells, n=5):

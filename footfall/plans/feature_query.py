@@ -65,6 +65,16 @@ def query_table(
     return users.select(*fields) if fields else users
 
 
+def _existing(cells, fields):
+    """The ``fields`` that are stored features or qualifiers of some cell; no more rows are fetched."""
+    other = [c for c in fields if c not in STORED_FEATURES and c != "user_id"]
+    found = set()
+    if other:
+        qualifiers = cells.select(F.split_part("column", F.lit(":"), F.lit(2)).alias("qualifier"))
+        found = {r.qualifier for r in qualifiers.filter(F.col("qualifier").isin(other)).distinct().collect()}
+    return [c for c in dict.fromkeys(fields) if c in found or c in STORED_FEATURES and c != "user_id"]
+
+
 def query_cells(
     cells,
     user_id=None,
@@ -81,31 +91,32 @@ def query_cells(
 ):
     """Filter, sort, skip and limit on numbers, then fetch the text that is shown.
 
-    In filters and the sort key a missing or unreadable value counts as 0. With
-    ``fields``, the result has these qualifiers, unknown ones left out; without, a
-    column ``cells`` maps every qualifier a key has to its value.
+    In filters and the sort key a missing or unreadable value counts as 0. ``fields`` and
+    ``order_by`` name any qualifiers. With ``fields``, the result has these, null where a key
+    lacks them and left out if no key has them; without, a column ``cells`` maps every
+    qualifier a key has to its value.
     """
-    shown = [c for c in STORED_FEATURES if c in fields] if fields else None
+    shown = _existing(cells, fields) if fields else None
 
-    def show(found):
-        return decode_all(found) if shown is None else decode_cells(found, shown)
+    def show(found, keep=()):
+        return decode_all(found, keep) if shown is None else decode_cells(found, shown, keep)
 
     if user_id is not None:
         return show(cells.filter(F.col("row_key") == str(user_id)))
 
     days, ratio = (min_active_days, max_active_days), (min_buy_ratio, max_buy_ratio)
-    used = [c for c in STORED_FEATURES if c == order_by]
+    used = [order_by] if order_by and order_by != "user_id" else []
     used += ["active_days"] if days != (None, None) else []
     used += ["buy_ratio"] if ratio != (None, None) else []
     rows = decode_numbers(cells, list(dict.fromkeys(used)))
 
     def value_of(column):
-        return f"coalesce({column}, 0D)" if column in rows.columns else "0D"
+        return f"coalesce({number('user_id') if column == 'user_id' else f'`{column}`'}, 0D)"
 
     for condition in _bounds(value_of, days, ratio):
         rows = rows.filter(condition)
     order = []
-    if order_by and order_by in rows.columns:
+    if order_by:
         key = F.expr(value_of(order_by))
         order = [key.desc() if desc else key.asc()]
     rows = rows.orderBy(*order, "user_id")
@@ -117,9 +128,10 @@ def query_cells(
     keys = rows.select("user_id", *[F.expr(value_of(order_by)).alias("_key") for _ in order])
     if shown == []:
         return keys.select("user_id")
-    own = cells.join(keys.selectExpr("user_id AS row_key"), "row_key", "left_semi")
+    # A key is there once, so one join fetches the cells and the number to sort by.
+    own = cells.join(keys.withColumnRenamed("user_id", "row_key"), "row_key")
     order = [F.desc("_key") if desc else F.asc("_key")] if order else []
-    return show(own).join(keys, "user_id").orderBy(*order, "user_id").drop("_key")
+    return show(own, ["_key"] if order else []).orderBy(*order, "user_id").drop("_key")
 
 
 def low_conversion_users(users, min_active_days, max_buy_ratio, **options):

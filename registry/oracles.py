@@ -405,6 +405,16 @@ ORACLES = {
     "query_cells_keys": STORED + """
         SELECT CAST(user_id AS VARCHAR) AS user_id FROM stored
         ORDER BY CAST(user_id AS VARCHAR) LIMIT 30""",
+    "cells_families": STORED + f"""
+        SELECT CAST(user_id AS VARCHAR) AS user_id, {shown([c for c in STORED_COLUMNS if c != 'active_days'])},
+          CAST(active_days + CASE WHEN user_id % 3 = 0 THEN 100 ELSE 0 END AS INTEGER) AS active_days
+        FROM stored""",
+    "query_cells_by_qualifier": STORED + """
+        SELECT CAST(user_id AS VARCHAR) AS user_id, CAST(vip AS VARCHAR) AS vip,
+          CAST(days AS VARCHAR) AS active_days
+        FROM (SELECT user_id, active_days + CASE WHEN user_id % 3 = 0 THEN 100 ELSE 0 END AS days,
+                CASE WHEN user_id % 4 = 0 THEN user_id * 7 % 11 END AS vip FROM stored)
+        WHERE days >= 5 ORDER BY coalesce(vip, 0) DESC, CAST(user_id AS VARCHAR) LIMIT 40""",
     "query_cells_all": STORED + """
         SELECT CAST(user_id AS VARCHAR) AS row_key, unnest(
           [{'q': 'active_days', 'v': CAST(active_days AS DOUBLE)},

@@ -124,6 +124,19 @@ def _with_extra_cells(spark, folder):
     )
 
 
+def _two_families(spark, folder):
+    """Cells of family f, and of g, which is later, other values and a qualifier of its own."""
+    own = cells(spark, folder)
+    days = own.filter("column = 'f:active_days'")
+    other = days.filter("int(row_key) % 3 = 0").selectExpr(
+        "row_key", "'g:active_days' AS column", "string(int(value) + 100) AS value"
+    )
+    vip = days.filter("int(row_key) % 4 = 0").selectExpr(
+        "row_key", "'g:vip' AS column", "string(int(row_key) * 7 % 11) AS value"
+    )
+    return own.unionByName(other).unionByName(vip)
+
+
 QUERIES = {
     # cleaning
     "clean_events": cleaned,
@@ -209,6 +222,10 @@ QUERIES = {
     "query_cells_keys": lambda s, f: feature_query.query_cells(
         cells(s, f), fields=["user_id", "nope"], top_n=None, limit=30
     ),
+    "cells_families": lambda s, f: comparable(_typed(decode_cells(_two_families(s, f)))),
+    "query_cells_by_qualifier": lambda s, f: feature_query.query_cells(
+        _two_families(s, f), min_active_days=5, order_by="vip", desc=True, fields=["vip", "active_days"], limit=40
+    ),
     "query_cells_all": lambda s, f: comparable(_with_extra_cells(s, f)),
     # profile
     "profile_describe": lambda s, f: comparable(profile.describe(featured(s, f)), 3),

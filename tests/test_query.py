@@ -85,6 +85,32 @@ def test_field_names_are_not_sql(users):
         query_table(users, fields=["1 AS x"]).collect()
 
 
+def test_any_qualifier_is_shown_and_sorted_by(spark, cells):
+    more = spark.createDataFrame(
+        [("1", "f:vip", "3"), ("11", "f:vip", "20"), ("2", "f:vip", "oops"), ("3", "f:it's `odd`", "x")],
+        "row_key string, column string, value string",
+    )
+    both = cells.unionByName(more)
+    found = query_cells(both, fields=["vip", "buy_ratio"], order_by="vip", desc=True, top_n=3)
+    assert found.columns == ["user_id", "vip", "buy_ratio"]
+    assert [r[:2] for r in rows(found)] == [("11", "20"), ("1", "3"), ("10", None)]
+    assert ids(query_cells(both, order_by="vip", desc=True)) == [11, 1, 10, 2, 3]
+    assert rows(query_cells(both, user_id="3", fields=["it's `odd`"])) == [("3", "x")]
+
+
+def test_the_last_column_of_a_qualifier_counts(spark):
+    cells = spark.createDataFrame(
+        [("1", "f:active_days", "4"), ("1", "g:active_days", "9"), ("1", "e:active_days", "50"), ("1", "f:vip", "1"),
+         ("2", "g:active_days", "7"), ("2", "f:active_days", "8"), ("3", "g:active_days", "oops"), ("3", "f:active_days", "99")],
+        "row_key string, column string, value string",
+    )
+    found = query_cells(cells, fields=["active_days"], order_by="active_days", desc=True)
+    assert rows(found) == [("1", "9"), ("2", "7"), ("3", "oops")]
+    assert ids(query_cells(cells, min_active_days=8)) == [1]
+    every = {r.user_id: r.cells for r in query_cells(cells).collect()}
+    assert every == {"1": {"active_days": "9", "vip": "1"}, "2": {"active_days": "7"}, "3": {"active_days": "oops"}}
+
+
 def test_cells_without_a_value_count_as_zero(spark):
     cells = spark.createDataFrame(
         [("1", "f:active_days", "4"), ("2", "f:buy_ratio", "oops")],

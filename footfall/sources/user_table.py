@@ -3,7 +3,9 @@
 A load never overwrites what it reads. It writes to a folder of its own, claims the
 place after the version it was merged with, and renames the folder to the next version.
 Readers see the table before or after a load and nothing in between; of two loads that
-started from one version, the second to finish fails and has to be run again.
+started from one version, the second to finish fails and has to be run again. A claim
+names the folder, which is complete by then, so that the next load finishes the rename of
+one that died in between.
 """
 
 from footfall.operators.cells import encode_cells, merge_cells
@@ -47,6 +49,40 @@ def read_table(spark, folder, columns=None):
     return table.select(*columns) if columns else table
 
 
+def _claim(base):
+    return f"_claims/{base.rstrip('/').rsplit('/', 1)[1] if base else 'first'}"
+
+
+def _place(spark, folder, own):
+    """Rename a load's folder to the version after the last one."""
+    files, _ = _files(spark, folder)
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path
+    found, _ = _versions(spark, folder)
+    path = f"{folder}/{VERSION.format(max(found, default=0) + 1)}"
+    if files.exists(hadoop(own)) and files.rename(hadoop(own), hadoop(path)):
+        return path
+    if files.exists(hadoop(own)):
+        raise RuntimeError(f"{own} could not be renamed to {path}")
+    return current_version(spark, folder)  # another load has finished this one
+
+
+def _finish(spark, folder):
+    """Place the load that has claimed the current version but was not renamed, if there is one.
+
+    A load's files are complete before its claim, and the claim names their folder.
+    """
+    base = current_version(spark, folder)
+    files, _ = _files(spark, folder)
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path
+    claims = hadoop(f"{folder}/{_claim(base)}.by")
+    if not files.exists(claims):
+        return
+    for status in files.listStatus(claims):
+        own = hadoop(f"{folder}/{status.getPath().getName()}")
+        if files.exists(own):
+            _place(spark, folder, own.toString())
+
+
 def _publish(spark, df, folder, key, base):
     """Write the version after ``base``, laid out by ``key`` so that lookups by key
     read only the row groups whose range holds it."""
@@ -55,15 +91,14 @@ def _publish(spark, df, folder, key, base):
     unique = spark._jvm.java.util.UUID.randomUUID().toString()
     own = f"{folder}/_load-{unique}"
     df.repartitionByRange(key).sortWithinPartitions(key).write.parquet(own)
-    # Creating a file that must not exist is atomic: one load for each base.
-    claim = f"{folder}/_claims/{base.rstrip('/').rsplit('/', 1)[1] if base else 'first'}"
-    if not files.createNewFile(hadoop(claim)):
+    # A folder is renamed into its claim's place only if nothing is there: one load for each
+    # base. It holds one file, with the name of the load.
+    mine = hadoop(f"{folder}/_claims/_{unique}")
+    files.createNewFile(hadoop(mine, f"_load-{unique}"))
+    claim = hadoop(f"{folder}/{_claim(base)}.by")
+    if files.exists(claim) or not files.rename(mine, claim) or not files.exists(hadoop(claim, f"_load-{unique}")):
         raise RuntimeError(f"another load has replaced {base or 'the empty table'}; run it again")
-    found, _ = _versions(spark, folder)
-    path = f"{folder}/{VERSION.format(max(found, default=0) + 1)}"
-    if not files.rename(hadoop(own), hadoop(path)):
-        raise RuntimeError(f"{own} could not be renamed to {path}")
-    return path
+    return _place(spark, folder, own)
 
 
 def load_users(spark, rows, folder, loaded_at=None, stored=None):
@@ -71,6 +106,7 @@ def load_users(spark, rows, folder, loaded_at=None, stored=None):
 
     ``stored``: the rows to merge with, if they are kept elsewhere (a relational table).
     """
+    _finish(spark, folder)
     path = current_version(spark, folder)
     if stored is None and path:
         stored = spark.read.parquet(path)
@@ -79,6 +115,7 @@ def load_users(spark, rows, folder, loaded_at=None, stored=None):
 
 def load_cells(spark, rows, folder, family):
     """Put ``rows`` into the cell table in ``folder``; returns the new path."""
+    _finish(spark, folder)
     path = current_version(spark, folder)
     stored = spark.read.parquet(path) if path else None
     merged = merge_cells(stored, encode_cells(rows, family))

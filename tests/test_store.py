@@ -142,6 +142,39 @@ def test_second_load_of_a_version_fails(spark, batch1, batch2, tmp_path):
     assert user_table.current_version(spark, folder).endswith("000002")
 
 
+@pytest.mark.parametrize("first", [True, False])
+def test_a_load_that_died_after_its_claim_is_finished(spark, batch1, batch2, tmp_path, monkeypatch, first):
+    folder = str(tmp_path / "users")
+    if not first:
+        user_table.load_users(spark, batch1.limit(0), folder, FIRST)
+
+    def die(*_):
+        raise KeyboardInterrupt
+
+    with monkeypatch.context() as patch, pytest.raises(KeyboardInterrupt):
+        patch.setattr(user_table, "_place", die)
+        user_table.load_users(spark, batch1, folder, FIRST)
+    user_table.load_users(spark, batch2, folder, SECOND)
+    assert loaded(user_table.read_table(spark, folder)) == {
+        1: (1, FIRST), 2: (20, FIRST), 3: (30, SECOND),
+    }
+
+
+def test_a_load_that_died_before_its_claim_is_forgotten(spark, batch1, batch2, tmp_path, monkeypatch):
+    folder = str(tmp_path / "users")
+    user_table.load_users(spark, batch1, folder, FIRST)
+
+    def die(*_):
+        raise KeyboardInterrupt
+
+    with monkeypatch.context() as patch, pytest.raises(KeyboardInterrupt):
+        patch.setattr(user_table, "_claim", die)
+        user_table._publish(spark, batch2, folder, "user_id", user_table.current_version(spark, folder))
+    assert set(loaded(user_table.read_table(spark, folder))) == {1, 2}
+    user_table.load_users(spark, batch2, folder, SECOND)
+    assert set(loaded(user_table.read_table(spark, folder))) == {1, 2, 3}
+
+
 def test_jdbc_options():
     options = user_table.jdbc_options("jdbc:db://host/x", "t", numPartitions=8)
     assert options == {

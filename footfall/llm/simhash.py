@@ -55,17 +55,21 @@ def fingerprint(text, words=4):
     return int(np.packbits(2 * ones > count, bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs, words=4, doc_id="doc_id", text="text"):
-    """doc_id and fingerprint (as a signed 64-bit integer) of every row."""
+def fingerprints(docs, words=4, doc_id="doc_id", text="text", keep=None):
+    """doc_id, fingerprint (as a signed 64-bit integer) and the column ``keep`` (a long) of every row."""
     small_batches(docs.sparkSession)
-    rows = docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), whole_text(f"`{text}`").alias("text"))
+    rows = docs.select(
+        F.col(f"`{doc_id}`").cast("long").alias("doc_id"),
+        (F.col(f"`{keep}`") if keep else F.lit(None)).cast("long").alias("keep"),
+        whole_text(f"`{text}`").alias("text"),
+    )
 
     def run(batches):
         for batch in batches:
-            found = np.array([fingerprint(t, words) for t in batch.column(1).to_pylist()], np.uint64)
-            yield pa.record_batch([batch.column(0), pa.array(found.view(np.int64))], ["doc_id", "fp"])
+            found = np.array([fingerprint(t, words) for t in batch.column(2).to_pylist()], np.uint64)
+            yield pa.record_batch([batch.column(0), batch.column(1), pa.array(found.view(np.int64))], ["doc_id", "keep", "fp"])
 
-    return rows.mapInArrow(run, "doc_id long, fp long")
+    return rows.mapInArrow(run, "doc_id long, keep long, fp long")
 
 
 def _masks(bits):
@@ -202,9 +206,12 @@ def links(distinct, bits=4, crowd=CROWD):
     return compared.where("b is not null").unionByName(other).distinct()
 
 
-def near_duplicates(docs, bits=4, words=4, doc_id="doc_id", text="text", crowd=CROWD):
-    """doc_id, fingerprint (16 hexadecimal digits) and component_id (least doc_id reachable)."""
-    prints = checkpoint(fingerprints(docs, words, doc_id, text))
+def near_duplicates(docs, bits=4, words=4, doc_id="doc_id", text="text", crowd=CROWD, keep=None):
+    """doc_id, fingerprint (16 hexadecimal digits) and component_id (least doc_id reachable).
+
+    ``keep`` names a further column of integers to carry along, as ``keep``.
+    """
+    prints = checkpoint(fingerprints(docs, words, doc_id, text, keep))
     distinct = checkpoint(prints.groupBy("fp").agg(F.min("doc_id").alias("first"), F.count("*").alias("n")))
     roots = components(links(distinct, bits, crowd))  # node, root: all but the lone ones
     linked = checkpoint(
@@ -218,5 +225,5 @@ def near_duplicates(docs, bits=4, words=4, doc_id="doc_id", text="text", crowd=C
         distinct.join(named, "fp", "left").select("fp", F.coalesce("least", "first").alias("component_id"), "n")
     )
     return join_counted(prints, all_named, "fp", "n", prints.count()).select(
-        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
+        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id", *(["keep"] if keep else [])
     )

@@ -6,7 +6,7 @@ Every stage takes what the one before it kept. All but the last return the colum
 
 from pyspark.sql import functions as F
 
-from footfall.llm import divergence, near_copies, packing, rule_ensemble, secrets
+from footfall.llm import divergence, packing, rule_ensemble, secrets, simhash
 from footfall.llm.common import keep, remainder, table
 from footfall.llm.queries import piece_counts
 from footfall.session import scratch_dir
@@ -31,14 +31,15 @@ def quality_classifier(spark, docs, sf_dir):
 def near_duplicates(spark, docs, sf_dir):
     """One row of each group stays: that of the least doc_id (null last), the first one written.
 
-    Rows are told apart by a key of their own, not by doc_id. Groups are those of texts whose sets of five-word shingles have a similarity of 0.8 or more.
+    Groups are those of the SimHash operator as its contract has it: shingles of four words,
+    at most four differing bits. Rows are told apart by a key of their own, not by doc_id.
     """
     path = scratch_dir(spark, "keyed")
     docs.select(*COLUMNS, F.monotonically_increasing_id().alias("_row")).write.parquet(path)
     rows = spark.read.parquet(path)
-    found = near_copies.groups(rows, "_row").join(rows.select("_row", "doc_id"), F.col("row") == F.col("_row"))
-    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "_row")).alias("first")
-    kept = found.groupBy("component").agg(first).select(F.col("first._row").alias("_row"))
+    found = simhash.near_duplicates(rows, doc_id="_row", keep="doc_id")
+    first = F.min(F.struct(F.col("keep").isNull(), "keep", F.col("doc_id").alias("_row"))).alias("first")
+    kept = found.groupBy("component_id").agg(first).select(F.col("first._row").alias("_row"))
     return rows.join(kept, "_row", "left_semi").select(*COLUMNS)
 
 

@@ -43,7 +43,7 @@ class _Parts:
         """An index array for each text."""
         split = [stretches(text) if text else [] for text in texts]
         known = self.known
-        new = [p for p in dict.fromkeys(p for parts in split for p in parts) if p not in known]
+        new = list(set().union(*split).difference(known))
         if new:
             self.learn(new)
             known.update(zip(new, range(len(known), len(known) + len(new)), strict=True))
@@ -230,7 +230,7 @@ def _looked_up(paths, table, best):
                         if lacking and not lacking.isdisjoint(at.tolist()):
                             raise ValueError("a pair that was not counted")
                         rows.append(sums[at].sum(axis=0))
-                        digests.append(hashlib.sha256(";".join([notations[i] for i in at]).encode()).hexdigest())
+                        digests.append(hashlib.sha256(";".join(map(notations.__getitem__, at.tolist())).encode()).hexdigest())
                     else:
                         rows.append(np.zeros(len(SUMS), np.int64))
                         digests.append("")

@@ -18,7 +18,7 @@ _ODD = re.compile(r"[^\S \n]")
 _CUT = re.compile(r"(?<=\S)(?=[ \n])")
 SPACE = "▁"
 CHUNK = 50_000  # characters encoded together
-KNOWN = 300_000  # stretches a task remembers
+KNOWN = 500_000  # stretches a task remembers
 
 
 def stretches(text):
@@ -100,20 +100,23 @@ class Spans:
         groups = [group for group in together if group]
         numbers = [np.zeros(len(parts), np.int64) for _ in range(2)]
         valid = np.zeros(len(parts), bool)
-        ids = [[None] * len(parts), [None] * len(parts)]
+        ids = [[np.empty(0, np.int32)], [np.empty(0, np.int32)]]
+        order = []  # parts in the order of their ids
 
         def split(group, found):
-            sizes = [len(parts[i].encode()) for i in group]
-            ends = np.cumsum(sizes)
-            for side, (tokens, lengths) in enumerate(zip(found, (self.a_sizes, self.b_sizes), strict=True)):
-                tokens = np.array(tokens, np.int32)
-                reach = np.cumsum(lengths[tokens])
-                cuts = np.searchsorted(reach, ends) + 1
-                if not np.array_equal(reach[cuts - 1], ends):
+            """Take the ids over if both sides have a cut at the end of every part."""
+            ends = np.cumsum([len(parts[i].encode()) for i in group])
+            arrays, cuts = [], []
+            for tokens, lengths in zip(found, (self.a_sizes, self.b_sizes), strict=True):
+                arrays.append(np.array(tokens, np.int32))
+                reach = np.cumsum(lengths[arrays[-1]])
+                cuts.append(np.searchsorted(reach, ends) + 1)
+                if not np.array_equal(reach[cuts[-1] - 1], ends):
                     return False
-                numbers[side][group] = np.diff(cuts, prepend=0)
-                for i, own in zip(group, np.split(tokens, cuts[:-1]), strict=True):
-                    ids[side][i] = own
+            for side in range(2):
+                numbers[side][group] = np.diff(cuts[side], prepend=0)
+                ids[side].append(arrays[side])
+            order.extend(group)
             valid[group] = True
             return True
 
@@ -122,10 +125,11 @@ class Spans:
                 alone += group
         texts = [parts[i] for i in alone]
         for i, whole, *found in zip(alone, texts, *self._both(texts), strict=True):
-            if not (self._fits(whole, *found) and split([i], found)):
-                numbers[0][i] = numbers[1][i] = 0
-                ids[0][i] = ids[1][i] = np.empty(0, np.int32)
-        flat = [np.concatenate(x) if x else np.empty(0, np.int32) for x in ids]
+            if self._fits(whole, *found):
+                split([i], found)
+        flat = []
+        for own, n in zip(map(np.concatenate, ids), numbers, strict=True):
+            flat.append(own[np.argsort(np.repeat(order, n[order]), kind="stable")] if order else own)
         return flat[0], numbers[0], flat[1], numbers[1], valid
 
 

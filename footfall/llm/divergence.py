@@ -19,7 +19,7 @@ verdict is replaced.
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import SPACES, let, whole_text
+from .common import SPACES, checkpoint, keep, let, whole_text
 
 # Character classes besides white space and all the rest.
 CLASSES = {
@@ -29,8 +29,7 @@ CLASSES = {
     "symbol": "[^#*$%&|<>]+",
 }
 COMMON_WORDS = 24  # words of a language's reference
-LONGEST_WORD = 8  # code points of a common word, which keeps rare words out of the count
-MOST_LANGUAGES = 256  # languages with a reference, the largest first
+MOST_BROADCAST = 10_000  # references, of 24 hashes and 31 shares each, that a broadcast may hold
 REFERENCE_WORDS = 1000  # words a language needs to have a reference
 CLASS_LIMIT, CLASS_WORDS = 0.33, 60  # largest distance, least number of words
 WORD_LIMIT, WORD_WORDS = 0.31, 100
@@ -40,15 +39,23 @@ def words_of(text):
     return F.array_remove(F.split(text, SPACES), "")
 
 
-def class_counts(text):
-    """Characters by class: upper, digit, punctuation, symbol, white space, rest."""
-    parts = [F.length(F.regexp_replace(text, other, "")) for other in CLASSES.values()]
-    parts.append(F.length(F.translate(text, " \t\n\x0b\x0c\r", "")))
-    return F.array(*parts), F.length(text)
+def class_counts(text, words):
+    """Characters by class: upper, digit, punctuation, symbol, all but white space; and all.
+
+    Most characters are blanks and lower-case Latin letters; classes are told apart without
+    them. ``words`` are those of the text.
+    """
+
+    def counts(others):
+        parts = [F.length(F.regexp_replace(others, other, "")) for other in CLASSES.values()]
+        return F.array(*parts, F.length(F.array_join(words, "")))
+
+    return let(F.regexp_replace(text, "[a-z \n\u00DF-\u00F6\u00F8-\u00FF]+", ""), counts), F.length(text)
 
 
-def _classes(text):
-    counts, length = class_counts(text)
+def _classes(text, words):
+    """Characters by class: upper, digit, punctuation, symbol, white space, rest."""
+    counts, length = class_counts(text, words)
     return let(
         counts,
         lambda c: F.array(
@@ -62,37 +69,37 @@ def _classes(text):
 def references(docs, lang="lang", text="text"):
     """One row per language: words, their shares (and the share of all others), class shares.
 
-    At most ``MOST_LANGUAGES`` rows of a fixed size, so the result may be broadcast.
+    Texts are read once: their sums are counted beside their words, as notes that begin with a
+    blank, which no word does.
     """
     base = docs.where(F.col(lang).isNotNull()).select(
         F.col(lang).cast("string").alias("lang"), whole_text(text).alias("text")
     )
-    split = base.select("lang", "text", words_of(F.col("text")).alias("words"))
+    split = base.withColumn("words", words_of(F.col("text"))).withColumn("c", _classes(F.col("text"), F.col("words")))
     total = len(CLASSES) + 2
-    sums = (
-        split.select("lang", F.size("words").alias("n"), _classes(F.col("text")).alias("c"))
-        .groupBy("lang")
-        .agg(
-            F.sum("n").alias("n_words"),
-            F.array(*[F.sum(F.col("c")[i]) for i in range(total)]).alias("classes"),
-        )
-        .where(F.col("n_words") >= REFERENCE_WORDS)
-        .orderBy(F.desc("n_words"), "lang")
-        .limit(MOST_LANGUAGES)
-    )
-    counts = (
-        split.select(
-            "lang",
-            F.explode(F.filter("words", lambda w: F.length(w) <= LONGEST_WORD)).alias("word"),
-        )
+    values = [F.size("words"), *[F.col("c")[i] for i in range(total)]]
+    notes = F.array(*[F.concat(F.lit(f" {i} "), value.cast("string")) for i, value in enumerate(values)])
+    counts = checkpoint(
+        split.select("lang", F.explode(F.concat("words", notes)).alias("word"))
         .groupBy("lang", "word")
         .agg(F.count("*").alias("n"))
     )
+    note = F.split("word", " ")
+    noted = counts.where(F.col("word").startswith(" ")).select(
+        "lang", note[1].cast("int").alias("i"), (note[2].cast("bigint") * F.col("n")).alias("sum")
+    )
+    sums = (
+        noted.groupBy("lang")
+        .agg(*[F.sum(F.when(F.col("i") == i, F.col("sum")).otherwise(0)).alias(f"s{i}") for i in range(total + 1)])
+        .select("lang", F.col("s0").alias("n_words"), F.array(*[f"s{i + 1}" for i in range(total)]).alias("classes"))
+        .where(F.col("n_words") >= REFERENCE_WORDS)
+    )
     # Rank within shares of each language first: no task sorts all words of one language.
     order = [F.desc("n"), F.col("word")]
     shares = Window.partitionBy("lang", "share").orderBy(*order)
     ranked = (
-        counts.withColumn("share", F.pmod(F.hash("word"), F.lit(64)))
+        counts.where(~F.col("word").startswith(" "))
+        .withColumn("share", F.pmod(F.hash("word"), F.lit(64)))
         .withColumn("rank", F.row_number().over(shares))
         .where(F.col("rank") <= COMMON_WORDS)
     )
@@ -100,11 +107,12 @@ def references(docs, lang="lang", text="text"):
         ranked.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order)))
         .where(F.col("rank") <= COMMON_WORDS)
         .groupBy("lang")
-        .agg(F.array_sort(F.collect_list(F.struct("rank", "word", "n"))).alias("top"))
+        .agg(F.array_sort(F.collect_list(F.struct("rank", F.xxhash64("word").alias("word"), "n"))).alias("top"))
     )
     return sums.join(top, "lang", "left").select(
         F.col("lang").alias("ref_lang"),
-        F.coalesce(F.col("top.word"), F.array().cast("array<string>")).alias("ref_words"),
+        "n_words",
+        F.coalesce(F.col("top.word"), F.array().cast("array<bigint>")).alias("ref_words"),
         let(
             F.coalesce(F.col("top.n"), F.array().cast("array<bigint>")),
             lambda n: F.transform(
@@ -119,6 +127,26 @@ def references(docs, lang="lang", text="text"):
     )
 
 
+def _with_references(rows, refs):
+    """``rows`` with the reference of their language, if it has one.
+
+    Up to ``MOST_BROADCAST`` references are broadcast, whose words are hashes of a fixed size. If
+    there are more, those of the languages with most words are, and only rows of the others
+    are shuffled, each language of which has less than a ``MOST_BROADCAST``-th of all words.
+    """
+    at = F.col("_lang") == F.col("ref_lang")
+    refs = checkpoint(refs)
+    if refs.count() <= MOST_BROADCAST:
+        return rows.join(F.broadcast(refs), at, "left")
+    often = checkpoint(refs.orderBy(F.desc("n_words"), "ref_lang").limit(MOST_BROADCAST))
+    found = rows.join(F.broadcast(often), at, "left")
+    own = F.broadcast(often.select(F.col("ref_lang").alias("_often")))
+    rest = refs.join(own, F.col("ref_lang") == F.col("_often"), "left_anti")
+    mine = keep(found, F.col("ref_lang").isNotNull())
+    other = keep(found, F.col("ref_lang").isNull()).drop(*refs.columns)
+    return mine.unionByName(other.join(rest, at, "left"))
+
+
 def distance(p, q):
     """Jensen-Shannon distance (base 2) of two share arrays of one length."""
 
@@ -138,13 +166,17 @@ def _shares(counts):
 
 def _measured(docs, text):
     """Add _words and the base counts, one projection for each value used again."""
-    rows = docs.withColumn("_text", whole_text(text)).withColumn("_words", words_of(F.col("_text")))
-    at = lambda i, k: F.xxhash64(*[F.col("_words")[i + j] for j in range(k)])
+    rows = docs.withColumn("_text", whole_text(text)).withColumn("_split", words_of(F.col("_text")))
+    # Every word is hashed once.
+    rows = rows.withColumn("_words", F.transform("_split", lambda w: F.xxhash64(w)))
     rows = rows.withColumn(
         "_windows",
         F.when(
             F.size("_words") >= 5,
-            F.transform(F.sequence(F.lit(0), F.size("_words") - 5), lambda i: at(i, 5)),
+            F.transform(
+                F.sequence(F.lit(0), F.size("_words") - 5),
+                lambda i: F.xxhash64(*[F.col("_words")[i + j] for j in range(5)]),
+            ),
         ).otherwise(F.array().cast("array<bigint>")),
     )
     # Only texts with a repeated window are sorted.
@@ -152,16 +184,14 @@ def _measured(docs, text):
         "_sorted",
         F.when(
             F.size(F.array_distinct("_windows")) < F.size("_windows"),
-            F.array_sort(
-                F.transform("_windows", lambda h, i: F.struct(h.alias("h"), i.alias("i")))
-            ),
+            F.sort_array(F.transform("_windows", lambda h, i: F.struct(h.alias("h"), i.alias("i")))),
         ),
     )
     again = F.filter(
         "_sorted",
         lambda x, k: (F.get("_sorted", k - 1)["h"] == x["h"]) | (F.get("_sorted", k + 1)["h"] == x["h"]),
     )
-    rows = rows.withColumn("_starts", F.array_sort(F.transform(again, lambda x: x["i"])))
+    rows = rows.withColumn("_starts", F.sort_array(F.transform(again, lambda x: x["i"])))
     covered = F.aggregate(
         "_starts",
         F.struct(F.lit(0).cast("bigint").alias("n"), F.lit(0).alias("end")),
@@ -173,7 +203,7 @@ def _measured(docs, text):
     return rows.select(
         "*",
         F.size("_words").cast("bigint").alias("_n_words"),
-        _classes(F.col("_text")).alias("_classes"),
+        _classes(F.col("_text"), F.col("_split")).alias("_classes"),
         let(lines, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("bigint").alias("_dup_lines"),
         F.coalesce(covered, F.lit(0)).cast("bigint").alias("_repeat"),
     )
@@ -190,13 +220,13 @@ def judge(docs, refs=None, text="text", lang="lang", verdict="verdict"):
         F.col(text).alias("_raw"),
         F.col(lang).cast("string").alias("_lang"),
     )
-    rows = _measured(packed, "_raw").join(F.broadcast(refs), F.col("_lang") == F.col("ref_lang"), "left")
+    rows = _with_references(_measured(packed, "_raw"), refs)
     symbol = list(CLASSES).index("symbol")
     rows = rows.withColumn(
         "_common", F.filter("_words", lambda w: F.array_contains(F.col("ref_words"), w))
     )
     rows = rows.withColumn(
-        "_hits", F.transform("ref_words", lambda r: F.size(F.filter("_common", lambda w: w == r)))
+        "_hits", F.transform("ref_words", lambda r: F.size("_common") - F.size(F.array_remove("_common", r)))
     )
     rows = rows.withColumn(
         "_word_js",

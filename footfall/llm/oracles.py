@@ -37,10 +37,9 @@ WITH docs AS (
 ), langs AS (
   SELECT lang, sum(n_words) AS n, [sum(c[1]), sum(c[2]), sum(c[3]), sum(c[4]), sum(c[5]), sum(c[6])] AS c
   FROM classed WHERE lang IS NOT NULL GROUP BY lang HAVING sum(n_words) >= {d.REFERENCE_WORDS}
-  ORDER BY n DESC, lang LIMIT {d.MOST_LANGUAGES}
 ), common AS (
   SELECT lang, word, count(*) AS n FROM one JOIN words USING (r)
-  WHERE lang IS NOT NULL AND length(word) <= {d.LONGEST_WORD} GROUP BY lang, word
+  WHERE lang IS NOT NULL GROUP BY lang, word
   QUALIFY row_number() OVER (PARTITION BY lang ORDER BY n DESC, word) <= {d.COMMON_WORDS}
 ), ref AS (
   SELECT lang, word, common.n / langs.n AS q FROM common JOIN langs USING (lang)

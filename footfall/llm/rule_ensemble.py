@@ -50,7 +50,7 @@ def statistics(rows, text="text"):
     rows = rows.withColumn(
         "_pairs", F.zip_with("_words", F.slice("_words", 2, 1 << 30), lambda a, b: F.xxhash64(a, b))
     ).withColumn("_lines", F.split("_text", "\n"))
-    counts, length = class_counts(F.col("_text"))
+    counts, length = class_counts(F.col("_text"), F.col("_words"))
     rows = rows.withColumn("_classes", counts)
     n, chars, lines = F.size("_words"), length, F.size("_lines")
     share = lambda a, b: F.when(b > 0, a / b).otherwise(F.lit(0.0)).cast("double")

@@ -20,6 +20,7 @@ from footfall.llm import (
     secrets,
     simhash,
     word_lengths,
+    word_pieces,
 )
 from tests.llm.conftest import CASES
 
@@ -73,6 +74,26 @@ def test_quality_verdict_follows_the_distance(spark):
     assert got[100]  # without a language, the base rules alone
 
 
+def test_every_language_has_a_reference_of_all_its_words(spark, monkeypatch):
+    """More languages than fit a broadcast, and common words of any length."""
+    monkeypatch.setattr(divergence, "REFERENCE_WORDS", 100)
+    rows = []
+    for k in range(270):
+        own = [f"{chr(97 + k % 26) * 9}{chr(97 + k // 26)}{i}" for i in range(20)]
+        rows += [(2 * k, " ".join(own[i % 20 if i % 2 else 0] + str(i // 40) for i in range(120)), f"l{k}")]
+        rows += [(2 * k + 1, rows[-1][1][::-1], f"l{k}")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(5)
+    refs = {r.ref_lang: r for r in divergence.references(df).collect()}
+    assert len(refs) == 270
+    counts = collections.Counter(w for r in rows if r[2] == "l7" for w in r[1].split())
+    assert [round(x * 240) for x in refs["l7"].ref_shares[:24]] == sorted(counts.values(), reverse=True)[:24]
+    fields = "doc_id", "verdict.kept", "verdict.word_js", "verdict.class_js"
+    whole = sorted(map(tuple, divergence.judge(df).select(*fields).collect()))
+    assert all(r[2] is not None for r in whole)
+    monkeypatch.setattr(divergence, "MOST_BROADCAST", 7)
+    assert sorted(map(tuple, divergence.judge(df).select(*fields).collect())) == whole
+
+
 @pytest.mark.parametrize("p, q, expected", [([1.0, 0.0], [0.0, 1.0], 1.0), ([0.5, 0.5], [0.5, 0.5], 0.0)])
 def test_distance(spark, p, q, expected):
     found = spark.range(1).select(divergence.distance(F.lit(p), F.lit(q)).alias("d")).first()[0]
@@ -156,6 +177,20 @@ def test_token_files(spark, docs, tmp_path):
     assert got == expected
 
 
+def test_token_ids_of_odd_texts_are_those_of_the_library():
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    own, words = Tokenizer.from_file(path), word_pieces.Words.of(path)
+    plain = ["word", "Don't", "'S", " ", "  ", "\n", "123", "!!", "a1b2", "É", "ß", "(", "<", "|>", "-", "_"]
+    odd = ["<|endoftext|>", "<|startoftext|>", "é", "ẞ", "İ", "ſ", "×", "日本語", "🙂", "\t", "\x1c", "\x85", "\u2003", "\x00", "½"]
+    rng = np.random.default_rng(2)
+    texts = ["".join(rng.choice(plain + odd * (i % 2), rng.integers(0, 14))) for i in range(4000)]
+    texts += ["a <|endoftext|> b", "x" * 100_000, "ab1 " * 50_000]
+    for text, ids in zip(texts, words.encode(texts), strict=True):
+        assert ids.tolist() == own.encode(text, add_special_tokens=False).ids, repr(text)
+
+
 def test_any_token_is_read_directly():
     ids = np.random.default_rng(0).choice([3, 255, 256, 65_535, 65_536, 2**32 - 1, 70], 5000).astype(np.uint32)
     segment = direct_codes.Segment(direct_codes.pack([1, None, 5], [2000, 0, 3000], ids))

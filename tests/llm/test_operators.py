@@ -327,22 +327,33 @@ def test_nearest_vectors(spark):
     assert {r.query_id for r in got} == {i for i in good if i % 100 == 0}
 
 
-def test_every_vector_of_a_piece_is_measured():
-    import pyarrow as pa
-
+def test_dense_regions_are_found(spark):
     rng = np.random.default_rng(4)
-    good = rng.normal(size=32) + 0.05 * rng.normal(size=(1000, 32))  # orders of far pivots hardly differ
-    pivots = rng.normal(size=(128, 32))
-    order = np.argsort(((good[:, None] - pivots) ** 2).sum(axis=2), axis=1)
-    ranks = np.argsort(order, axis=1).astype("<i2")
-    for q in range(0, 1000, 100):
-        one = {"pivot": int(order[q, 0]), "ids": np.arange(1000, dtype="<i8").tobytes()}
-        one |= {"vectors": good.tobytes(), "ranks": ranks.tobytes(), "q_ids": np.array([q], "<i8").tobytes()}
-        one |= {"q_vectors": good[q].tobytes(), "q_ranks": ranks[q].tobytes()}
-        got = list(permutations._search(128, 32, 10)([pa.RecordBatch.from_pylist([one])]))
+    centres, own = rng.normal(size=(20, 32)), rng.integers(0, 20, 6000)
+    own[rng.random(6000) < 1 / 3] = 0  # a third of the rows lie near one vector
+    good = centres[own] + rng.normal(size=(6000, 32)) * np.where(own == 0, 0.05, 0.3)[:, None]
+    table = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(good)], "vec_id long, embedding array<double>")
+    got = {}
+    for r in permutations.nearest(table, F.col("vec_id") % 100 == 0).collect():
+        got.setdefault(r.query_id, set()).add(r.vec_id)
+    hits = {True: [], False: []}
+    for q in range(0, 6000, 100):
         apart = ((good - good[q]) ** 2).sum(axis=1)
         apart[q] = np.inf
-        assert got[0].column(1).to_pylist() == np.argsort(apart, kind="stable")[:10].tolist()
+        assert len(got[q]) == 10
+        hits[bool(own[q] == 0)].append(len(got[q] & set(np.argsort(apart)[:10].tolist())) / 10)
+    assert np.mean(hits[True]) >= 0.9 and np.mean(hits[False]) >= 0.9
+
+
+def test_footrule_and_places():
+    rng = np.random.default_rng(5)
+    away = rng.normal(size=(6, 40))
+    found = permutations.places(away).astype(np.int16)
+    orders = [sorted(range(40), key=lambda p, r=r: r[p]) for r in away.tolist()]
+    for i, order in enumerate(orders):
+        brute = [sum(abs(o.index(p) - order.index(p)) for p in range(40)) for o in orders]
+        assert permutations.footrule(found.T, found[i]).tolist() == brute
+        assert permutations._nearest_first(away, 7)[i].tolist() == order[:7]
 
 
 def test_few_vectors(spark):

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from footfall.functions.expressions import number
 from footfall.operators.cells import decode_all, decode_cells, decode_numbers
+from footfall.plans.paging import page, sort_keys
 from footfall.schema import STORED_FEATURES
 
 
@@ -53,15 +54,10 @@ def query_table(
     for condition in _bounds(str, days, ratio):
         users = users.filter(condition)
     rows = limit if limit is not None else top_n
-    if order_by:
-        key = F.col(order_by)
-        users = users.orderBy(key.desc() if desc else key.asc(), "user_id")
-    elif rows is not None:
-        users = users.orderBy("user_id")
-    if limit is not None and offset is not None:
-        users = users.offset(offset)
-    if rows is not None:
-        users = users.limit(rows)
+    if order_by or rows is not None:
+        order = [(order_by, desc)] if order_by else []
+        skipped = offset if limit is not None else None
+        users = page(users, [*order, ("user_id", False)], skipped, rows)
     return users.select(*fields) if fields else users
 
 
@@ -115,23 +111,18 @@ def query_cells(
 
     for condition in _bounds(value_of, days, ratio):
         rows = rows.filter(condition)
-    order = []
-    if order_by:
-        key = F.expr(value_of(order_by))
-        order = [key.desc() if desc else key.asc()]
-    rows = rows.orderBy(*order, "user_id")
-    if offset is not None:
-        rows = rows.offset(offset)
-    wanted = limit if limit is not None else top_n
-    if wanted is not None:
-        rows = rows.limit(wanted)
+    order = [("_key", desc)] if order_by else []
     keys = rows.select("user_id", *[F.expr(value_of(order_by)).alias("_key") for _ in order])
+    keys = page(keys, [*order, ("user_id", False)], offset, limit if limit is not None else top_n)
     if shown == []:
         return keys.select("user_id")
     # A key is there once, so one join fetches the cells and the number to sort by.
     own = cells.join(keys.withColumnRenamed("user_id", "row_key"), "row_key")
-    order = [F.desc("_key") if desc else F.asc("_key")] if order else []
-    return show(own, ["_key"] if order else []).orderBy(*order, "user_id").drop("_key")
+    return (
+        show(own, [name for name, _ in order])
+        .orderBy(*sort_keys(order), "user_id")
+        .drop("_key")
+    )
 
 
 def low_conversion_users(users, min_active_days, max_buy_ratio, **options):

@@ -368,6 +368,8 @@ ORACLES = {
         SELECT {ROW} FROM (SELECT * FROM stored ORDER BY buy_ratio DESC, user_id LIMIT 10)""",
     "query_page": STORED + f"""
         SELECT {ROW} FROM (SELECT * FROM stored ORDER BY active_days, user_id LIMIT 20 OFFSET 5)""",
+    "query_deep_page": STORED + f"""
+        SELECT {ROW} FROM (SELECT * FROM stored ORDER BY buy_ratio DESC, user_id LIMIT 20 OFFSET 70)""",
     "top_active_users": STORED + """
         SELECT user_id, CAST(active_days AS DOUBLE) AS active_days FROM stored
         ORDER BY active_days DESC, user_id LIMIT 10""",

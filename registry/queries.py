@@ -11,7 +11,7 @@ from footfall.operators.clean import behavior_counts, clean_events, validation_c
 from footfall.operators.event_features import event_features, trailing_features
 from footfall.operators.upsert import upsert_users
 from footfall.operators.user_features import stored_rows, user_features, users_of_event_features
-from footfall.plans import feature_query, figures, profile, summary
+from footfall.plans import feature_query, figures, paging, profile, summary
 from footfall.schema import EVENT_KEY, STORED_FEATURES
 from footfall.session import scratch_dir
 from footfall.sources.behavior_log import read_raw_log
@@ -113,6 +113,18 @@ def ingest_buckets(spark, folder):
     return read_raw_log(spark, f"{work}/lines")
 
 
+def _deep_page(spark, folder):
+    """A page past the first rows, found by ranges whatever the size of the table."""
+    shipped = paging.SHALLOW, paging.RANGE_ROWS
+    paging.SHALLOW, paging.RANGE_ROWS = 5, 20
+    try:
+        return feature_query.query_table(
+            stored(spark, folder), order_by="buy_ratio", desc=True, limit=20, offset=70
+        )
+    finally:
+        paging.SHALLOW, paging.RANGE_ROWS = shipped
+
+
 def _with_extra_cells(spark, folder):
     """Cells of even users, one qualifier of which the engine does not know."""
     known = cells(spark, folder).filter("column IN ('f:active_days', 'f:buy_ratio')")
@@ -181,6 +193,7 @@ QUERIES = {
     "query_page": lambda s, f: comparable(
         feature_query.query_table(stored(s, f), order_by="active_days", limit=20, offset=5)
     ),
+    "query_deep_page": lambda s, f: comparable(_deep_page(s, f)),
     "top_active_users": lambda s, f: comparable(feature_query.top_active_users(stored(s, f))),
     "cohort_low_conversion": lambda s, f: comparable(
         feature_query.low_conversion_users(stored(s, f), min_active_days=10, max_buy_ratio=0.2)

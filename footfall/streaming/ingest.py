@@ -1,13 +1,15 @@
 """Landing a stream of log lines as text files in buckets of processing time."""
 
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 BUCKETS = ["ingest_date", "ingest_hour"]
 
-# Fixed value: size at which a landed file is closed. The sink counts lines, so the
-# size is reached by way of the mean length of a line.
+# Fixed value: size at which a landed file is closed.
 ROLL_BYTES = 128 * 1024 * 1024
-LINE_BYTES = 64
+
+# Lines in a slice, whose running totals are one task's work, as a power of two.
+SLICE = 17
 
 
 def kafka_lines(spark, servers, topic, group_id=None, max_per_trigger=None):
@@ -39,23 +41,78 @@ def with_buckets(lines):
     )
 
 
-def land(lines, folder, checkpoint, trigger=None, roll_bytes=ROLL_BYTES, line_bytes=LINE_BYTES):
+def deal(lines, roll_bytes=ROLL_BYTES):
+    """``lines`` with ``number`` and ``file``, the place of the file each ``value`` belongs to.
+
+    Lines fill files one after the other by the bytes they take with their line end, so a file
+    passes ``roll_bytes`` by less than a line. Totals come from slices of neighbouring lines,
+    and one row a slice is ordered in one task. The lines must be written already: their
+    numbers have to be the same whenever they are read.
+    """
+    numbered = lines.select(
+        "*",
+        F.monotonically_increasing_id().alias("number"),
+        (F.coalesce(F.octet_length("value"), F.lit(0)) + 1).cast("long").alias("bytes"),
+    ).withColumn("slice", F.shiftright("number", SLICE))
+    slices = numbered.groupBy("slice").agg(F.sum("bytes").alias("total"))
+    earlier = F.sum("total").over(Window.orderBy("slice")) - F.col("total")
+    inside = F.sum("bytes").over(Window.partitionBy("slice").orderBy("number")) - F.col("bytes")
+    dealt = numbered.withColumn("inside", inside).join(slices.select("slice", earlier.alias("earlier")), "slice")
+    return dealt.selectExpr(*lines.columns, "number", f"(earlier + inside) DIV {int(roll_bytes)} AS file")
+
+
+def _land_batch(folder, roll_bytes):
+    """Write a batch once, however often it is replayed.
+
+    All lines of a batch have one bucket, which a replay finds again, as its time is kept in the
+    checkpoint. Files are complete in a folder of the batch before the first one is moved to
+    the bucket, and that folder stays until the next batch: a replay moves what is left in it.
+    """
+
+    def run(batch, number):
+        spark = batch.sparkSession
+        hadoop = spark._jvm.org.apache.hadoop.fs.Path
+        work = hadoop(f"{folder}/_landing")
+        files = work.getFileSystem(spark._jsc.hadoopConfiguration())
+        own = hadoop(work, f"batch-{number}")
+        if not files.exists(hadoop(own, "_SUCCESS")):
+            files.delete(work, True)  # earlier batches, which are done
+            batch.write.parquet(f"{work.toString()}/lines-{number}")
+            (
+                deal(spark.read.schema(batch.schema).parquet(f"{work.toString()}/lines-{number}"), roll_bytes)
+                .repartition("file")
+                .sortWithinPartitions("file", "number")
+                .drop("number")
+                .write.partitionBy(*BUCKETS, "file")
+                .text(own.toString())
+            )
+        for status in files.globStatus(hadoop(own, f"{'=*/'.join(BUCKETS)}=*/file=*/part-*")):
+            path = status.getPath()
+            place = path.getParent()
+            hour = place.getParent()
+            goal = hadoop(hadoop(folder, hour.getParent().getName()), hour.getName())
+            files.mkdirs(goal)
+            name = f"part-{number:08d}-{int(place.getName().split('=')[1]):06d}.txt"
+            if not files.rename(path, hadoop(goal, name)):
+                raise RuntimeError(f"{path.toString()} could not be moved to {goal.toString()}")
+
+    return run
+
+
+def land(lines, folder, checkpoint, trigger=None, roll_bytes=ROLL_BYTES):
     """Start landing ``lines`` under ``folder/ingest_date=/ingest_hour=``.
 
-    The checkpoint and the sink's own log make every line land exactly once,
-    across restarts too. One file per task and bucket is written each trigger
-    (60 seconds unless told otherwise), or several if it would pass ``roll_bytes``.
+    Every line lands exactly once, across restarts too. Each trigger (60 seconds unless told
+    otherwise) writes files of ``roll_bytes`` and one with the rest. The folder must be new, or
+    have been filled by this function.
     """
-    writer = (
+    return (
         with_buckets(lines)
-        .writeStream.format("text")
-        .partitionBy(*BUCKETS)
-        .outputMode("append")
-        .option("path", folder)
+        .writeStream.foreachBatch(_land_batch(folder, roll_bytes))
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or {"processingTime": "60 seconds"}))
+        .start()
     )
-    return writer.option("maxRecordsPerFile", max(1, roll_bytes // line_bytes)).start()
 
 
 def as_lines(raw):

@@ -27,7 +27,7 @@ def test_each_line_lands_once_across_a_restart(spark, tmp_path):
             str(landed),
             str(tmp_path / "checkpoint"),
             trigger=NOW,
-            roll_bytes=20 * ingest.LINE_BYTES,
+            roll_bytes=100,
         )
         query.awaitTermination()
     got = sorted(r.value for r in spark.read.text(str(landed)).collect())
@@ -36,7 +36,45 @@ def test_each_line_lands_once_across_a_restart(spark, tmp_path):
     assert all(
         re.fullmatch(r"ingest_date=\d{4}-\d\d-\d\d/ingest_hour=\d\d", f) for f in folders
     )
-    assert max(len(p.read_text().splitlines()) for p in landed.rglob("part-*.txt")) == 20
+    assert max(p.stat().st_size for p in landed.rglob("part-*.txt")) <= 104
+
+
+def test_files_are_rolled_by_bytes(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(ingest, "SLICE", 6)
+    source = tmp_path / "source"
+    source.mkdir()
+    lines = [("é" if i % 3 else "x") * (10 if i % 2 else 2500) + str(i) for i in range(800)]
+    (source / "a.log").write_text("\n".join(lines))
+    ingest.land(
+        ingest.file_lines(spark, str(source)), str(tmp_path / "l"), str(tmp_path / "c"), NOW, roll_bytes=100_000
+    ).awaitTermination()
+    files = sorted((tmp_path / "l").glob("ingest_date=*/ingest_hour=*/part-*.txt"))
+    assert all(90_000 <= p.stat().st_size <= 110_000 for p in files[:-1]) and len(files) > 10
+    assert [l for p in files for l in p.read_text().splitlines()] == lines
+
+
+def test_a_replayed_batch_lands_once(spark, tmp_path):
+    lines = [f"line {i}" for i in range(300)]
+    batch = spark.createDataFrame([(l,) for l in lines], "value string").selectExpr(
+        "value", "'2024-01-02' AS ingest_date", "'03' AS ingest_hour"
+    )
+    run = ingest._land_batch(str(tmp_path), 500)
+    landed = lambda: sorted(r.value for r in spark.read.text(str(tmp_path)).select("value").collect())
+    run(batch, 0)
+    run(batch, 0)
+    assert landed() == sorted(lines)
+    # A batch that died while its files were moved.
+    some = sorted(tmp_path.glob("ingest_date=2024-01-02/ingest_hour=03/part-*.txt"))
+    assert len(some) > 3
+    back = next((tmp_path / "_landing").glob("batch-0/*/*/file=0"))
+    some[0].rename(back / "part-again.txt")
+    run(batch, 0)
+    assert landed() == sorted(lines)
+    run(batch, 1)
+    assert landed() == sorted(lines * 2)
+    assert [p.name for p in (tmp_path / "_landing").glob("batch-*")] == ["batch-1"]
+    run(batch.limit(0), 2)
+    assert landed() == sorted(lines * 2)
 
 
 def test_landed_lines_are_a_raw_log(spark, raw, tmp_path):

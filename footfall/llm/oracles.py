@@ -107,10 +107,11 @@ WITH docs AS (
   SELECT * FROM spans s WHERE k < 3 OR NOT EXISTS (
     SELECT 1 FROM spans b WHERE b.r = s.r AND b.k < 3 AND b.first < s.after AND s.first < b.after)
 ), owned AS (
-  SELECT value, count(DISTINCT coalesce('s' || source, '')) AS n_owners FROM candidates GROUP BY value
+  SELECT value, count(DISTINCT coalesce('s' || source, '')) AS n_owners, count(DISTINCT r) AS n_repos
+  FROM candidates GROUP BY value
 ), judged AS (
-  SELECT c.*, CASE WHEN n_owners >= {found.COPIED_OWNERS} THEN 'copied'
-    WHEN n_owners = 1 AND NOT regexp_matches(value, '{found.PLACEHOLDER}')
+  SELECT c.*, CASE WHEN n_owners >= {found.COPIED_OWNERS} OR n_repos >= {found.COPIED_REPOS} THEN 'copied'
+    WHEN NOT regexp_matches(value, '{found.PLACEHOLDER}')
       AND len(list_distinct(string_split(value, ''))) >= {found.DISTINCT_CHARACTERS} THEN 'live'
     ELSE 'unclear' END AS status
   FROM candidates c JOIN owned USING (value)

@@ -4,9 +4,10 @@ Native: DataFrame functions only.
 
 Base patterns give spans that always stay. A wider pattern proposes further candidates:
 long tokens that mix cases and digits. Only the hash of a candidate leaves its document.
-Hashes are counted by distinct repositories and owners over the corpus: a value that
-many owners hold is a copied example, a live-looking value of one owner is a credential.
-The latter are added to the spans.
+Hashes are counted by distinct repositories and owners over the corpus. A value that at
+least ``COPIED_OWNERS`` owners or ``COPIED_REPOS`` repositories hold is a copied example, so
+mass copies inside one owner are no credential; a live-looking value of fewer is one, also if
+a copy of its document lies with a second owner. Credentials are added to the spans.
 
 Defined results: a null text has no spans; a null owner counts as one owner; without a
 repository column every row is a repository of its own; repeated rows each get a result;
@@ -34,6 +35,7 @@ ASSIGN_LEAST = 6
 PLACEHOLDER = "(?i)example|sample|dummy|placeholder|changeme|your[_-]|xxxx|0000|1234"
 DISTINCT_CHARACTERS = 10  # of a live-looking value
 COPIED_OWNERS = 3  # owners that hold an example
+COPIED_REPOS = 50  # or repositories, of however few owners
 
 
 def _spans(kind):
@@ -122,9 +124,9 @@ def find(docs, ids=("doc_id",), text="text", owner="source", repo=None):
     """One row per row of ``docs``: the id columns and ``spans``.
 
     Spans are structs (start, kind, end, n_owners, n_repos, status), by start and kind.
-    Status is ``live`` for owner-specific live-looking values, ``copied`` for values of
-    at least ``COPIED_OWNERS`` owners, else ``unclear``. Of the wider kind only live
-    ones are spans.
+    Status is ``copied`` for values of at least ``COPIED_OWNERS`` owners or ``COPIED_REPOS``
+    repositories, ``live`` for others that look live, else ``unclear``. Of the wider kind
+    only live ones are spans.
     """
     picked = docs.select(
         F.monotonically_increasing_id().alias("_row"),
@@ -151,8 +153,8 @@ def find(docs, ids=("doc_id",), text="text", owner="source", repo=None):
     # A hash that many rows hold makes a skewed join, which adaptive execution splits.
     joined = single.drop("owner", "repo").join(ownership(single), "hash")
     status = (
-        F.when(F.col("n_owners") >= COPIED_OWNERS, "copied")
-        .when((F.col("n_owners") == 1) & F.col("s.live"), "live")
+        F.when((F.col("n_owners") >= COPIED_OWNERS) | (F.col("n_repos") >= COPIED_REPOS), "copied")
+        .when(F.col("s.live"), "live")
         .otherwise("unclear")
     )
     span = F.struct(

@@ -131,6 +131,16 @@ def test_ownership_separates_examples_from_credentials(spark):
     assert all(got[10 + i] == "" for i in range(5))
 
 
+def test_repositories_decide_beside_owners(spark):
+    few, many = "Zk3vQ9xLm2Rt7Yp4Wn8Bs6Hd", "Qp7Lr2Xc9Vb4Nm6Ks1Wd8Tf3Gh"
+    rows = [(1, few, "a", "r"), (2, few, "b", "r")]  # a credential and a copy of its document
+    rows += [(10 + i, many, "a", f"r{i}") for i in range(secrets.COPIED_REPOS)]
+    rows += [(1000 + i, few[::-1], "a", "one") for i in range(secrets.COPIED_REPOS)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, repo string")
+    found = secrets.find(docs, repo="repo").select("doc_id", F.size("spans").alias("n")).collect()
+    assert all(r.n == (0 if 10 <= r.doc_id < 1000 else 1) for r in found) and len(found) == len(rows)
+
+
 def test_redaction_masks_overlapping_spans(spark):
     docs = spark.createDataFrame(
         [(1, "é token=0123456789abcdef0123456789abcdef!", "a")], "doc_id long, text string, source string"

@@ -8,7 +8,7 @@ import argparse
 import os
 import time
 
-from footfall.operators.cells import cell_row_count, decode_numbers, head_cells
+from footfall.operators.cells import cell_row_count, decode_numbers
 from footfall.operators.clean import behavior_counts, clean_events, validation_counts
 from footfall.operators.distributions import equal_width_histogram
 from footfall.operators.event_features import event_features
@@ -74,15 +74,14 @@ def load(spark, options):
     source = behavior_log.read_stage(spark, options.input)
     rows = stored_rows(users_of_event_features(source.select("user_id", *STORED_FEATURES)))
     if options.db == "cells":
-        path = user_table.load_cells(spark, rows, options.table, options.family)
-        cells = spark.read.parquet(path)
-        cell_row_count(cells).show()
-        head_cells(cells, options.verify_limit).show(truncate=False)
+        user_table.load_cells(spark, rows, options.table, options.family)
+        cell_row_count(user_table.read_table(spark, options.table)).show()
+        user_table.read_head(spark, options.table, options.verify_limit).show(truncate=False)
         return
     # Users only the relational table knows stay in it: it is merged, then replaced.
     stored = user_table.read_jdbc(spark, _jdbc(options)) if options.jdbc_url else None
-    path = user_table.load_users(spark, rows, options.table, stored=stored)
-    users = spark.read.parquet(path)
+    user_table.load_users(spark, rows, options.table, stored=stored)
+    users = user_table.read_table(spark, options.table)
     if options.jdbc_url:
         user_table.write_jdbc(users, _jdbc(options))
     feature_query.verify_table(users, options.verify_limit).show(truncate=False)
@@ -107,11 +106,12 @@ def _jdbc(options):
     )
 
 
-def _users(spark, options, columns=None):
+def _users(spark, options, columns=None, key=None):
     if options.jdbc_url:
         return user_table.read_jdbc(spark, _jdbc(options), columns)
-    fit_shuffles(spark, user_table.current_version(spark, options.table) or options.table)
-    return user_table.read_table(spark, options.table, columns)
+    if key is None:
+        fit_shuffles(spark, *user_table.table_paths(spark, options.table))
+    return user_table.read_table(spark, options.table, columns, key)
 
 
 def query(spark, options):
@@ -126,10 +126,8 @@ def query(spark, options):
     if wanted["top_n"] is None and not options.output:
         wanted["top_n"] = TOP_N
     wanted["fields"] = [f.strip() for f in options.fields.split(",")] if options.fields else None
-    if options.db == "cells":
-        found = feature_query.query_cells(_users(spark, options), **wanted)
-    else:
-        found = feature_query.query_table(_users(spark, options), **wanted)
+    ask = feature_query.query_cells if options.db == "cells" else feature_query.query_table
+    found = ask(_users(spark, options, key=options.user_id), **wanted)
     if options.output:
         behavior_log.write_stage(found, options.output)
     else:

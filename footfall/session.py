@@ -15,18 +15,20 @@ def session(name="footfall", zone="UTC", **conf):
 SHUFFLE_BYTES = 256 * 1024 * 1024
 
 
-def fit_shuffles(spark, path):
-    """Give the session enough shuffle partitions for the files under ``path``.
+def fit_shuffles(spark, *paths):
+    """Give the session enough shuffle partitions for the files under ``paths``.
 
     Adaptive execution merges partitions that turn out small but never adds any,
     so the number has to suit the input from the start. A larger setting stays.
     """
-    files = spark._jvm.org.apache.hadoop.fs.Path(path)
-    system = files.getFileSystem(spark._jsc.hadoopConfiguration())
-    size = sum(
-        system.getContentSummary(status.getPath()).getLength()
-        for status in system.globStatus(files) or []
-    )
+    size = 0
+    for path in paths:
+        files = spark._jvm.org.apache.hadoop.fs.Path(path)
+        system = files.getFileSystem(spark._jsc.hadoopConfiguration())
+        size += sum(
+            system.getContentSummary(status.getPath()).getLength()
+            for status in system.globStatus(files) or []
+        )
     current = int(spark.conf.get("spark.sql.shuffle.partitions"))
     wanted = -(-size // SHUFFLE_BYTES)
     spark.conf.set("spark.sql.shuffle.partitions", max(current, wanted))

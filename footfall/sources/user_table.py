@@ -1,5 +1,10 @@
 """Stored user features: versioned Parquet snapshots, or a JDBC table.
 
+Rows lie in ``PARTS`` parts by a hash of their key, partitions of the Parquet table. A version
+holds the parts its load has touched, read and written by that load alone; the table is each
+part in its latest version. The first version, and every ``WHOLE_EVERY``-th one at the
+latest, is whole: nothing before it counts.
+
 A load never overwrites what it reads. It writes to a folder of its own, claims the
 place after the version it was merged with, and renames the folder to the next version.
 Readers see the table before or after a load and nothing in between; of two loads that
@@ -8,10 +13,19 @@ names the folder, which is complete by then, so that the next load finishes the
 one that died in between.
 """
 
-from footfall.operators.cells import encode_cells, merge_cells
+from pyspark.sql import functions as F
+
+from footfall.operators.cells import encode_cells, head_cells, merge_cells
 from footfall.operators.upsert import upsert_users
+from footfall.session import checkpoint
 
 VERSION = "version={:06d}"
+# The layout of stored tables: one with another number of parts has to be loaded anew.
+PARTS = 256
+# Versions listed by a reader, at most.
+WHOLE_EVERY = 64
+# In a whole version: an empty table with the columns of the rows.
+WHOLE = "_whole"
 
 
 def _files(spark, folder):
@@ -41,14 +55,70 @@ def current_version(spark, folder):
     return f"{folder}/{VERSION.format(max(committed))}" if committed else None
 
 
-def read_table(spark, folder, columns=None):
-    path = current_version(spark, folder)
-    if path is None:
-        raise FileNotFoundError(f"no committed version in {folder}")
-    table = spark.read.parquet(path)
+def _part(key):
+    return F.pmod(F.xxhash64(key), F.lit(PARTS)).cast("int")
+
+
+def _parts(spark, folder):
+    """The whole version that counts, how many follow it, and the folder of each part."""
+    files, _ = _files(spark, folder)
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path
+    _, committed = _versions(spark, folder)
+    found = {}
+    for after, number in enumerate(sorted(committed, reverse=True)):
+        path = f"{folder}/{VERSION.format(number)}"
+        for status in files.listStatus(hadoop(path)):
+            name = status.getPath().getName()
+            if name.startswith("part="):
+                found.setdefault(name, f"{path}/{name}")
+        if files.exists(hadoop(path, WHOLE)):
+            return path, after, found
+    raise FileNotFoundError(f"no committed version in {folder}")
+
+
+def table_paths(spark, folder):
+    """The folders that hold the table's rows."""
+    return list(_parts(spark, folder)[2].values())
+
+
+def _read(spark, folder):
+    """The rows, with the number of their part in ``part``."""
+    whole, _, found = _parts(spark, folder)
+    none = spark.read.parquet(f"{whole}/{WHOLE}")
+    if not found:
+        return none.withColumn("part", F.lit(0))
+    rows = spark.read.schema(none.schema).option("basePath", folder).parquet(*found.values())
+    return rows.drop("version")
+
+
+def read_table(spark, folder, columns=None, key=None):
+    """The table's rows, all of them or those with ``key``, read from its part alone."""
+    table = _read(spark, folder)
+    if key is not None:
+        name = table.columns[0]
+        wanted = F.lit(key).try_cast(table.schema[name].dataType)
+        table = table.where((F.col("part") == _part(wanted)) & (F.col(name) == wanted))
+    table = table.drop("part")
     return table.select(*columns) if columns else table
 
 
+def read_head(spark, folder, n=5):
+    """All cells of the first ``n`` row keys of a cell table.
+
+    The n-th key of one part is at or after the n-th of the table. So of every other part
+    only the row groups that start at or before it are read, the first ones as a rule.
+    """
+    cells = _read(spark, folder)
+    found = table_paths(spark, folder)
+    if found:
+        part = int(found[0].rsplit("=", 1)[1])
+        keys = cells.where((F.col("part") == part) & F.col("row_key").isNotNull())
+        last = keys.select("row_key").distinct().orderBy("row_key").limit(n).collect()
+        if len(last) == n and n:
+            cells = cells.where(F.col("row_key") <= last[-1].row_key)
+    return head_cells(cells.drop("part"), n)
+
+
 def _claim(base):
     return f"_claims/{base.rstrip('/').rsplit('/', 1)[1] if base else 'first'}"
 
@@ -83,14 +153,17 @@ def _finish(spark, folder):
             _place(spark, folder, own.toString())
 
 
-def _publish(spark, df, folder, key, base):
-    """Write the version after ``base``, laid out by ``key`` so that lookups by key
-    read only the row groups whose range holds it."""
+def _publish(spark, df, folder, key, base, whole=False):
+    """Write the version after ``base``. Files hold ranges of keys, so that lookups read
+    only the row groups whose range holds the key."""
     files, _ = _files(spark, folder)
     hadoop = spark._jvm.org.apache.hadoop.fs.Path
     unique = spark._jvm.java.util.UUID.randomUUID().toString()
     own = f"{folder}/_load-{unique}"
-    df.repartitionByRange(key).sortWithinPartitions(key).write.parquet(own)
+    parted = df.withColumn("part", _part(key)).repartitionByRange("part", key)
+    parted.sortWithinPartitions("part", key).write.partitionBy("part").parquet(own)
+    if whole:
+        spark.createDataFrame([], df.schema).write.parquet(f"{own}/{WHOLE}")
     # A folder is renamed into its claim's place only if nothing is there: one load for each
     # base. It holds one file, with the name of the load.
     mine = hadoop(f"{folder}/_claims/_{unique}")
@@ -101,25 +174,35 @@ def _publish(spark, df, folder, key, base):
     return _place(spark, folder, own)
 
 
+def _load(spark, batch, folder, key, merge, stored=None):
+    """Publish ``batch`` merged with the rows of the parts it touches, or with all rows.
+
+    The base is looked up first: if another load replaces it while the parts are
+    read, the claim fails.
+    """
+    _finish(spark, folder)
+    base = current_version(spark, folder)
+    if base is None or stored is not None:
+        return _publish(spark, merge(stored, batch), folder, key, base, whole=True)
+    if _parts(spark, folder)[1] + 1 >= WHOLE_EVERY:
+        return _publish(spark, merge(read_table(spark, folder), batch), folder, key, base, whole=True)
+    batch = checkpoint(batch)  # read for its parts, for the ranges of keys and for the rows
+    touched = [r.part for r in batch.select(_part(key).alias("part")).distinct().collect()]
+    own = _read(spark, folder).where(F.col("part").isin(touched)).drop("part")
+    return _publish(spark, merge(own, batch), folder, key, base)
+
+
 def load_users(spark, rows, folder, loaded_at=None, stored=None):
-    """Upsert ``rows`` into the user table in ``folder``; returns the new path.
+    """Upsert ``rows`` into the user table in ``folder``; returns the path of the new version.
 
     ``stored``: the rows to merge with, if they are kept elsewhere (a relational table).
     """
-    _finish(spark, folder)
-    path = current_version(spark, folder)
-    if stored is None and path:
-        stored = spark.read.parquet(path)
-    return _publish(spark, upsert_users(stored, rows, loaded_at), folder, "user_id", path)
+    return _load(spark, rows, folder, "user_id", lambda old, new: upsert_users(old, new, loaded_at), stored)
 
 
 def load_cells(spark, rows, folder, family):
-    """Put ``rows`` into the cell table in ``folder``; returns the new path."""
-    _finish(spark, folder)
-    path = current_version(spark, folder)
-    stored = spark.read.parquet(path) if path else None
-    merged = merge_cells(stored, encode_cells(rows, family))
-    return _publish(spark, merged, folder, "row_key", path)
+    """Put ``rows`` into the cell table in ``folder``; returns the path of the new version."""
+    return _load(spark, encode_cells(rows, family), folder, "row_key", merge_cells)
 
 
 def jdbc_options(url, table, user=None, password=None, **options):

@@ -318,6 +318,17 @@ TWO_LOADS = (
 )"""
 )
 
+UPSERTED = TWO_LOADS + f"""
+  SELECT {ROW}, CASE WHEN user_id IN (SELECT user_id FROM load1)
+    THEN '2024-01-30 00:00:00' ELSE '2024-01-31 00:00:00' END AS created_at
+  FROM merged"""
+
+MERGED_CELLS = " UNION ALL ".join(
+    f"SELECT CAST(user_id AS VARCHAR) AS row_key, 'f:{c}' AS \"column\","
+    f" round(CAST({c} AS DOUBLE), 6) AS value FROM merged"
+    for c in STORED_COLUMNS
+)
+
 SEGMENT = """CASE WHEN active_days = 1 THEN '单日用户'
   WHEN active_days BETWEEN 2 AND 4 THEN '低频用户'
   WHEN active_days BETWEEN 5 AND 9 THEN '中频用户' ELSE '高频用户' END"""
@@ -376,19 +387,16 @@ ORACLES = {
     "cohort_low_conversion": STORED + f"""
         SELECT {ROW} FROM stored WHERE active_days >= 10 AND buy_ratio <= 0.2""",
     "cohort_high_intent": STORED + f"SELECT {ROW} FROM stored WHERE buy_ratio >= 0.3",
-    "feature_upsert": TWO_LOADS + f"""
-        SELECT {ROW}, CASE WHEN user_id IN (SELECT user_id FROM load1)
-          THEN '2024-01-30 00:00:00' ELSE '2024-01-31 00:00:00' END AS created_at
-        FROM merged""",
+    "feature_upsert": UPSERTED,
+    "feature_upsert_stored": UPSERTED,
+    "cells_head_stored": TWO_LOADS + ", cells AS (" + MERGED_CELLS + """)
+        SELECT * FROM cells
+        WHERE row_key IN (SELECT CAST(user_id AS VARCHAR) AS k FROM merged ORDER BY k LIMIT 5)""",
     "store_verify": STORED + f"""
         SELECT (SELECT count(*) FROM stored) AS total_rows, {ROW}
         FROM (SELECT * FROM stored ORDER BY active_days DESC, user_id LIMIT 5)""",
     "cells_encode": CELLS + 'SELECT row_key, "column", round(value, 6) AS value FROM cells',
-    "cells_merge": TWO_LOADS + " UNION ALL ".join(
-        f"SELECT CAST(user_id AS VARCHAR) AS row_key, 'f:{c}' AS \"column\","
-        f" round(CAST({c} AS DOUBLE), 6) AS value FROM merged"
-        for c in STORED_COLUMNS
-    ),
+    "cells_merge": TWO_LOADS + MERGED_CELLS,
     "cells_decode": STORED
     + f"SELECT CAST(user_id AS VARCHAR) AS user_id, {shown(STORED_COLUMNS)} FROM stored",
     "cells_numeric": STORED + """

@@ -14,6 +14,7 @@ from footfall.operators.user_features import stored_rows, user_features, users_o
 from footfall.plans import feature_query, figures, paging, profile, summary
 from footfall.schema import EVENT_KEY, STORED_FEATURES
 from footfall.session import scratch_dir
+from footfall.sources import user_table
 from footfall.sources.behavior_log import read_raw_log
 from footfall.sources.event_table import raw_log_from_events, read_events
 from footfall.streaming import ingest
@@ -76,6 +77,22 @@ def feature_upsert(spark, folder):
     return upsert_users(table, second, "2024-01-31 00:00:00")
 
 
+def stored_upsert(spark, folder):
+    """The same two loads through the stored table."""
+    path = scratch_dir(spark, "users")
+    for rows, moment in zip(_two_loads(cleaned(spark, folder)), ("30", "31"), strict=True):
+        user_table.load_users(spark, rows, path, f"2024-01-{moment} 00:00:00")
+    return user_table.read_table(spark, path)
+
+
+def stored_cells(spark, folder):
+    """A cell table after two loads."""
+    path = scratch_dir(spark, "cells")
+    for rows in _two_loads(cleaned(spark, folder)):
+        user_table.load_cells(spark, rows, path, "f")
+    return path
+
+
 def cells_merge(spark, folder):
     events = cleaned(spark, folder)
     first, second = _two_loads(events)
@@ -203,6 +220,10 @@ QUERIES = {
     ),
     # stores
     "feature_upsert": lambda s, f: comparable(feature_upsert(s, f)),
+    "feature_upsert_stored": lambda s, f: comparable(stored_upsert(s, f)),
+    "cells_head_stored": lambda s, f: comparable(
+        _cells_as_numbers(user_table.read_head(s, stored_cells(s, f)))
+    ),
     "store_verify": lambda s, f: comparable(feature_query.verify_table(stored(s, f))),
     "cells_encode": lambda s, f: comparable(_cells_as_numbers(cells(s, f))),
     "cells_merge": lambda s, f: comparable(cells_merge(s, f)),

@@ -1,4 +1,5 @@
 import datetime
+from pathlib import Path
 
 import pytest
 
@@ -175,6 +176,94 @@ def test_a_load_that_died_before_its_claim_is_forgotten(spark, batch1, batch2, t
     assert set(loaded(user_table.read_table(spark, folder))) == {1, 2, 3}
 
 
+def parts(version):
+    return {path.name for path in Path(version).glob("part=*")}
+
+
+def test_a_small_load_reads_and_writes_one_part(spark, batch2, tmp_path):
+    folder = str(tmp_path / "users")
+    first = user_table.load_users(
+        spark, spark.createDataFrame([user(i, 1) for i in range(2000)], SCHEMA), folder, FIRST
+    )
+    assert len(parts(first)) > user_table.PARTS * 0.9
+    one = batch2.where("user_id = 3")
+    own = f"part={one.select(user_table._part('user_id').alias('part')).first().part}"
+    # The load works although no other part can be read any more.
+    held = {}
+    for path in Path(first).glob("part=*/*.parquet"):
+        if path.parent.name != own:
+            held[path] = path.read_bytes()
+            path.write_bytes(b"unreadable")
+    second = user_table.load_users(spark, one, folder, SECOND)
+    assert parts(second) == {own}
+    for path, data in held.items():
+        path.write_bytes(data)
+    found = loaded(user_table.read_table(spark, folder))
+    assert len(found) == 2000 and found.pop(3) == (30, FIRST)
+    assert set(found.values()) == {(1, FIRST)}
+
+
+def test_whole_versions(spark, batch1, batch2, tmp_path, monkeypatch):
+    folder = str(tmp_path / "users")
+    monkeypatch.setattr(user_table, "WHOLE_EVERY", 2)
+    paths = [user_table.load_users(spark, b, folder, FIRST) for b in (batch1, batch2, batch1, batch2)]
+    assert [Path(path, user_table.WHOLE).exists() for path in paths] == [True, False, True, False]
+    assert set(loaded(user_table.read_table(spark, folder))) == {1, 2, 3}
+    # Rows kept elsewhere replace the table: users only the folder knew are gone.
+    other = upsert_users(None, batch1.where("user_id = 1"), FIRST)
+    user_table.load_users(spark, batch2, folder, SECOND, stored=other)
+    assert set(loaded(user_table.read_table(spark, folder))) == {1, 2, 3}
+    user_table.load_users(spark, batch2, folder, SECOND, stored=other.limit(0))
+    assert set(loaded(user_table.read_table(spark, folder))) == {2, 3}
+
+
+def test_an_empty_table_has_its_columns(spark, batch1, tmp_path):
+    folder = str(tmp_path / "users")
+    user_table.load_users(spark, batch1.limit(0), folder, FIRST)
+    empty = user_table.read_table(spark, folder)
+    assert empty.columns == ["user_id", *STORED_FEATURES, "created_at"] and empty.count() == 0
+    user_table.load_users(spark, batch1, folder, FIRST)
+    assert user_table.read_table(spark, folder).schema == empty.schema
+    user_table.load_cells(spark, batch1.limit(0), str(tmp_path / "cells"), "f")
+    assert user_table.read_head(spark, str(tmp_path / "cells")).count() == 0
+
+
+@pytest.fixture
+def plain_plans(spark):
+    """Scans in view, and row groups of about 100 rows."""
+    settings = {"spark.sql.adaptive.enabled": "false", "parquet.block.size": "2048"}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    yield
+    for name in settings:
+        spark.conf.unset(name)
+
+
+def scanned(df):
+    """Rows that the scans of ``df`` read, and its result."""
+    found = df.collect()
+    leaves = df._jdf.queryExecution().executedPlan().collectLeaves()
+    scans = [leaves.apply(i) for i in range(leaves.size())]
+    return sum(s.metrics().apply("numOutputRows").value() for s in scans if "Scan" in s.nodeName()), found
+
+
+def test_lookups_read_few_rows(spark, tmp_path, plain_plans):
+    folder = str(tmp_path / "cells")
+    features = [f"CAST(1 AS {kind}) AS {name}" for name, kind in STORED_FEATURES.items()]
+    users = spark.range(50000).selectExpr("id AS user_id", *features)
+    user_table.load_cells(spark, users, folder, "f")
+    total = 50000 * len(STORED_FEATURES)
+    assert user_table.read_table(spark, folder).count() == total
+    read, found = scanned(user_table.read_table(spark, folder, key=31337))
+    assert {r.row_key for r in found} == {"31337"} and len(found) == len(STORED_FEATURES)
+    assert read < total / 1000
+    read, found = scanned(user_table.read_head(spark, folder, 5))
+    assert {r.row_key for r in found} == {"0", "1", "10", "100", "1000"}
+    assert len(found) == 5 * len(STORED_FEATURES)
+    assert read < total / 8
+    assert user_table.read_table(spark, folder, key="no such key").count() == 0
+
+
 def test_jdbc_options():
     options = user_table.jdbc_options("jdbc:db://host/x", "t", numPartitions=8)
     assert options == {

@@ -5,9 +5,9 @@ programming finds the boundaries with the least padding, where every document is
 the greatest length of its bucket. In each bucket, documents in order of a hash fill
 batches of as many as a budget of padded tokens allows, at least one.
 
-Lengths above ``FINE`` are rounded up to ``FINE`` steps within each power of two, so the
-histogram the driver sees has a bounded number of rows; boundaries lie on those steps,
-except that the last one of a step's documents is their true greatest length.
+The histogram has a row for each different length, however long. Different lengths add up to
+at most all tokens, so there are at most ``sqrt(2 * tokens)`` of them: the driver sees 7 million
+for 25 trillion tokens at the worst, and no more than the longest document has tokens.
 
 Batch places come from counts: rows are ranked inside groups of about ``GROUP`` rows and
 the groups of a bucket are numbered one after the other, so no task sorts a bucket.
@@ -15,23 +15,44 @@ the groups of a bucket are numbered one after the other, so no task sorts a buck
 Defined results: a null length counts as 0; lengths below 1 are packed as 1; rows of equal
 length always share a bucket; repeated rows are packed each; an empty table gives an empty
 table; columns are kept but for those that have the name of a result, which are replaced.
+Documents of equal hash and key are the same to a batch: which one comes first is open.
 """
 
 import numpy as np
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-FINE = 4096
 BUCKETS = 16
 BUDGET = 65_536
 GROUP = 50_000
 
 
-def step(length):
-    """The upper end of a length's step: itself up to FINE, then FINE steps a power of two."""
-    power = F.floor(F.log2(F.greatest(length, F.lit(1)).cast("double") - 0.5)).cast("int")
-    width = F.pow(F.lit(2.0), F.greatest(power + 1 - FINE.bit_length() + 1, F.lit(0))).cast("long")
-    return (F.ceil(length / width) * width).cast("long")
+def _layer(best, before, high, layer):
+    """Costs with one more bucket, and the first length of the last bucket, for each last length.
+
+    Divide and conquer, where all middles of a depth are solved at once: the best start
+    of a middle bounds those of both sides.
+    """
+    n = len(high)
+    new, cut = np.full(n, np.inf), np.zeros(n, np.int64)
+    first, last = np.array([layer]), np.array([n - 1])
+    low, top = first, last
+    while len(first):
+        i = (first + last) // 2
+        width = np.minimum(i, top) - low + 1
+        starts = np.cumsum(width) - width
+        at = np.repeat(np.arange(len(i)), width)
+        j = np.arange(len(at)) + (low - starts)[at]
+        cost = best[j - 1] + (before[i + 1][at] - before[j]) * high[i][at]
+        new[i] = np.minimum.reduceat(cost, starts)
+        least = np.flatnonzero(cost == new[i][at])
+        _, earliest = np.unique(at[least], return_index=True)
+        cut[i] = j[least[earliest]]
+        first, last = np.concatenate([first, i + 1]), np.concatenate([i - 1, last])
+        low, top = np.concatenate([low, cut[i]]), np.concatenate([cut[i], top])
+        left = first <= last
+        first, last, low, top = first[left], last[left], low[left], top[left]
+    return new, cut
 
 
 def optimal_bounds(lengths, counts, buckets=BUCKETS):
@@ -42,32 +63,19 @@ def optimal_bounds(lengths, counts, buckets=BUCKETS):
     """
     n = len(lengths)
     if n <= buckets:
-        return list(lengths)
+        return [int(x) for x in lengths]
     before = np.concatenate([[0], np.cumsum(np.asarray(counts, np.float64))])
     high = np.asarray(lengths, np.float64)
     best = before[1:] * high  # one bucket over the first i + 1 lengths
     chosen = []
     for layer in range(1, buckets):
-        new, cut = np.full(n, np.inf), np.zeros(n, int)
-        work = [(layer, n - 1, layer, n - 1)]
-        while work:
-            a, b, low, top = work.pop()
-            if a > b:
-                continue
-            i = (a + b) // 2
-            # The last bucket holds lengths j to i.
-            j = np.arange(low, min(i, top) + 1)
-            cost = best[j - 1] + (before[i + 1] - before[j]) * high[i]
-            k = int(cost.argmin())
-            new[i], cut[i] = cost[k], j[k]
-            work += [(a, i - 1, low, cut[i]), (i + 1, b, cut[i], top)]
-        best = new
+        best, cut = _layer(best, before, high, layer)
         chosen.append(cut)
     bounds, i = [], n - 1
     for cut in reversed(chosen):
-        bounds.append(lengths[i])
+        bounds.append(int(lengths[i]))
         i = int(cut[i]) - 1
-    return [*reversed([*bounds, lengths[i]])]
+    return [*reversed([*bounds, int(lengths[i])])]
 
 
 def pack(rows, length, buckets=BUCKETS, budget=BUDGET, key="doc_id"):
@@ -78,23 +86,22 @@ def pack(rows, length, buckets=BUCKETS, budget=BUDGET, key="doc_id"):
         F.struct(*[F.col(f"`{c}`") for c in kept]).alias("_row"),
         F.greatest(F.coalesce(F.col(f"`{length}`").cast("long"), F.lit(0)), F.lit(1)).alias("_n"),
         F.col(f"`{key}`").alias("_key"),
-    ).withColumn("_step", step(F.col("_n")))
-    # FINE rows and as many for each power of two above.
-    histogram = held.groupBy("_step").agg(F.count("*").alias("n"), F.max("_n").alias("top")).orderBy("_step").collect()
-    if not histogram:
+    )
+    # Bounded as the module says.
+    histogram = held.groupBy("_n").count().toArrow().sort_by("_n")
+    if not len(histogram):
         return rows.select(*kept).withColumns(
             {n: F.lit(0).cast("int" if n == "bucket" else "long") for n in names}
         )
-    bounds = optimal_bounds([r["top"] for r in histogram], [r["n"] for r in histogram], buckets)
-    counts, b = [0] * len(bounds), 0
-    for r in histogram:
-        b += r["top"] > bounds[b]
-        counts[b] += r["n"]
+    lengths, numbers = (histogram.column(c).to_numpy() for c in ("_n", "count"))
+    bounds = optimal_bounds(lengths, numbers, buckets)
+    counts = np.zeros(len(bounds), np.int64)
+    np.add.at(counts, np.searchsorted(bounds, lengths), numbers)
     table = F.array(*[F.lit(x) for x in bounds])
     bucket = F.lit(len(bounds) - 1)
     for i in reversed(range(len(bounds) - 1)):
         bucket = F.when(F.col("_n") <= bounds[i], i).otherwise(bucket)
-    groups = F.array(*[F.lit(-(-c // GROUP)) for c in counts])
+    groups = F.array(*[F.lit(-(-c // GROUP)) for c in counts.tolist()])
     dealt = held.withColumn("bucket", bucket).withColumn("_hash", F.xxhash64("_key", "_n"))
     dealt = dealt.withColumn("_group", F.pmod("_hash", groups[F.col("bucket")]))
     # Ranks need the keys alone; whole rows are dealt out once.

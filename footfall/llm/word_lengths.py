@@ -9,7 +9,8 @@ that start with a blank start words, all others go on. Every single byte is a to
 every word has pieces.
 
 All words of a batch go through the automaton together, a byte at a time, each different
-word once.
+word once. Where only ``FEW`` of them have bytes left, these go on one by one, which takes
+the same steps in less time.
 
 Defined results: a null or empty text has no words and no tokens; repeated rows get a row
 each; an empty table gives an empty table; other columns are not read.
@@ -25,6 +26,7 @@ from .pieces_table import portions
 
 ROOT = 0
 NONE = -1
+FEW = 64
 
 
 class Automaton:
@@ -61,10 +63,12 @@ class Automaton:
                         self.fail[node], self.popped[node] = children[at][byte], popped
                 below += [(node, b, n) for b, n in children[node].items()]
             level = below
+        self.links = self.fail.tolist(), self.popped.tolist()
         # Children as one sorted table of node * 256 + byte.
         edges = sorted((node * 256 + b, n) for node, own in enumerate(children) for b, n in own.items())
         self.edges = np.array([e for e, _ in edges], np.int64)
         self.targets = np.array([n for _, n in edges], np.int32)
+        self.next = dict(edges)
 
     @classmethod
     def of(cls, path):
@@ -78,6 +82,18 @@ class Automaton:
         at = np.minimum(np.searchsorted(self.edges, key), len(self.edges) - 1)
         return np.where(self.edges[at] == key, self.targets[at], NONE)
 
+    def walk(self, node, tokens, data):
+        """State and count after the bytes ``data``."""
+        following, fail, popped = self.next, self.links[0], self.links[1]
+        for byte in data:
+            new = following.get(node << 8 | byte)
+            while new is None:
+                tokens += popped[node]
+                node = fail[node]
+                new = following.get(node << 8 | byte)
+            node = new
+        return node, tokens
+
     def count(self, words):
         """Number of greedy longest-match tokens of each byte string."""
         n = len(words)
@@ -87,9 +103,15 @@ class Automaton:
         starts = (np.cumsum(sizes) - sizes)[order]
         ordered = sizes[order]
         state, tokens = np.zeros(n, np.int32), np.zeros(n, np.int64)
+        falling = -ordered
         for i in range(int(ordered[0]) if n else 0):
             # Words are in order of size: the first ones still have a byte.
-            live = int(np.searchsorted(-ordered, -i, side="left"))
+            live = int(np.searchsorted(falling, -i, side="left"))
+            if live <= FEW:
+                for k in range(live):
+                    at, found = self.walk(int(state[k]), int(tokens[k]), words[order[k]][i:])
+                    state[k], tokens[k] = at, found
+                break
             data = flat[starts[:live] + i].astype(np.int64)
             new = self.child(state[:live], data)
             stuck = np.flatnonzero(new == NONE)

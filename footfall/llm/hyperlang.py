@@ -8,9 +8,9 @@ gets the language whose prototype has the greatest cosine with its profile.
 
 Runs of characters other than letters count as one blank, as do both ends of the text.
 
-Prototypes are learnt from at most about ``SAMPLE`` texts a language, chosen by a hash of
-the id, for at most ``LANGUAGES`` languages, those with most texts. Everything else covers
-all texts.
+Prototypes are learnt from about ``SAMPLE`` texts a language at most, chosen by a hash of
+the id, for every language. Everything else covers all texts. A prototype takes 8 KB on the
+driver; tasks compare with one block of ``BLOCK`` prototypes after the other, 16 MB each.
 
 Defined results: a text that is null or has no letter gets ``und`` with score 0, as does
 every text if nothing could be learnt; equal cosines go to the first language in order;
@@ -27,7 +27,7 @@ from .pieces_table import portions
 
 SIZE = 1024  # components of a vector
 SAMPLE = 4000
-LANGUAGES = 500
+BLOCK = 2048
 SEED = 20
 UNKNOWN = "und"
 STEP = 1 << 21  # above any code point
@@ -99,13 +99,16 @@ def learn(docs, lang="lang", doc_id="doc_id", text="text"):
         F.col(f"`{doc_id}`").cast("string").alias("key"),
         F.col(f"`{text}`").alias("text"),
     ).where("lang is not null and text is not null")
-    # At most LANGUAGES rows.
-    rates = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES)
-    rates = rates.select("lang", (F.lit(float(SAMPLE)) / F.col("count")).alias("rate"))
+    # A small row for each language, of which the driver holds a prototype later.
+    rates = rows.groupBy("lang").agg((F.lit(float(SAMPLE)) / F.count("*")).alias("rate"))
     place = F.pmod(F.xxhash64("key"), F.lit(1 << 30)) / F.lit(float(1 << 30))
     sample = rows.join(F.broadcast(rates), "lang").where(place < F.col("rate")).select("lang", "text")
     small_batches(docs.sparkSession)
 
+    def record(sums):
+        totals = pa.array([x.tolist() for x in sums.values()], pa.list_(pa.float64()))
+        return pa.record_batch([pa.array(list(sums)), totals], ["lang", "total"])
+
     def run(batches):
         own, sums = Profiles(), {}
         for batch in batches:
@@ -114,14 +117,24 @@ def learn(docs, lang="lang", doc_id="doc_id", text="text"):
                 found = own.profiles(texts[first:end]).astype(np.float64)
                 for name, row in zip(langs[first:end], found, strict=True):
                     sums[name] = sums.get(name, 0) + row
+            if len(sums) >= BLOCK:
+                yield record(sums)
+                sums = {}
         if sums:
-            yield pa.record_batch(
-                [pa.array(list(sums)), pa.array([x.tolist() for x in sums.values()], pa.list_(pa.float64()))],
-                ["lang", "total"],
-            )
+            yield record(sums)
 
-    # A row for each language: each lies in one partition.
-    found = sample.repartition("lang").mapInArrow(run, "lang string, total array<double>").collect()
+    def add(batches):
+        sums = {}
+        for batch in batches:
+            for name, total in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                sums[name] = sums.get(name, 0) + np.asarray(total.values)
+        if sums:
+            yield record(sums)
+
+    # Texts are profiled where they are read; only sums of profiles are shuffled, and each
+    # language lies in one partition. They are whole numbers, so their order changes nothing.
+    schema = "lang string, total array<double>"
+    found = sample.mapInArrow(run, schema).repartition("lang").mapInArrow(add, schema).collect()
     found = sorted((r["lang"], r["total"]) for r in found)
     return [name for name, _ in found], np.array([total for _, total in found]).reshape(-1, SIZE)
 
@@ -131,29 +144,51 @@ def identify(docs, langs, prototypes, doc_id="doc_id", text="text"):
     spark = docs.sparkSession
     length = np.linalg.norm(prototypes, axis=1, keepdims=True)
     unit = np.divide(prototypes, length, out=np.zeros_like(prototypes), where=length > 0)
-    shared = spark.sparkContext.broadcast((langs, unit))
+    firsts = range(0, max(len(langs), 1), BLOCK)
+    blocks = [spark.sparkContext.broadcast((langs[f : f + BLOCK], unit[f : f + BLOCK])) for f in firsts]
     small_batches(spark)
     rows = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), whole_text(f"`{text}`").alias("text"))
-
-    def run(batches):
-        own, (names, prototype) = Profiles(), shared.value
+    kind = rows.schema["doc_id"].dataType.simpleString()
+    found = f"doc_id {kind}, lang_pred string, score double"
+
+    def best(profiles, names, prototype, size):
+        if not names:
+            return [UNKNOWN] * len(profiles), np.zeros(len(profiles))
+        cosines = profiles @ prototype.T / np.where(size > 0, size, 1)[:, None]
+        at = cosines.argmax(axis=1)
+        preds = [names[b] if s > 0 else UNKNOWN for b, s in zip(at, size, strict=True)]
+        return preds, np.clip(np.where(size > 0, cosines.max(axis=1), 0), 0, 1)
+
+    def first_block(batches):
+        own, (names, prototype) = Profiles(), blocks[0].value
         for batch in batches:
-            texts, preds, scores = batch.column(1).to_pylist(), [], []
+            texts = batch.column(1).to_pylist()
             for first, end in portions(texts):
-                found = own.profiles(texts[first:end]).astype(np.float64)
-                size = np.linalg.norm(found, axis=1)
-                if not names:
-                    size[:] = 0
-                    best, cosine = np.zeros(len(found), int), np.zeros(len(found))
-                else:
-                    all_cosines = found @ prototype.T / np.where(size > 0, size, 1)[:, None]
-                    best, cosine = all_cosines.argmax(axis=1), all_cosines.max(axis=1)
-                preds += [names[b] if s > 0 else UNKNOWN for b, s in zip(best, size, strict=True)]
-                scores += np.clip(np.where(size > 0, cosine, 0), 0, 1).tolist()
-            yield pa.record_batch(
-                [batch.column(0), pa.array(preds, pa.string()), pa.array(scores, pa.float64())],
-                ["doc_id", "lang_pred", "score"],
-            )
-
-    kind = rows.schema["doc_id"].dataType.simpleString()
-    return rows.mapInArrow(run, f"doc_id {kind}, lang_pred string, score double")
+                profiles = own.profiles(texts[first:end])
+                size = np.linalg.norm(profiles.astype(np.float64), axis=1)
+                preds, scores = best(profiles.astype(np.float64), names, prototype, size)
+                columns = [batch.column(0)[first:end], pa.array(preds, pa.string()), pa.array(scores)]
+                if len(blocks) > 1:
+                    columns.append(pa.FixedSizeListArray.from_arrays(profiles.ravel(), SIZE).cast(pa.list_(pa.float32())))
+                yield pa.record_batch(columns, ["doc_id", "lang_pred", "score", "profile"][: len(columns)])
+
+    if len(blocks) == 1:
+        return rows.mapInArrow(first_block, found)
+    carried = rows.mapInArrow(first_block, f"{found}, profile array<float>")
+    for k in range(1, len(blocks)):
+
+        def next_block(batches, block=blocks[k]):
+            names, prototype = block.value
+            for batch in batches:
+                profiles = batch.column(3).flatten().to_numpy().reshape(-1, SIZE).astype(np.float64)
+                old = batch.column(1).to_pylist(), batch.column(2).to_numpy()
+                new = best(profiles, names, prototype, np.linalg.norm(profiles, axis=1))
+                # Equal cosines stay with the earlier language.
+                better = new[1] > old[1]
+                preds = [b if x else a for a, b, x in zip(old[0], new[0], better, strict=True)]
+                scores = np.where(better, new[1], old[1])
+                columns = [batch.column(0), pa.array(preds, pa.string()), pa.array(scores), batch.column(3)]
+                yield pa.record_batch(columns, ["doc_id", "lang_pred", "score", "profile"])
+
+        carried = carried.mapInArrow(next_block, carried.schema)
+    return carried.drop("profile")

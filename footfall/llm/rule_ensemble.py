@@ -45,7 +45,10 @@ STATISTICS = [
 
 
 def statistics(rows, text="text"):
-    """``rows`` with a double column for each of STATISTICS, all zero for an empty text."""
+    """``rows`` with a double column for each of STATISTICS, all zero for an empty text.
+
+    Pairs are neighbouring words, and the last word with the end.
+    """
     rows = rows.withColumn("_text", whole_text(text)).withColumn("_words", words_of(F.col("_text")))
     rows = rows.withColumn(
         "_pairs", F.zip_with("_words", F.slice("_words", 2, 1 << 30), lambda a, b: F.xxhash64(a, b))

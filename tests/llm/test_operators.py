@@ -2,6 +2,7 @@
 
 import collections
 import re
+import unicodedata
 import zlib
 
 import numpy as np
@@ -284,6 +285,70 @@ def test_compiled_rules_equal_the_model(spark, docs):
     assert np.allclose([r.score for r in got.collect()], 1 / (1 + np.exp(-margin)))
 
 
+def test_statistics_equal_plain_counts(docs):
+    def count(kinds, text):
+        return sum(c in kinds for c in text)
+
+    def plain(text):
+        words, lines = WORD.findall(text), text.split("\n")
+        n, chars = max(len(words), 1), sum(map(len, words))
+        every = max(len(text), 1)
+        pairs = [*zip(words, words[1:]), *[(w, None) for w in words[-1:]]]  # the last word with the end
+        return [
+            np.log1p(len(words)),
+            chars / n,
+            len(set(words)) / n,
+            len(set(pairs)) / n,
+            sum(a == b for a, b in pairs) / n,
+            sum(len(w) <= 3 for w in words) / n,
+            len(set(lines)) / len(lines) if words else 0,
+            len(words) / len(lines),
+            sum(unicodedata.category(c) == "Lu" for c in text) / every,
+            count("0123456789", text) / every,
+            count(".,;:!?'\"()-", text) / every,
+            count("#*$%&|<>", text) / every,
+            (len(text) - chars) / every,
+            text.count("!") / every,
+            text.count("|") / every,
+        ]
+
+    found = rule_ensemble.statistics(docs.select("doc_id", "text", F.col("text").alias("own"))).collect()
+    assert len(found) == len(CASES)
+    for row in found:
+        assert np.allclose([row[name] for name in rule_ensemble.STATISTICS], plain(row.own or ""), atol=1e-12), row.doc_id
+
+
+def test_lasso_meets_its_conditions():
+    """At the minimum the slope is the penalty where a weight is not zero, and within it elsewhere."""
+    rng = np.random.default_rng(5)
+    r = (rng.random((600, 12)) < 0.4).astype(float)
+    y = (rng.random(600) < 1 / (1 + np.exp(1 - 2 * r[:, 0] + 3 * r[:, 4]))).astype(float)
+    intercept, weights = rule_ensemble.lasso(r, y)
+    error = 1 / (1 + np.exp(-(intercept + r @ weights))) - y
+    slope = r.T @ error / len(y)
+    used = weights != 0
+    assert used[[0, 4]].all() and not used.all() and abs(error.mean()) < 1e-5
+    assert np.allclose(slope[used], -np.sign(weights[used]) * rule_ensemble.PENALTY, atol=1e-5)
+    assert (np.abs(slope[~used]) <= rule_ensemble.PENALTY + 1e-5).all()
+
+
+def test_the_first_cut_is_the_best_of_all():
+    rng = np.random.default_rng(7)
+    x = rng.integers(0, 12, (300, 3)).astype(float)
+    y = ((x[:, 1] > 6) ^ (rng.random(300) < 0.1)).astype(float)
+    first = rule_ensemble.extract(x, y)[0][0]
+    p = y.mean()
+
+    def gain(f, cut):
+        sides = [x[:, f] <= cut, x[:, f] > cut]
+        if min(s.sum() for s in sides) < rule_ensemble.LEAF:
+            return -np.inf
+        return sum((y - p)[s].sum() ** 2 / (p * (1 - p) * s.sum() + 1) for s in sides)
+
+    every = {(f, c): gain(f, c) for f in range(3) for c in np.unique(x[:, f])}
+    assert np.isclose(every[first[0], first[1]], max(every.values())) and first[0] == 1
+
+
 def test_no_labels_give_one_half(docs, none):
     model = rule_ensemble.learn(docs, none.selectExpr("doc_id", "1 AS quality"))
     assert {r.score for r in rule_ensemble.classify(docs, model).collect()} == {0.5}
@@ -314,6 +379,28 @@ def test_languages(spark, docs):
     assert {r.lang_pred for r in nothing} == {"und"} and len(nothing) == len(CASES)
 
 
+def test_no_language_is_left_out(spark, monkeypatch):
+    """More languages than one block holds, equal texts in two of them, and hot ones."""
+    monkeypatch.setattr(hyperlang, "BLOCK", 7)
+    rng = np.random.default_rng(9)
+    texts = ["".join(rng.choice(list("abcdefghijklmnop "), 60)) for _ in range(60)]
+    texts[59] = texts[3]
+    rows = [(i * 100 + k, t, f"l{i:03}") for i, t in enumerate(texts) for k in range(40 if i == 5 else 2)]
+    known = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(5)
+    langs, prototypes = hyperlang.learn(known)
+    assert langs == [f"l{i:03}" for i in range(60)]
+    own = hyperlang.Profiles().profiles(texts).astype(float)
+    assert (prototypes == own * np.array([40 if i == 5 else 2 for i in range(60)])[:, None]).all()
+    asked = spark.createDataFrame([*enumerate(texts), (70, None), (71, "12")], "doc_id long, text string")
+    blocks = {r.doc_id: r for r in hyperlang.identify(asked, langs, prototypes).collect()}
+    assert [blocks[i].lang_pred for i in range(60)] == [*langs[:59], "l003"]
+    assert all(abs(blocks[i].score - 1) < 1e-9 for i in range(60))
+    assert {(blocks[i].lang_pred, blocks[i].score) for i in (70, 71)} == {("und", 0.0)}
+    monkeypatch.setattr(hyperlang, "BLOCK", 2048)
+    whole = {r.doc_id: r for r in hyperlang.identify(asked, langs, prototypes).collect()}
+    assert {i: r.lang_pred for i, r in whole.items()} == {i: r.lang_pred for i, r in blocks.items()}
+
+
 # --- vectors ---------------------------------------------------------------------
 
 
@@ -411,10 +498,26 @@ def test_packing(spark, monkeypatch):
         assert len(set(sizes[:-1])) <= 1
 
 
-def test_steps_are_few_and_never_below(spark):
-    got = spark.createDataFrame([(n,) for n in [1, 2, 4095, 4096, 4097, 8192, 8193, 10**6, 10**12]], "n long")
-    for n, s in got.select("n", packing.step(F.col("n"))).collect():
-        assert n <= s <= n * (1 + 2 / packing.FINE) and (n > packing.FINE or n == s)
+def test_long_lengths_have_exact_bounds(spark):
+    rng = np.random.default_rng(4)
+    lengths = np.sort(rng.choice(3_000_000, 90, replace=False) + 1)
+    rows = spark.createDataFrame([(i, int(n)) for i, n in enumerate(lengths)], "doc_id long, n long")
+    got = packing.pack(rows, "n", buckets=5).select("n", "padded_length").collect()
+    # Every way to cut, by plain recursion over the lengths.
+    least = {0: np.concatenate([[0], np.full(90, np.inf)])}
+    for k in range(1, 6):
+        before = least[k - 1]
+        costs = [min(before[j] + (i - j) * lengths[i - 1] for j in range(i)) for i in range(1, 91)]
+        least[k] = np.array([0, *costs])
+    assert sum(r.padded_length for r in got) == least[5][90]
+    assert all(r.n <= r.padded_length for r in got)
+
+
+def test_bounds_of_very_many_lengths():
+    lengths = np.arange(1, 200_001)
+    found = packing.optimal_bounds(lengths, np.ones(200_000, np.int64), 16)
+    # Lengths that occur alike are cut into equal parts.
+    assert found == list(range(12_500, 200_001, 12_500))
 
 
 def test_word_lengths(docs):
@@ -433,6 +536,25 @@ def test_word_lengths(docs):
     same(got, [(d, len(w), sum(greedy(b" " + x.encode()) for x in w)) for d, w in split])
 
 
+def test_very_long_words(spark):
+    tokens = set(byte_pieces.read_ranks(LATIN))
+    longest = max(map(len, tokens))
+    rng = np.random.default_rng(8)
+    words = ["".join(rng.choice(list("abcdeéß日the"), 30_000)) for _ in range(3)] + ["x" * 3_000_000, "ab", "the"] * 2
+
+    def greedy(word):
+        n = i = 0
+        while i < len(word):
+            i += next(k for k in range(min(longest, len(word) - i), 0, -1) if word[i : i + k] in tokens)
+            n += 1
+        return n
+
+    rows = spark.createDataFrame(list(enumerate(words)) + [(90, " ".join(words))], "doc_id long, text string")
+    got = {r.doc_id: r.n_tokens for r in word_lengths.word_lengths(rows, LATIN).collect()}
+    expected = {w: greedy(b" " + w.encode()) for w in set(words)}
+    assert got == {**{i: expected[w] for i, w in enumerate(words)}, 90: sum(map(expected.get, words))}
+
+
 # --- empty tables ----------------------------------------------------------------
 
 

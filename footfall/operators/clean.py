@@ -34,12 +34,21 @@ def clean_events(raw):
 
 
 def validation_counts(cleaned):
-    """Events, users, items and categories in a single pass."""
-    return cleaned.selectExpr(
-        "count(*) AS total_records",
-        "count(DISTINCT user_id) AS user_count",
-        "count(DISTINCT item_id) AS item_count",
-        "count(DISTINCT category_id) AS category_count",
+    """Events, users, items and categories.
+
+    Each column's distinct values are counted on their own: several distinct counts in
+    one aggregate would copy every event for each of them.
+    """
+
+    def distinct(column):
+        values = cleaned.select(column).distinct()
+        return values.selectExpr(f"count({column}) AS n").scalar()
+
+    return cleaned.selectExpr("count(*) AS total_records").select(
+        "total_records",
+        distinct("user_id").alias("user_count"),
+        distinct("item_id").alias("item_count"),
+        distinct("category_id").alias("category_count"),
     )
 
 

@@ -65,7 +65,11 @@ def value_counts(rows):
 
 
 def in_slices(counts):
-    """``counts`` with the slice of each value and the total of its series."""
+    """``counts`` with the slice of each value and the total of its series.
+
+    Approximate quantiles depend on the order in which partial results arrive, so the cuts
+    are written down: every use of the result then has the same slices.
+    """
     slices = BLOCKS * BLOCKS
     shares = ", ".join(f"{i / slices}D" for i in range(1, slices))
     cuts = counts.groupBy("series").agg(
@@ -73,7 +77,7 @@ def in_slices(counts):
         F.expr("sum(n) AS total"),
     )
     below = "(a, c) -> a + if(c < value, 1, 0)"
-    blocks = cuts.selectExpr(
+    blocks = checkpoint(cuts).selectExpr(
         "*", f"transform(sequence({BLOCKS}, {slices - 1}, {BLOCKS}), i -> cuts[i - 1]) AS starts"
     )
     return (
@@ -97,7 +101,8 @@ def running_totals(counts):
     *distinct* values, so slices are alike in size whatever the range holds: a
     stray extreme is one more value and no more. Totals run inside each slice,
     and the rows in the slices before it are added from a table of at most
-    ``BLOCKS * BLOCKS`` rows per series. Totals are exact whatever the cuts.
+    ``BLOCKS * BLOCKS`` rows per series. Totals are exact whatever the cuts. ``counts``
+    are read several times, so what is costly to repeat should be written before.
     """
     sliced = in_slices(counts)
     earlier = (
@@ -380,7 +385,7 @@ def box_stats(users, column):
     Whiskers end at the furthest values within 1.5 quartile ranges of the box.
     Everything is computed from the distinct (active days, value) pairs.
     """
-    pairs = (
+    pairs = checkpoint(
         _days_and_values(users, column)
         .groupBy("active_days", "value")
         .agg(F.expr("count(*) AS pairs"))
@@ -431,7 +436,7 @@ def box_stats(users, column):
 
 def box_outliers(users, column):
     """Users whose value lies outside the fences of their activity level."""
-    rows = _days_and_values(users, column, keep=["user_id"])
+    rows = checkpoint(_days_and_values(users, column, keep=["user_id"]))
     leveled = by_activity_level(rows, _largest_days(rows))
     fences = quartiles_of(running_totals(value_counts(leveled)))
     return (
@@ -467,7 +472,7 @@ def crosstab_axis(df, column, other):
 
 def cumulative_shares(df, column):
     """Share of rows at or below each distinct value."""
-    totals = running_totals(value_counts(as_series(df, [column])))
+    totals = running_totals(checkpoint(value_counts(as_series(df, [column]))))
     return totals.selectExpr("value", "n", "until / total AS share")
 
 

@@ -89,6 +89,26 @@ def test_a_stray_value_does_not_fill_a_slice(spark):
         assert max(sizes) < 8 * 20_000 / len(sizes)
 
 
+def test_running_totals_when_quantiles_come_out_differently(spark):
+    """Values reach the aggregates in another order each time they are read."""
+
+    def dealt(frames):
+        rng = np.random.default_rng()
+        for pdf in frames:
+            yield pdf.assign(lane=rng.integers(0, 64, len(pdf)))
+
+    counts = (
+        spark.range(0, 200_000, 1, 4)
+        .selectExpr("'v' AS series", "id / 200000D AS value", "id % 7 + 1 AS n")
+        .mapInPandas(dealt, "series string, value double, n long, lane int")
+        .repartition(8, "lane")
+        .drop("lane")
+    )
+    got = d.running_totals(counts).orderBy("value").toPandas()
+    assert len(got) == 200_000
+    assert (got["until"] == got["n"].cumsum()).all() and (got["total"] == got["n"].sum()).all()
+
+
 def sliced_sizes(counts):
     """Distinct values in each slice of the shipped settings."""
     return [n for (n,) in rows(d.in_slices(counts).groupBy("series", "slice").count(), "count")]

@@ -91,6 +91,7 @@ class Coder:
 
         ranks = read_ranks(path)
         self.ranks = {token.decode("latin-1"): rank for token, rank in ranks.items()}
+        self.bytes = sorted(ranks, key=ranks.get).__getitem__
         self.split = regex.compile(pattern).findall
         self.table = {i: c for i, c in enumerate(byte_characters())}
         self.model = sentencepiece.SentencePieceProcessor(model_proto=serialise(ranks))
@@ -146,51 +147,69 @@ def part(text):
     return [first, *[" " + x for x in rest]] if first else [" " + x for x in rest]
 
 
+def _held(df, value, replaced):
+    """``df`` as the value a worker reads and a struct of the columns that pass through."""
+    rest = [c for c in df.columns if c.lower() not in [r.lower() for r in replaced]]
+    return df.select(value.alias("_value"), F.struct(*[F.col(f"`{c}`") for c in rest]).alias("_row"))
+
+
+def _made(held, run, **results):
+    """The columns that pass through and those of ``run``, with the names of ``results``."""
+    fields = [T.StructField(f"_{i}", kind) for i, kind in enumerate(results.values())]
+    made = held.mapInArrow(run, T.StructType([T.StructField("_row", held.schema["_row"].dataType), *fields]))
+    return made.select("_row.*", *[F.col(f"_{i}").alias(name) for i, name in enumerate(results)])
+
+
+def _encoded(batches, coder):
+    """Rows and the id array of each, some texts at a time."""
+    for batch in batches:
+        texts = batch.column(0).to_pylist()
+        for first, end in portions(texts):
+            yield batch.column(1).slice(first, end - first), coder.encode(texts[first:end])
+
+
+def _decoded(rows, get):
+    return pa.array([b"".join(map(get, row.tolist())) for row in rows], pa.binary())
+
+
+IDS = T.ArrayType(T.IntegerType())
+
+
 def encode(docs, path, pattern, text="text", ids="ids"):
     """``docs`` with the array of token ids of each whole text."""
     small_batches(docs.sparkSession)
-    rest = [c for c in docs.columns if c.lower() != ids.lower()]
-    held = docs.select(whole_text(f"`{text}`").alias("_text"), F.struct(*[F.col(f"`{c}`") for c in rest]).alias("_row"))
 
     def run(batches):
-        coder = Coder.of(path, pattern)
-        for batch in batches:
-            texts = batch.column(0).to_pylist()
-            for first, end in portions(texts):
-                found = list_array(coder.encode(texts[first:end]))
-                yield pa.record_batch([batch.column(1).slice(first, end - first), found], ["_row", "_ids"])
-
-    made = held.mapInArrow(
-        run,
-        T.StructType(
-            [
-                T.StructField("_row", held.schema["_row"].dataType),
-                T.StructField("_ids", T.ArrayType(T.IntegerType())),
-            ]
-        ),
-    )
-    return made.select("_row.*", F.col("_ids").alias(ids))
+        for rows, found in _encoded(batches, Coder.of(path, pattern)):
+            yield pa.record_batch([rows, list_array(found)], ["_row", "_0"])
+
+    return _made(_held(docs, whole_text(f"`{text}`"), [ids]), run, **{ids: IDS})
 
 
 def decode(tokens, path, ids="ids", raw="raw"):
     """``tokens`` with the bytes of each array of ids."""
     small_batches(tokens.sparkSession)
-    rest = [c for c in tokens.columns if c.lower() != raw.lower()]
-    held = tokens.select(
-        F.coalesce(F.col(f"`{ids}`"), F.array().cast("array<int>")).alias("_ids"),
-        F.struct(*[F.col(f"`{c}`") for c in rest]).alias("_row"),
-    )
 
     def run(batches):
         get = token_bytes(path).__getitem__
         for batch in batches:
-            found = [b"".join(map(get, x.values.to_numpy().tolist())) for x in batch.column(0)]
-            yield pa.record_batch([batch.column(1), pa.array(found, pa.binary())], ["_row", "_raw"])
-
-    made = held.mapInArrow(
-        run,
-        T.StructType(
-            [T.StructField("_row", held.schema["_row"].dataType), T.StructField("_raw", T.BinaryType())]
-        ),
-    )
-    return made.select("_row.*", F.col("_raw").alias(raw))
+            found = _decoded([x.values.to_numpy() for x in batch.column(0)], get)
+            yield pa.record_batch([batch.column(1), found], ["_row", "_0"])
+
+    given = F.coalesce(F.col(f"`{ids}`"), F.array().cast("array<int>"))
+    return _made(_held(tokens, given, [raw]), run, **{raw: T.BinaryType()})
+
+
+def round_trip(docs, path, pattern, text="text", ids="ids", raw="raw"):
+    """``docs`` with the ids of each whole text and the bytes that those decode to.
+
+    The same as ``decode`` of ``encode``, which would keep two Python workers a task.
+    """
+    small_batches(docs.sparkSession)
+
+    def run(batches):
+        coder = Coder.of(path, pattern)
+        for rows, found in _encoded(batches, coder):
+            yield pa.record_batch([rows, list_array(found), _decoded(found, coder.bytes)], ["_row", "_0", "_1"])
+
+    return _made(_held(docs, whole_text(f"`{text}`"), [ids, raw]), run, **{ids: IDS, raw: T.BinaryType()})

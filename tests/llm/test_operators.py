@@ -165,6 +165,15 @@ def test_byte_pieces_equal_tiktoken(docs):
     same(got, [(d, own.encode_ordinary(t), t.encode()) for d, t in TEXTS])
 
 
+def test_round_trip_is_decode_of_encode_in_one_worker(docs):
+    both = byte_pieces.round_trip(docs, RANKS, public_tokenizers.PATTERN)
+    apart = byte_pieces.decode(byte_pieces.encode(docs, RANKS, public_tokenizers.PATTERN), RANKS)
+    assert both.schema["ids"].dataType == apart.schema["ids"].dataType
+    assert sorted(both.columns) == sorted(apart.columns)
+    same(both.select(*apart.columns).collect(), apart.collect())
+    assert both._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+
+
 def test_parts_are_the_text():
     for text in ["", " ", "a", " a b", "a  b", "a \nb c", "a 　b", "  ", "a b ", "x\t y"]:
         assert "".join(byte_pieces.part(text)) == text

@@ -41,31 +41,48 @@ def with_buckets(lines):
     )
 
 
-def deal(lines, roll_bytes=ROLL_BYTES):
+def _size():
+    """The bytes of a line with its line end."""
+    return (F.coalesce(F.octet_length("value"), F.lit(0)) + 1).cast("long")
+
+
+def deal(lines, roll_bytes=ROLL_BYTES, tasks=None):
     """``lines`` with ``number`` and ``file``, the place of the file each ``value`` belongs to.
 
     Lines fill files one after the other by the bytes they take with their line end, so a file
     passes ``roll_bytes`` by less than a line. Totals come from slices of neighbouring lines,
     and one row a slice is ordered in one task. The lines must be written already: their
-    numbers have to be the same whenever they are read.
+    numbers have to be the same whenever they are read. ``tasks`` share the slices.
     """
     numbered = lines.select(
         "*",
         F.monotonically_increasing_id().alias("number"),
-        (F.coalesce(F.octet_length("value"), F.lit(0)) + 1).cast("long").alias("bytes"),
+        _size().alias("bytes"),
     ).withColumn("slice", F.shiftright("number", SLICE))
     slices = numbered.groupBy("slice").agg(F.sum("bytes").alias("total"))
     earlier = F.sum("total").over(Window.orderBy("slice")) - F.col("total")
     inside = F.sum("bytes").over(Window.partitionBy("slice").orderBy("number")) - F.col("bytes")
-    dealt = numbered.withColumn("inside", inside).join(slices.select("slice", earlier.alias("earlier")), "slice")
+    spread = numbered.repartition(tasks, "slice") if tasks else numbered
+    dealt = spread.withColumn("inside", inside).join(slices.select("slice", earlier.alias("earlier")), "slice")
     return dealt.selectExpr(*lines.columns, "number", f"(earlier + inside) DIV {int(roll_bytes)} AS file")
 
 
+def in_files(lines, roll_bytes=ROLL_BYTES):
+    """``deal`` with each file in a partition of its own, its lines in order.
+
+    However many files there are, a task sorts the lines of one, or two slices on average.
+    """
+    total = lines.agg(F.sum(_size()).alias("bytes"), F.count("*").alias("lines")).first()
+    dealt = deal(lines, roll_bytes, (total.lines >> SLICE + 1) + 1).withColumn("file", F.col("file").cast("int"))
+    files = -(-(total.bytes or 1) // int(roll_bytes))
+    return dealt.repartitionById(files, "file").sortWithinPartitions("file", "number")
+
+
 def _land_batch(folder, roll_bytes):
     """Write a batch once, however often it is replayed.
 
     All lines of a batch have one bucket, which a replay finds again, as its time is kept in the
-    checkpoint. Files are complete in a folder of the batch before the first one is moved to
+    checkpoint; it is put to the lines when they are sorted. Files are complete in a folder of the batch before the first one is moved to
     the bucket, and that folder stays until the next batch: a replay moves what is left in it.
     """
 
@@ -78,11 +95,11 @@ def _land_batch(folder, roll_bytes):
         if not files.exists(hadoop(own, "_SUCCESS")):
             files.delete(work, True)  # earlier batches, which are done
             batch.write.parquet(f"{work.toString()}/lines-{number}")
+            lines = spark.read.schema(batch.schema).parquet(f"{work.toString()}/lines-{number}")
+            bucket = lines.select(*BUCKETS).first() or [""] * len(BUCKETS)
             (
-                deal(spark.read.schema(batch.schema).parquet(f"{work.toString()}/lines-{number}"), roll_bytes)
-                .repartition("file")
-                .sortWithinPartitions("file", "number")
-                .drop("number")
+                in_files(lines.select("value"), roll_bytes)
+                .select("value", *[F.lit(v).alias(c) for c, v in zip(BUCKETS, bucket, strict=True)], "file")
                 .write.partitionBy(*BUCKETS, "file")
                 .text(own.toString())
             )

@@ -53,6 +53,21 @@ def test_files_are_rolled_by_bytes(spark, tmp_path, monkeypatch):
     assert [l for p in files for l in p.read_text().splitlines()] == lines
 
 
+def test_a_task_sorts_the_lines_of_one_file(spark, tmp_path):
+    lines = [f"{i:05d}" + "x" * (i % 30) for i in range(3000)]
+    spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1).write.parquet(str(tmp_path / "lines"))
+    given = spark.read.parquet(str(tmp_path / "lines"))
+    for roll_bytes in (500, 10**9):
+        found = ingest.in_files(given, roll_bytes).selectExpr("spark_partition_id() AS task", "file", "value").collect()
+        by_task = {}
+        for r in found:
+            by_task.setdefault(r.task, set()).add(r.file)
+        assert all(len(files) == 1 for files in by_task.values())
+        assert len(by_task) == len({r.file for r in found}) == found[-1].file + 1
+        assert [r.value for r in found] == lines
+    assert ingest.in_files(given.limit(0)).collect() == []
+
+
 def test_a_replayed_batch_lands_once(spark, tmp_path):
     lines = [f"line {i}" for i in range(300)]
     batch = spark.createDataFrame([(l,) for l in lines], "value string").selectExpr(

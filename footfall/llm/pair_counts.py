@@ -14,7 +14,9 @@ the text, has no tokens and zeros; rows of one doc_id get a row each; a null doc
 stays null; an empty table gives an empty table; other columns are not read.
 """
 
+import collections
 import hashlib
+import itertools
 
 import numpy as np
 import pyarrow as pa
@@ -37,17 +39,22 @@ class _Parts:
     """Indexes of the different parts of texts; ``learn`` is called with the new ones."""
 
     def __init__(self, learn):
-        self.learn, self.known = learn, {}
+        self.learn = learn
+        self.clear()
+
+    def clear(self):
+        self.known = collections.defaultdict(itertools.count().__next__)  # a new part gets the next index
 
     def indexes(self, texts):
-        """An index array for each text."""
-        split = [stretches(text) if text else [] for text in texts]
-        known = self.known
-        new = list(set().union(*split).difference(known))
-        if new:
-            self.learn(new)
-            known.update(zip(new, range(len(known), len(known) + len(new)), strict=True))
-        return [np.fromiter(map(known.__getitem__, parts), np.int64, len(parts)) for parts in split]
+        """An index array for each text; ``learn`` gets the new parts and the index of their first."""
+        known, before = self.known, len(self.known)
+        found = []
+        for text in texts:
+            parts = stretches(text) if text else []
+            found.append(np.fromiter(map(known.__getitem__, parts), np.int64, len(parts)))
+        if len(known) > before:
+            self.learn(list(itertools.islice(known, before, None)), before)
+        return found
 
 
 def _summed(keys, times):
@@ -65,9 +72,9 @@ def _partials(paths):
         spans = Spans.of(*paths)
         learnt, valid, times = [], [], np.zeros(0, np.int64)
 
-        def learn(new):
+        def learn(new, before):
             found = Aligned(spans, new)
-            learnt.append((found.keys(), found.part + len(parts.known)))
+            learnt.append((found.keys(), found.part + before))
             valid.append(found.valid)
 
         def counted():
@@ -92,7 +99,7 @@ def _partials(paths):
                 if len(parts.known) > KNOWN:
                     yield counted()
                     learnt, valid, times = [], [], np.zeros(0, np.int64)
-                    parts.known.clear()
+                    parts.clear()
         if learnt:
             yield counted()
 
@@ -203,13 +210,13 @@ def _looked_up(paths, table, best):
         only = len(blocks.made) == blocks.number
         lacking = set()  # parts with pairs that were not counted; only texts without tokens have any
 
-        def learn(new):
+        def learn(new, before):
             nonlocal sums, valid
             found = Aligned(spans, new)
             keys, back = np.unique(found.keys(), return_inverse=True)
             at = blocks.find(keys)
             if only:  # else pairs may belong to another round
-                lacking.update((found.part[at[back] < 0] + len(parts.known)).tolist())
+                lacking.update((found.part[at[back] < 0] + before).tolist())
             n = np.where(at >= 0, counts[at], 0) if len(counts) else np.zeros(len(keys), np.int64)
             is_best = (at >= 0) & (n == best.value[(keys & np.uint64(0xFFFFFFFF)).astype(np.int64)])
             own = np.zeros((len(new), len(SUMS)), np.int64)
@@ -247,7 +254,7 @@ def _looked_up(paths, table, best):
                 if len(parts.known) > KNOWN:
                     sums, valid, notations = np.zeros((0, len(SUMS)), np.int64), np.zeros(0, bool), []
                     lacking.clear()
-                    parts.known.clear()
+                    parts.clear()
 
     return run
 

@@ -12,9 +12,12 @@ import re
 
 import numpy as np
 
-# Stretches of texts whose white space is blanks and line feeds, and cuts of all others.
+# Stretches of texts whose white space is blanks and line feeds, and cuts of all others. Where
+# blanks and line feeds stand alone, a mark is put before each and the text is split at that.
+_MARK = "\0"
+_RUNS = ["  ", "\n\n", " \n", "\n ", _MARK]
 _PLAIN = re.compile("[ \n]+[^ \n]+|[ \n]+$")
-_ODD = re.compile(r"[^\S \n]")
+_ODD = [c for c in map(chr, range(0x3001)) if c.isspace() and c not in " \n"]
 _CUT = re.compile(r"(?<=\S)(?=[ \n])")
 SPACE = "▁"
 CHUNK = 50_000  # characters encoded together
@@ -24,7 +27,11 @@ KNOWN = 500_000  # stretches a task remembers
 def stretches(text):
     """The parts of a space and the text."""
     whole = " " + text
-    return _CUT.split(whole) if _ODD.search(whole) else _PLAIN.findall(whole)
+    if any(map(whole.__contains__, _ODD)):
+        return _CUT.split(whole)
+    if whole.endswith((" ", "\n")) or any(map(whole.__contains__, _RUNS)):
+        return _PLAIN.findall(whole)
+    return whole.replace(" ", _MARK + " ").replace("\n", _MARK + "\n").split(_MARK)[1:]
 
 
 def _byte_characters():
@@ -79,25 +86,20 @@ class Spans:
 
     def _fits(self, whole, a, b):
         raw = whole.encode()
-        return b"".join([self.a_bytes[i] for i in a]) == raw == b"".join([self.b_bytes[i] for i in b])
+        return b"".join(map(self.a_bytes.__getitem__, a)) == raw == b"".join(map(self.b_bytes.__getitem__, b))
 
     def encode(self, parts):
         """Both id arrays of all parts with the number of ids of each, and which parts are the bytes of their tokens.
 
         A part that is not has no tokens.
         """
-        together, alone, size = [[]], [], 0
-        for i, part in enumerate(parts):
-            if part[-1].isspace() or SPACE in part or len(part) > CHUNK:
-                alone.append(i)
-                continue
-            if size > CHUNK:
-                together.append([])
-                size = 0
-            together[-1].append(i)
-            size += len(part)
-        wholes = ["".join([parts[i] for i in group]) for group in together if group]
-        groups = [group for group in together if group]
+        sizes = np.fromiter(map(len, parts), np.int64, len(parts))
+        bytes_ = np.fromiter(map(len, map(str.encode, parts)), np.int64, len(parts))
+        apart = np.fromiter([p[-1].isspace() or SPACE in p for p in parts], bool, len(parts)) | (sizes > CHUNK)
+        alone, usual = np.flatnonzero(apart).tolist(), np.flatnonzero(~apart)
+        chunk = np.cumsum(sizes[usual]) // CHUNK
+        groups = np.split(usual, np.flatnonzero(np.diff(chunk)) + 1) if len(usual) else []
+        wholes = ["".join(map(parts.__getitem__, group.tolist())) for group in groups]
         numbers = [np.zeros(len(parts), np.int64) for _ in range(2)]
         valid = np.zeros(len(parts), bool)
         ids = [[np.empty(0, np.int32)], [np.empty(0, np.int32)]]
@@ -105,7 +107,7 @@ class Spans:
 
         def split(group, found):
             """Take the ids over if both sides have a cut at the end of every part."""
-            ends = np.cumsum([len(parts[i].encode()) for i in group])
+            ends = np.cumsum(bytes_[group])
             arrays, cuts = [], []
             for tokens, lengths in zip(found, (self.a_sizes, self.b_sizes), strict=True):
                 arrays.append(np.array(tokens, np.int32))
@@ -116,20 +118,22 @@ class Spans:
             for side in range(2):
                 numbers[side][group] = np.diff(cuts[side], prepend=0)
                 ids[side].append(arrays[side])
-            order.extend(group)
+            order.append(group)
             valid[group] = True
             return True
 
         for group, whole, *found in zip(groups, wholes, *self._both(wholes), strict=True):
             if not (self._fits(whole, *found) and split(group, found)):
-                alone += group
+                alone += group.tolist()
         texts = [parts[i] for i in alone]
         for i, whole, *found in zip(alone, texts, *self._both(texts), strict=True):
             if self._fits(whole, *found):
                 split([i], found)
+        order = np.concatenate(order) if order else np.empty(0, np.int64)
+        sorted_ = (np.diff(order) > 0).all()
         flat = []
         for own, n in zip(map(np.concatenate, ids), numbers, strict=True):
-            flat.append(own[np.argsort(np.repeat(order, n[order]), kind="stable")] if order else own)
+            flat.append(own if sorted_ else own[np.argsort(np.repeat(order, n[order]), kind="stable")])
         return flat[0], numbers[0], flat[1], numbers[1], valid
 
 
@@ -145,11 +149,14 @@ class Aligned:
         a_ends, b_ends = np.cumsum(spans.a_sizes[self.a_ids]), np.cumsum(spans.b_sizes[self.b_ids])
         self.a_part, self.b_part = (np.repeat(np.arange(len(parts)), n) for n in (self.n_a, self.n_b))
         # Between two neighbouring ends lies one token of A and one of B: a link.
-        ends = np.union1d(a_ends, b_ends)
+        ends = np.concatenate([a_ends, b_ends])
+        ends.sort(kind="stable")  # merges the two
+        twice = np.zeros(len(ends), bool)
+        twice[1:] = ends[1:] == ends[:-1]
+        common, ends = ends[twice], ends[~twice]
         a_at, b_at = np.searchsorted(a_ends, ends), np.searchsorted(b_ends, ends)
         self.a, self.b, self.part = self.a_ids[a_at], self.b_ids[b_at], self.a_part[a_at]
         self.n_links = np.bincount(self.part, minlength=len(parts))
-        common = np.intersect1d(a_ends, b_ends, assume_unique=True)
         self.a_group, self.b_group = np.searchsorted(common, a_ends), np.searchsorted(common, b_ends)
         self.n_groups = np.bincount(self.a_part[np.searchsorted(a_ends, common)], minlength=len(parts))
 

@@ -245,6 +245,17 @@ def test_parts_are_encoded_like_whole_texts():
             assert [i for p in own for i in b[p]] == expected[1], repr(text)
 
 
+def test_stretches_are_those_of_the_pattern():
+    pattern = re.compile("[ \n]+[^ \n]+|[ \n]+$")
+    rng = np.random.default_rng(12)
+    for n in rng.integers(1, 12, 3000):
+        text = "".join(rng.choice(list(" \nab\0é"), n))
+        assert token_spans.stretches(text) == pattern.findall(" " + text), repr(text)
+    for c in map(chr, range(0x110000)):
+        if c.isspace() and c not in " \n":
+            assert token_spans.stretches(f"a{c}b c{c} d") == [f" a{c}b", f" c{c} d"], repr(c)
+
+
 def test_alignment_of_the_cases(docs, none):
     rows = [tuple(r) for r in pair_counts.align(docs, *PATHS).collect()]
     same(rows, brute_alignment([c[:2] for c in CASES]))
